@@ -1,11 +1,12 @@
 """A15, A16 and exact quantiles that never gather a group into one task.
 
 ``exact_percentiles`` selects order statistics by radix: each pass counts the
-values per (group, digit) for only the values that share the prefix already
-fixed, takes a running count over the digits and keeps the digit that holds the
-wanted rank. With 21-bit digits a group contributes at most 2^21 digit counts
-per pass, whatever its size, so a group holding a third of all rows is as
-cheap as any other. Three passes cover every non-negative 63-bit value.
+values per (target rank, digit) for only the values that share the prefix
+already fixed, takes a running count over the digits and keeps the digit that
+holds the wanted rank. With digits of at most 21 bits a group contributes at
+most 2^21 digit counts per pass, whatever its size, so a group holding a third
+of all rows is as cheap as any other; at most three passes cover any
+non-negative 63-bit value.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ def exact_percentiles(
     probs: Sequence[float],
     names: Sequence[str] | None = None,
     *,
-    digit_bits: int = 21,
-    levels: int = 3,
+    max_digit_bits: int = 21,
+    value_bits: int | None = None,
+    group_limit: int = 1_000_000,
 ) -> DataFrame:
     """Exact linear-interpolated percentiles of a non-negative integer column per group.
 
@@ -37,10 +39,29 @@ def exact_percentiles(
     probability p, the result interpolates between the values at 0-based ranks
     floor((n-1)p) and ceil((n-1)p). NULL values are ignored; groups without values
     are absent from the result. Returns ``keys`` + one double column per probability.
+
+    One small job first reads the largest group size and the largest value. When
+    no group holds more than ``group_limit`` values, Spark's exact ``percentile``
+    runs directly: its per-group buffer (distinct value -> count) is then bounded
+    by the checked limit. Beyond it the radix passes run; the bit length of the
+    largest value sets their number (usually one or two).
     """
     keys = list(keys)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
     vals = df.select(*keys, F.col(value).cast("long").alias("_v")).filter(F.col("_v").isNotNull())
+    if value_bits is None or group_limit > 0:
+        sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("_v").alias("top"))
+        row = sizes.agg(F.max("n").alias("n"), F.max("top").alias("top")).first()
+        largest_group, top = int(row["n"] or 0), int(row["top"] or 0)
+        if largest_group <= group_limit:
+            pct = F.percentile(F.col("_v"), [float(p) for p in probs])
+            out = vals.groupBy(*keys).agg(pct.alias("_p"))
+            return out.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+        if value_bits is None:
+            value_bits = max(top.bit_length(), 1)
+    value_bits = min(value_bits, 63)
+    levels = -(-value_bits // max_digit_bits)
+    bits = -(-value_bits // levels)
 
     counts = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     spec = F.array(*[F.struct(F.lit(i).alias("q"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
@@ -51,35 +72,36 @@ def exact_percentiles(
         F.struct(F.lit(0).alias("side"), F.floor("_pos").cast("long").alias("rank")),
         F.struct(F.lit(1).alias("side"), F.ceil("_pos").cast("long").alias("rank")),
     )
+    target = [*keys, "_q", "_pos", "_side"]
     t = t.select(*keys, "_q", "_pos", F.explode(sides).alias("_t")).select(
         *keys, "_q", "_pos", F.col("_t.side").alias("_side"), F.col("_t.rank").alias("_rank"),
         F.lit(0).cast("long").alias("_prefix"),
     )
 
-    mask = (1 << digit_bits) - 1
+    mask = (1 << bits) - 1
     for level in reversed(range(levels)):
-        shift = level * digit_bits
-        live = t.select(*keys, "_prefix").distinct()
+        shift = level * bits
+        # each value joins the targets whose fixed prefix it shares (at most 2 per
+        # probability), and is counted per (target, next digit)
         cand = vals.select(
             *keys,
-            F.shiftright("_v", min(shift + digit_bits, 63)).alias("_prefix"),
+            F.shiftright("_v", min(shift + bits, 63)).alias("_prefix"),
             F.shiftright("_v", shift).bitwiseAND(F.lit(mask)).alias("_digit"),
         )
         hist = (
-            cand.join(live, [*keys, "_prefix"], "left_semi")
-            .groupBy(*keys, "_prefix", "_digit")
+            cand.join(t, [*keys, "_prefix"])
+            .groupBy(*target, "_rank", "_prefix", "_digit")
             .agg(F.count(F.lit(1)).alias("_c"))
         )
-        w = Window.partitionBy(*keys, "_prefix").orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)
-        hist = hist.withColumn("_cum", F.sum("_c").over(w))
+        w = Window.partitionBy(*target).orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)
         below = F.col("_cum") - F.col("_c")
         t = (
-            t.join(hist, [*keys, "_prefix"])
+            hist.withColumn("_cum", F.sum("_c").over(w))
             .filter((below <= F.col("_rank")) & (F.col("_rank") < F.col("_cum")))
             .select(
-                *keys, "_q", "_pos", "_side",
+                *target,
                 (F.col("_rank") - below).alias("_rank"),
-                F.shiftleft("_prefix", digit_bits).bitwiseOR(F.col("_digit")).alias("_prefix"),
+                F.shiftleft("_prefix", bits).bitwiseOR(F.col("_digit")).alias("_prefix"),
             )
         )
 
@@ -87,8 +109,12 @@ def exact_percentiles(
         F.max(F.when(F.col("_side") == 0, F.col("_prefix"))).cast("double").alias("_lo"),
         F.max(F.when(F.col("_side") == 1, F.col("_prefix"))).cast("double").alias("_hi"),
     )
-    frac = F.col("_pos") - F.floor("_pos")
-    picked = picked.select(*keys, "_q", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("_val"))
+    # same interpolation arithmetic as Spark's percentile, so both paths agree bit for bit
+    pos, lo_pos, hi_pos = F.col("_pos"), F.floor("_pos"), F.ceil("_pos")
+    value = F.when(lo_pos == hi_pos, F.col("_lo")).otherwise(
+        (hi_pos - pos) * F.col("_lo") + (pos - lo_pos) * F.col("_hi")
+    )
+    picked = picked.select(*keys, "_q", value.alias("_val"))
     return picked.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_q") == i, F.col("_val"))).alias(name) for i, name in enumerate(names)]
     )

@@ -42,9 +42,13 @@ class Reports:
         bounded = self.params.history_bounded if bounded is None else bounded
         key = ("crash_stats", bounded)
         if key not in self._memo:
-            self._memo[key] = history.crash_stats(
-                self.profile_day, self.win, bounded=bounded, prepartitioned=self.prepartitioned
-            )
+            stats = history.crash_stats(self.profile_day, self.win, bounded=bounded, prepartitioned=self.prepartitioned)
+            if self.prepartitioned:
+                # durable run: one small table per (report, crashed profile), read by the
+                # median passes, the geometric mean and the histogram; checkpoint() writes
+                # it to the shared checkpoint folder and cuts the lineage.
+                stats = stats.checkpoint(eager=True)
+            self._memo[key] = stats
         return self._memo[key]
 
     @cached_property
