@@ -67,20 +67,24 @@ def crash_stats(profile_day: DataFrame, win: ReportWindow, *, bounded: bool = Tr
         # rows after the last report can never be seen (sd is a partition / pushed filter)
         profile_day = profile_day.filter(F.col("day") <= F.lit(win.last))
     gaps = crash_gaps(profile_day, prepartitioned=prepartitioned)
-    answer = F.struct("g", "has_multiple_crashes", "seconds")
-    if not bounded:
-        gaps = gaps.withColumn("answer", F.max(answer).over(Window.partitionBy("cid")))
-        answer = F.col("answer")
-    out = (
-        explode_to_reports(gaps.withColumn("answer", answer), win)
-        .groupBy("end_date", "cid")
-        .agg(F.max("answer").alias("a"))
-    )
+    if bounded:
+        # the newest crash inside the report's week is the newest one it can see
+        pick = [F.max_by("has_multiple_crashes", "g").alias("m"), F.max_by("seconds", "g").alias("s")]
+    else:
+        # the newest crash of the whole history, the same for every report of the profile
+        whole = Window.partitionBy("cid")
+        gaps = gaps.select(
+            "cid", "day",
+            F.max_by("has_multiple_crashes", "g").over(whole).alias("has_multiple_crashes"),
+            F.max_by("seconds", "g").over(whole).alias("seconds"),
+        )
+        pick = [F.max("has_multiple_crashes").alias("m"), F.max("seconds").alias("s")]
+    out = explode_to_reports(gaps, win).groupBy("end_date", "cid").agg(*pick)
     return out.select(
         "end_date", "cid",
-        F.col("a.has_multiple_crashes").alias("has_multiple_crashes"),
-        F.col("a.seconds").alias("seconds"),
-        hours(F.col("a.seconds")).alias("hours"),
+        F.col("m").alias("has_multiple_crashes"),
+        F.col("s").alias("seconds"),
+        hours(F.col("s")).alias("hours"),
     )
 
 

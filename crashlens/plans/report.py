@@ -29,6 +29,7 @@ class Reports:
     win: calendar.ReportWindow
     profile_day: DataFrame
     prepartitioned: bool = False
+    durable: bool = False
     _memo: dict = field(default_factory=dict, repr=False)
 
     def calendar(self) -> DataFrame:
@@ -43,7 +44,7 @@ class Reports:
         key = ("crash_stats", bounded)
         if key not in self._memo:
             stats = history.crash_stats(self.profile_day, self.win, bounded=bounded, prepartitioned=self.prepartitioned)
-            if self.prepartitioned:
+            if self.durable:
                 # durable run: one small table per (report, crashed profile), read by the
                 # median passes, the geometric mean and the histogram; checkpoint() writes
                 # it to the shared checkpoint folder and cuts the lineage.
@@ -100,4 +101,8 @@ def build_reports(spark: SparkSession, raw_pings: DataFrame, params: ReportParam
     pd = rollup(clean_pings(raw_pings, params))
     if durable:
         pd = write_profile_day(pd, spark, buckets=buckets)
-    return Reports(params=params, win=win, profile_day=pd, prepartitioned=durable)
+    else:
+        # one shuffle on cid shared by every branch of a plan (identical subtrees are
+        # reused as one exchange); downstream cid-keyed steps add none of their own
+        pd = pd.repartition("cid")
+    return Reports(params=params, win=win, profile_day=pd, prepartitioned=True, durable=durable)
