@@ -31,3 +31,21 @@ def profile_day(clean: DataFrame) -> DataFrame:
         .withColumn("day", F.try_to_date("sd", "yyyyMMdd"))
         .select(*PROFILE_DAY_COLUMNS)
     )
+
+
+def combine_profile_days(partials: DataFrame) -> DataFrame:
+    """Merge partial profile-day rows of the same (cid, sd, e10s), e.g. rollups of
+    separately arriving ping batches. Sums and min are associative, so rolling up
+    each batch and combining equals rolling up everything at once."""
+    return (
+        partials.groupBy("cid", "sd", "e10s")
+        .agg(
+            F.min("pcd").alias("pcd"),
+            F.sum("ssl").alias("ssl"),
+            F.sum("cssm").alias("cssm"),
+            F.sum("cdc").alias("cdc"),
+            F.sum("cdpgmp").alias("cdpgmp"),
+        )
+        .withColumn("day", F.try_to_date("sd", "yyyyMMdd"))
+        .select(*PROFILE_DAY_COLUMNS)
+    )

@@ -17,7 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from crashlens.params import ReportParams
-from crashlens.plans.report import Reports, build_reports
+from crashlens.operators.clean import clean_pings
+from crashlens.operators.daily import profile_day as rollup
+from crashlens.plans.report import Reports, reports_from_profile_day
 from crashlens.sources.published import last_published_date, publish_histograms, publish_summaries
 
 
@@ -30,8 +32,14 @@ class JobResult:
 
 def run_report_job(spark: SparkSession, raw_pings: DataFrame, out_dir: str, params: ReportParams, *,
                    buckets: int | None = None) -> JobResult:
+    return publish_pending_reports(spark, rollup(clean_pings(raw_pings, params)), out_dir, params, buckets=buckets)
+
+
+def publish_pending_reports(spark: SparkSession, profile_day: DataFrame, out_dir: str, params: ReportParams, *,
+                            buckets: int | None = None) -> JobResult:
+    """Compute and publish every report after the last published one, from profile-day rows."""
     last = last_published_date(spark, out_dir)
-    reports = build_reports(spark, raw_pings, params, last_published=last, durable=True, buckets=buckets)
+    reports = reports_from_profile_day(spark, profile_day, params, last_published=last, durable=True, buckets=buckets)
     if reports.win.first > reports.win.last:
         return JobResult(reports.win.first, reports.win.last, None)
     publish_summaries(reports.summary, out_dir)

@@ -97,8 +97,14 @@ class Reports:
 def build_reports(spark: SparkSession, raw_pings: DataFrame, params: ReportParams, *,
                   last_published: _dt.date | None = None, durable: bool = False,
                   buckets: int | None = None) -> Reports:
+    return reports_from_profile_day(spark, rollup(clean_pings(raw_pings, params)), params,
+                                    last_published=last_published, durable=durable, buckets=buckets)
+
+
+def reports_from_profile_day(spark: SparkSession, pd: DataFrame, params: ReportParams, *,
+                             last_published: _dt.date | None = None, durable: bool = False,
+                             buckets: int | None = None) -> Reports:
     win = calendar.report_window(params, last_published)
-    pd = rollup(clean_pings(raw_pings, params))
     if durable:
         pd = write_profile_day(pd, spark, buckets=buckets)
     else:
