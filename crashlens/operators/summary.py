@@ -3,20 +3,16 @@ population estimates behind the console report."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from crashlens.functions.dates import iso_text
 from crashlens.params import PER_HOURS, ReportParams
 
 RATE_KINDS = ("main", "content", "plugin")
 
 
-def ratio(num: str | Column, den: str | Column) -> Column:
-    """A count ratio; NULL when the denominator is 0 or missing."""
-    num = F.col(num) if isinstance(num, str) else num
-    den = F.col(den) if isinstance(den, str) else den
-    return F.try_divide(num.cast("double"), den.cast("double"))
+def ratio(num: str, den: str) -> str:
+    """A count ratio as SQL; NULL when the denominator is 0 or missing."""
+    return f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
 
 
 def combine_report_metrics(weekly: DataFrame, history: DataFrame, cohort: DataFrame) -> DataFrame:
@@ -45,29 +41,29 @@ def summary_columns(params: ReportParams) -> list[str]:
 def weekly_summary(metrics: DataFrame, params: ReportParams) -> DataFrame:
     """The published weekly summary, keyed by threshold (D8), ratios NULL on an
     empty denominator (D9), rates per 1000 hours (F12)."""
-    exprs = [iso_text("end_date").alias("date")]
-    exprs += [ratio(f"crashed_{n}", "wau").alias(f"proportion_wau_crashes_{n}") for n in params.thresholds]
-    exprs += [ratio(f"new_crashed_{n}", "new_profiles").alias(f"proportion_new_crashes_{n}") for n in params.thresholds]
+    exprs = ["date_format(end_date, 'yyyy-MM-dd') AS date"]
+    exprs += [f"{ratio(f'crashed_{n}', 'wau')} AS proportion_wau_crashes_{n}" for n in params.thresholds]
+    exprs += [f"{ratio(f'new_crashed_{n}', 'new_profiles')} AS proportion_new_crashes_{n}" for n in params.thresholds]
     exprs += [
-        ratio("new_profiles", "wau").alias("proportion_new_profiles"),
-        ratio(F.coalesce(F.col("first_time_crashers"), F.lit(0)), "crashed_1").alias("proportion_first_time_crashes"),
-        ratio(F.coalesce(F.col("repeat_crashers"), F.lit(0)), "crashed_1").alias("proportion_multiple_crashes"),
-        ratio("e10s_on_crashed", "crashed_1").alias("proportion_e10s_enabled"),
-        ratio("e10s_off_crashed", "crashed_1").alias("proportion_e10s_disabled"),
+        f"{ratio('new_profiles', 'wau')} AS proportion_new_profiles",
+        f"{ratio('coalesce(first_time_crashers, 0)', 'crashed_1')} AS proportion_first_time_crashes",
+        f"{ratio('coalesce(repeat_crashers, 0)', 'crashed_1')} AS proportion_multiple_crashes",
+        f"{ratio('e10s_on_crashed', 'crashed_1')} AS proportion_e10s_enabled",
+        f"{ratio('e10s_off_crashed', 'crashed_1')} AS proportion_e10s_disabled",
     ]
-    exprs += [(F.col(f"{k}_per_hour") * PER_HOURS).alias(f"crash_rate_{k}_avg_by_user") for k in RATE_KINDS]
+    exprs += [f"{k}_per_hour * {PER_HOURS} AS crash_rate_{k}_avg_by_user" for k in RATE_KINDS]
     exprs += [
-        (F.col(f"{k}_per_hour_{tag}") * PER_HOURS).alias(f"crash_rate_{k}_avg_by_user_and_e10s_{s}")
-        for tag, s in (("on", "enabled"), ("off", "disabled"))
+        f"{k}_per_hour_{tag} * {PER_HOURS} AS crash_rate_{k}_avg_by_user_and_e10s_{state}"
+        for tag, state in (("on", "enabled"), ("off", "disabled"))
         for k in RATE_KINDS
     ]
     exprs += [
-        F.col("median_hours_between_crashes"),
-        F.col("geom_hours_between_crashes"),
-        ratio("cohort_crashed", "cohort_profiles").alias("proportion_new_crashes_bis"),
-        ratio("cohort_crashed_second_week", "cohort_profiles").alias("proportion_new_crashes_bis_second_week"),
+        "median_hours_between_crashes",
+        "geom_hours_between_crashes",
+        f"{ratio('cohort_crashed', 'cohort_profiles')} AS proportion_new_crashes_bis",
+        f"{ratio('cohort_crashed_second_week', 'cohort_profiles')} AS proportion_new_crashes_bis_second_week",
     ]
-    return metrics.select(F.col("end_date"), *exprs)
+    return metrics.selectExpr("end_date", *exprs)
 
 
 POPULATION_COUNTS = (
@@ -85,17 +81,14 @@ POPULATION_COUNTS = (
 
 def population_estimates(metrics: DataFrame, params: ReportParams) -> DataFrame:
     """Sample counts scaled to the population (x100 for a 1% sample), plus the
-    console's days-to-first-crash figures. F15: ``*_text`` columns carry the
-    thousands-separated text of the estimates."""
+    console's days-to-first-crash figures. F15: ``active_profiles_text`` carries the
+    thousands-separated text of the active-profile estimate."""
     f = params.population_factor
-    exprs = [F.col("end_date")]
-    for src, name in POPULATION_COUNTS:
-        exprs.append((F.coalesce(F.col(src), F.lit(0)) * f).alias(f"{name}_estimate"))
+    exprs = [f"coalesce({src}, 0) * {f} AS {name}_estimate" for src, name in POPULATION_COUNTS]
     for n in params.thresholds:
-        exprs.append((F.col(f"crashed_{n}") * f).alias(f"crashed_{n}_estimate"))
-        exprs.append((F.col(f"new_crashed_{n}") * f).alias(f"new_crashed_{n}_estimate"))
-    exprs += [F.col("days_mean").alias("mean_days_to_first_crash"),
-              F.col("days_p50").alias("median_days_to_first_crash"),
-              F.col("days_p90").alias("p90_days_to_first_crash")]
-    out = metrics.select(*exprs)
-    return out.select("*", F.format_number(F.col("active_profiles_estimate"), 0).alias("active_profiles_text"))
+        exprs.append(f"crashed_{n} * {f} AS crashed_{n}_estimate")
+        exprs.append(f"new_crashed_{n} * {f} AS new_crashed_{n}_estimate")
+    exprs += ["days_mean AS mean_days_to_first_crash", "days_p50 AS median_days_to_first_crash",
+              "days_p90 AS p90_days_to_first_crash",
+              f"format_number(wau * {f}, 0) AS active_profiles_text"]
+    return metrics.selectExpr("end_date", *exprs)

@@ -20,7 +20,7 @@ from crashlens.operators import calendar, cohort, history, summary, weekly
 from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import profile_day as rollup
 from crashlens.params import ReportParams
-from crashlens.plans.storage import write_profile_day
+from crashlens.plans.storage import write_intermediate, write_profile_day
 
 
 @dataclass
@@ -46,9 +46,9 @@ class Reports:
             stats = history.crash_stats(self.profile_day, self.win, bounded=bounded, prepartitioned=self.prepartitioned)
             if self.durable:
                 # durable run: one small table per (report, crashed profile), read by the
-                # median passes, the geometric mean and the histogram; checkpoint() writes
-                # it to the shared checkpoint folder and cuts the lineage.
-                stats = stats.checkpoint(eager=True)
+                # median passes, the geometric mean and the histogram; written once to the
+                # shared checkpoint folder, which also cuts the lineage.
+                stats = write_intermediate(stats, self.profile_day.sparkSession, "crash_stats")
             self._memo[key] = stats
         return self._memo[key]
 

@@ -43,3 +43,12 @@ def write_profile_day(profile_day: DataFrame, spark: SparkSession, *, buckets: i
         .saveAsTable(table)
     )
     return spark.table(table)
+
+
+def write_intermediate(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """Write a small intermediate table to the shared checkpoint folder and read it
+    back: one job (a reliable ``checkpoint()`` computes its input twice unless cached),
+    lineage cut, and the file survives the loss of any executor."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

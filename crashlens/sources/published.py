@@ -47,18 +47,17 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def publish_summaries(summary: DataFrame, out_dir: str) -> None:
-    """One JSON record per report under ``summary/end_date=YYYY-MM-DD``.
-    A report's few rows stay in one file per partition (``repartition`` on the key)."""
+    """One JSON record per report under ``summary/end_date=YYYY-MM-DD``."""
     doubles = [f.name for f in summary.schema.fields if isinstance(f.dataType, DoubleType)]
     out = summary.select(
         *[F.round(c, PUBLISH_DIGITS).alias(c) if c in doubles else F.col(c) for c in summary.columns]
     )
-    _write(out.repartition("end_date"), f"{out_dir.rstrip('/')}/{SUMMARY_DIR}")
+    _write(out, f"{out_dir.rstrip('/')}/{SUMMARY_DIR}")
 
 
 def publish_histograms(histogram: DataFrame, out_dir: str) -> None:
     """The hours histogram of each report, ``[{"hours": h, "count": n}, ...]``."""
-    _write(histogram.select("hours", "count", "end_date").repartition("end_date"), f"{out_dir.rstrip('/')}/{HOURS_DIR}")
+    _write(histogram.select("hours", "count", "end_date"), f"{out_dir.rstrip('/')}/{HOURS_DIR}")
 
 
 def read_summaries(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame | None:
@@ -116,7 +115,7 @@ def export_merged(summaries: DataFrame, path: str) -> None:
     ).json(path)
 
 
-def read_legacy_reports(spark: SparkSession, folder: str, stem: str = "fx_crashgraphs") -> DataFrame:
+def read_legacy_reports(spark: SparkSession, folder: str, stem: str) -> DataFrame:
     """S4 for files in the original naming ``<stem>-yyyyMMdd-yyyyMMdd.json`` (each a
     one-element JSON array): rows plus the end date parsed from the file name (F13)."""
     from crashlens.functions.dates import file_date

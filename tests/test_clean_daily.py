@@ -2,6 +2,7 @@ import datetime as dt
 
 from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import profile_day
+from crashlens.params import APP_NAME as APP
 from crashlens.params import fixture_params
 
 RAW = ("cid bigint, sid string, channel string, sd string, appname string, ssl bigint, cssm bigint, cdc bigint, "
@@ -14,21 +15,21 @@ def _raw(spark, rows):
 
 def test_filters_and_fill(spark):
     p = fixture_params()
-    ok = (1, "42", "release", "20240105", "Firefox", 600, None, None, None, None, None, 19700, True)
+    ok = (1, "42", "release", "20240105", APP, 600, None, None, None, None, None, 19700, True)
     rows = [
         ok,
-        (2, "7", "release", "20240105", "Firefox", 600, 1, 0, 0, 0, 0, 19700, True),          # off sample
-        (3, "42", "beta", "20240105", "Firefox", 600, 1, 0, 0, 0, 0, 19700, True),           # off channel
-        (4, "42", "release", "20240105", "Fennec", 600, 1, 0, 0, 0, 0, 19700, True),         # off app
-        (5, "42", "release", "20160630", "Firefox", 600, 1, 0, 0, 0, 0, 19700, True),        # before sd floor
-        (6, "42", "release", "20240105", "Firefox", None, 1, 0, 0, 0, 0, 19700, True),       # NULL session (D1)
-        (7, "42", "release", "20240105", "Firefox", -1, 1, 0, 0, 0, 0, 19700, True),         # negative session
-        (8, "42", "release", "20240105", "Firefox", 86401, 1, 0, 0, 0, 0, 19700, True),      # over-long session
-        (9, "42", "release", "20240105", "Firefox", 600, 1, 0, 0, 0, 0, 14000, True),        # created too early
-        (10, "42", "release", "20240105", "Firefox", 600, 1, 0, 0, 0, 0, 20000, True),       # created after today
-        (11, "42", "release", "20240105", "Firefox", 600, 1, 0, 0, 0, 0, 19700, None),       # NULL e10s
-        (12, "42", "release", "20240105", "Firefox", 86400, 1, 0, 0, 0, 0, 14610, False),    # both bounds inclusive
-        (13, "42", "release", "20240105", "Firefox", 0, 1, 0, 0, 0, 0, 19753, False),
+        (2, "7", "release", "20240105", APP, 600, 1, 0, 0, 0, 0, 19700, True),          # off sample
+        (3, "42", "beta", "20240105", APP, 600, 1, 0, 0, 0, 0, 19700, True),           # off channel
+        (4, "42", "release", "20240105", "other-app", 600, 1, 0, 0, 0, 0, 19700, True),         # off app
+        (5, "42", "release", "20160630", APP, 600, 1, 0, 0, 0, 0, 19700, True),        # before sd floor
+        (6, "42", "release", "20240105", APP, None, 1, 0, 0, 0, 0, 19700, True),       # NULL session (D1)
+        (7, "42", "release", "20240105", APP, -1, 1, 0, 0, 0, 0, 19700, True),         # negative session
+        (8, "42", "release", "20240105", APP, 86401, 1, 0, 0, 0, 0, 19700, True),      # over-long session
+        (9, "42", "release", "20240105", APP, 600, 1, 0, 0, 0, 0, 14000, True),        # created too early
+        (10, "42", "release", "20240105", APP, 600, 1, 0, 0, 0, 0, 20000, True),       # created after today
+        (11, "42", "release", "20240105", APP, 600, 1, 0, 0, 0, 0, 19700, None),       # NULL e10s
+        (12, "42", "release", "20240105", APP, 86400, 1, 0, 0, 0, 0, 14610, False),    # both bounds inclusive
+        (13, "42", "release", "20240105", APP, 0, 1, 0, 0, 0, 0, 19753, False),
     ]
     out = clean_pings(_raw(spark, rows), p).orderBy("cid").collect()
     assert [r.cid for r in out] == [1, 12, 13]
@@ -37,9 +38,9 @@ def test_filters_and_fill(spark):
 
 def test_profile_day_rollup(spark):
     rows = [
-        (1, "42", "release", "20240105", "Firefox", 600, 1, 2, 3, 1, 2, 19700, True),
-        (1, "42", "release", "20240105", "Firefox", 300, 0, 1, 0, 0, 0, 19690, True),
-        (1, "42", "release", "20240105", "Firefox", 100, 1, 0, 0, 0, 0, 19700, False),
+        (1, "42", "release", "20240105", APP, 600, 1, 2, 3, 1, 2, 19700, True),
+        (1, "42", "release", "20240105", APP, 300, 0, 1, 0, 0, 0, 19690, True),
+        (1, "42", "release", "20240105", APP, 100, 1, 0, 0, 0, 0, 19700, False),
     ]
     pd = profile_day(_raw(spark, rows)).orderBy("e10s").collect()
     off, on = pd

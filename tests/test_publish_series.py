@@ -52,9 +52,9 @@ def test_job_publish_incremental(spark):
 def test_legacy_reader(spark):
     folder = tempfile.mkdtemp(prefix="crashlens-legacy-")
     for start, end, v in (("20170101", "20170107", 0.1), ("20170102", "20170108", 0.2)):
-        with open(os.path.join(folder, f"fx_crashgraphs-{start}-{end}.json"), "w") as f:
+        with open(os.path.join(folder, f"weekly-{start}-{end}.json"), "w") as f:
             f.write(json.dumps([{"date": f"{end[:4]}-{end[4:6]}-{end[6:]}", "proportion_wau_crashes_1": v}]) + "\n")
-    df = read_legacy_reports(spark, folder)
+    df = read_legacy_reports(spark, folder, "weekly")
     got = sorted((r.end_date, r.proportion_wau_crashes_1) for r in df.collect())
     assert got == [(d("2017-01-07"), 0.1), (d("2017-01-08"), 0.2)]
 
