@@ -55,16 +55,41 @@ def end_dates_covering(day: Column, win: ReportWindow, offset: int = 0) -> Colum
     return F.filter(candidates, lambda e: is_report_day(e, win))
 
 
+MONTH_COL = "month"  # yyyyMM partition column of the durable profile-day table
+
+
+def month_key(d: Column) -> Column:
+    return F.date_format(d, "yyyyMM")
+
+
+def days_between(df: DataFrame, lo: _dt.date | None, hi: _dt.date | None, day_col: str = "day") -> DataFrame:
+    """Keep rows with ``lo <= day <= hi``. The day bound is pushed into the Parquet
+    scan; on a table partitioned by month the same bound on ``month`` prunes whole
+    partition directories."""
+    day = F.col(day_col)
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (day >= F.lit(lo))
+    if hi is not None:
+        cond = cond & (day <= F.lit(hi))
+    if MONTH_COL in df.columns:
+        if lo is not None:
+            cond = cond & (F.col(MONTH_COL) >= lo.strftime("%Y%m"))
+        if hi is not None:
+            cond = cond & (F.col(MONTH_COL) <= hi.strftime("%Y%m"))
+    return df.filter(cond)
+
+
 def explode_to_reports(df: DataFrame, win: ReportWindow, day_col: str = "day", out: str = "end_date") -> DataFrame:
     """Repeat each row once per report whose window contains its day.
 
     Rows outside every window are filtered first (a pushed-down range filter on the
-    submission day), and each surviving row is repeated at most ``len(weekdays)`` times.
+    submission day, plus month-partition pruning on the durable table), and each
+    surviving row is repeated at most ``len(weekdays)`` times.
     """
     day = F.col(day_col)
-    return (
-        df.filter(day.between(F.lit(win.scan_from), F.lit(win.last)))
-        .withColumn(out, F.explode(end_dates_covering(day, win)))
+    return days_between(df, win.scan_from, win.last, day_col).withColumn(
+        out, F.explode(end_dates_covering(day, win))
     )
 
 

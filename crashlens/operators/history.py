@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from crashlens.functions.crash import hours, is_crash_row, product_crashes
 from crashlens.functions.stats import exact_percentiles, geometric_mean
-from crashlens.operators.calendar import ReportWindow, explode_to_reports
+from crashlens.operators.calendar import ReportWindow, days_between, explode_to_reports
 from crashlens.operators.weekly import by_profile
 
 SORT_KEYS = ("sd", "cdc", "cssm", "cdpgmp", "ssl")
@@ -65,7 +65,7 @@ def crash_stats(profile_day: DataFrame, win: ReportWindow, *, bounded: bool = Tr
     """
     if bounded:
         # rows after the last report can never be seen (sd is a partition / pushed filter)
-        profile_day = profile_day.filter(F.col("day") <= F.lit(win.last))
+        profile_day = days_between(profile_day, None, win.last)
     gaps = crash_gaps(profile_day, prepartitioned=prepartitioned)
     if bounded:
         # the newest crash inside the report's week is the newest one it can see

@@ -8,7 +8,10 @@ by ``cid`` under the cluster's shared checkpoint folder does three things:
   few bucket files instead of re-running the scan and rollup;
 * reads come back hash-partitioned on ``cid``, so aggregations, windows and
   self joins on ``cid`` run without another shuffle, in every later job;
-* the rows inside a bucket are sorted by (cid, sd), the order the history window needs.
+* the rows inside a bucket are sorted by (cid, sd), the order the history window needs;
+* it is also partitioned by month (``yyyyMM``), so a step that only needs recent days
+  (the weekly metrics) prunes old partitions, while a bucketed scan over several
+  months still comes back hash-partitioned on cid.
 """
 
 from __future__ import annotations
@@ -16,6 +19,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from crashlens.operators.calendar import MONTH_COL, month_key
 
 from crashlens.session import scratch_path
 
@@ -35,8 +41,10 @@ def write_profile_day(profile_day: DataFrame, spark: SparkSession, *, buckets: i
     path = path or scratch_path(spark, "profile_day")
     table = table or f"crashlens_profile_day_{uuid.uuid4().hex[:10]}"
     (
-        profile_day.repartition(buckets, "cid")
+        profile_day.withColumn(MONTH_COL, month_key(F.col("day")))
+        .repartition(buckets, "cid")
         .write.mode("overwrite")
+        .partitionBy(MONTH_COL)
         .bucketBy(buckets, "cid")
         .sortBy("cid", "sd")
         .option("path", path)
