@@ -17,9 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from crashlens.params import ReportParams
+from crashlens.operators.calendar import report_window
 from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import profile_day as rollup
-from crashlens.plans.report import Reports, reports_from_profile_day
+from crashlens.plans.report import reports_from_profile_day
 from crashlens.sources.published import last_published_date, publish_histograms, publish_summaries
 
 
@@ -27,7 +28,12 @@ from crashlens.sources.published import last_published_date, publish_histograms,
 class JobResult:
     first_report: _dt.date
     last_report: _dt.date
-    reports: Reports | None
+    reports: int  # report dates in the window (those without any data produce no row)
+
+
+def report_days(win) -> int:
+    n = (win.last - win.first).days + 1
+    return sum(1 for i in range(max(n, 0)) if (win.first + _dt.timedelta(days=i)).weekday() in win.weekdays)
 
 
 def run_report_job(spark: SparkSession, raw_pings: DataFrame, out_dir: str, params: ReportParams, *,
@@ -39,9 +45,13 @@ def publish_pending_reports(spark: SparkSession, profile_day: DataFrame, out_dir
                             buckets: int | None = None) -> JobResult:
     """Compute and publish every report after the last published one, from profile-day rows."""
     last = last_published_date(spark, out_dir)
+    win = report_window(params, last)
+    if win.first > win.last:  # nothing due: do not even roll up
+        return JobResult(win.first, win.last, 0)
     reports = reports_from_profile_day(spark, profile_day, params, last_published=last, durable=True, buckets=buckets)
-    if reports.win.first > reports.win.last:
-        return JobResult(reports.win.first, reports.win.last, None)
-    publish_summaries(reports.summary, out_dir)
-    publish_histograms(reports.histogram, out_dir)
-    return JobResult(reports.win.first, reports.win.last, reports)
+    try:
+        publish_summaries(reports.summary, out_dir)
+        publish_histograms(reports.histogram, out_dir)
+        return JobResult(reports.win.first, reports.win.last, report_days(win))
+    finally:
+        reports.release()

@@ -11,6 +11,7 @@ cid-keyed step repartitions on cid itself.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -20,7 +21,7 @@ from crashlens.operators import calendar, cohort, history, summary, weekly
 from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import profile_day as rollup
 from crashlens.params import ReportParams
-from crashlens.plans.storage import write_intermediate, write_profile_day
+from crashlens.plans.storage import drop_table, write_intermediate, write_profile_day
 
 
 @dataclass
@@ -30,8 +31,15 @@ class Reports:
     profile_day: DataFrame
     prepartitioned: bool = False
     durable: bool = False
+    table: str | None = None
     _memo: dict = field(default_factory=dict, repr=False)
 
+    def release(self) -> None:
+        """Drop the catalog entry of the durable profile-day table, if any."""
+        if self.table:
+            drop_table(self.profile_day.sparkSession, self.table)
+            self.table = None
+
     def calendar(self) -> DataFrame:
         return calendar.report_calendar(self.profile_day, self.win)
 
@@ -105,10 +113,12 @@ def reports_from_profile_day(spark: SparkSession, pd: DataFrame, params: ReportP
                              last_published: _dt.date | None = None, durable: bool = False,
                              buckets: int | None = None) -> Reports:
     win = calendar.report_window(params, last_published)
+    table = None
     if durable:
-        pd = write_profile_day(pd, spark, buckets=buckets)
+        table = f"crashlens_profile_day_{uuid.uuid4().hex[:10]}"
+        pd = write_profile_day(pd, spark, buckets=buckets, table=table)
     else:
         # one shuffle on cid shared by every branch of a plan (identical subtrees are
         # reused as one exchange); downstream cid-keyed steps add none of their own
         pd = pd.repartition("cid")
-    return Reports(params=params, win=win, profile_day=pd, prepartitioned=True, durable=durable)
+    return Reports(params=params, win=win, profile_day=pd, prepartitioned=True, durable=durable, table=table)

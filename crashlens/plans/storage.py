@@ -60,3 +60,10 @@ def write_intermediate(df: DataFrame, spark: SparkSession, name: str) -> DataFra
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Forget a catalog entry made by ``write_profile_day``. The table is external,
+    so its files stay in the checkpoint folder (cleaned by the cluster's retention)."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")

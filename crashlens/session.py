@@ -43,10 +43,16 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only when none is configured (local
-    tests) fall back to a fresh temporary folder."""
+    """Use the session's checkpoint folder. Only a local session without one (tests)
+    gets a fresh temporary folder; a cluster session without one is an error."""
     d = checkpoint_dir(spark)
     if d is None:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError(
+                "set spark.checkpoint.dir to a folder shared by the cluster (HDFS, S3, ...): "
+                "the profile-day table and intermediate tables are written there"
+            )
         d = tempfile.mkdtemp(prefix="crashlens-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
