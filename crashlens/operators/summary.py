@@ -51,9 +51,9 @@ def weekly_summary(metrics: DataFrame, params: ReportParams) -> DataFrame:
         f"{ratio('e10s_on_crashed', 'crashed_1')} AS proportion_e10s_enabled",
         f"{ratio('e10s_off_crashed', 'crashed_1')} AS proportion_e10s_disabled",
     ]
-    exprs += [f"{k}_per_hour * {PER_HOURS} AS crash_rate_{k}_avg_by_user" for k in RATE_KINDS]
+    exprs += [f"{k}_per_hour * {PER_HOURS}D AS crash_rate_{k}_avg_by_user" for k in RATE_KINDS]
     exprs += [
-        f"{k}_per_hour_{tag} * {PER_HOURS} AS crash_rate_{k}_avg_by_user_and_e10s_{state}"
+        f"{k}_per_hour_{tag} * {PER_HOURS}D AS crash_rate_{k}_avg_by_user_and_e10s_{state}"
         for tag, state in (("on", "enabled"), ("off", "disabled"))
         for k in RATE_KINDS
     ]
@@ -84,11 +84,11 @@ def population_estimates(metrics: DataFrame, params: ReportParams) -> DataFrame:
     console's days-to-first-crash figures. F15: ``active_profiles_text`` carries the
     thousands-separated text of the active-profile estimate."""
     f = params.population_factor
-    exprs = [f"coalesce({src}, 0) * {f} AS {name}_estimate" for src, name in POPULATION_COUNTS]
+    exprs = [f"CAST(coalesce({src}, 0) AS DOUBLE) * {f}D AS {name}_estimate" for src, name in POPULATION_COUNTS]
     for n in params.thresholds:
-        exprs.append(f"crashed_{n} * {f} AS crashed_{n}_estimate")
-        exprs.append(f"new_crashed_{n} * {f} AS new_crashed_{n}_estimate")
+        exprs.append(f"CAST(crashed_{n} AS DOUBLE) * {f}D AS crashed_{n}_estimate")
+        exprs.append(f"CAST(new_crashed_{n} AS DOUBLE) * {f}D AS new_crashed_{n}_estimate")
     exprs += ["days_mean AS mean_days_to_first_crash", "days_p50 AS median_days_to_first_crash",
               "days_p90 AS p90_days_to_first_crash",
-              f"format_number(wau * {f}, 0) AS active_profiles_text"]
+              f"format_number(CAST(wau AS DOUBLE) * {f}D, 0) AS active_profiles_text"]
     return metrics.selectExpr("end_date", *exprs)
