@@ -66,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_day": _r(lambda r: r.profile_day.drop("day")),
         "report_weeks": _r(lambda r: r.calendar().select("end_date", "start_date", "date", "start_sd", "end_sd", "weekday")),
         "report_week_neighbours": _r(lambda r: r.calendar().select("end_date", "previous_report", "next_report")),
+        "last_report_date": _r(lambda r: r.calendar().agg(F.max("end_date").alias("last_report_date"))),
         "weekly_active": _weekly("wau"),
         "crashed_profiles": _weekly("crashed_1", "crashed_2"),
         "new_profiles": _weekly("new_profiles"),

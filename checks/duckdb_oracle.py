@@ -351,6 +351,7 @@ SELECT end_date,
        CAST(CASE WHEN isodow(end_date) BETWEEN 1 AND 4 THEN end_date + 1 WHEN isodow(end_date) = 5 THEN end_date + 3
             WHEN isodow(end_date) = 6 THEN end_date + 2 ELSE end_date + 8 END AS DATE) AS next_report
 FROM weeks"""
+    q["last_report_date"] = _with() + "\nSELECT max(end_date) AS last_report_date FROM weeks"
     q["weekly_active"] = _with(A2_A4) + "\nSELECT end_date, wau FROM wau_cnt"
     q["crashed_profiles"] = _with(A3) + "\nSELECT end_date, crashed_1, crashed_2 FROM crashed_cnt"
     q["new_profiles"] = _with(A2_A4) + "\nSELECT end_date, new_profiles FROM wau_cnt"
