@@ -22,7 +22,7 @@ from pyspark.sql.types import DoubleType
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks.duckdb_oracle import oracle_queries  # noqa: E402
-from crashlens.operators import calendar, cohort, history, series  # noqa: E402
+from crashlens.operators import cohort, history, series  # noqa: E402
 from crashlens.operators.clean import clean_pings  # noqa: E402
 from crashlens.params import fixture_params  # noqa: E402
 from crashlens.plans.report import Reports, build_reports  # noqa: E402
@@ -118,4 +118,4 @@ def oracle_sql() -> dict[str, str]:
     return {k: sql[k] for k in queries() if k in sql}
 
 
-__all__ = ["entry", "queries", "oracle_sql", "calendar"]
+__all__ = ["entry", "queries", "oracle_sql"]

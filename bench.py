@@ -19,7 +19,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from crashlens.operators import calendar, cohort, history, weekly  # noqa: E402
 from crashlens.params import fixture_params  # noqa: E402
