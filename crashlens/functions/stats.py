@@ -32,6 +32,7 @@ def exact_percentiles(
     max_digit_bits: int = 21,
     value_bits: int | None = None,
     group_limit: int = 1_000_000,
+    broadcast_target_rows: int = 1_000_000,
 ) -> DataFrame:
     """Exact linear-interpolated percentiles of a non-negative integer column per group.
 
@@ -40,7 +41,8 @@ def exact_percentiles(
     floor((n-1)p) and ceil((n-1)p). NULL values are ignored; groups without values
     are absent from the result. Returns ``keys`` + one double column per probability.
 
-    One small job first reads the largest group size and the largest value. When
+    One small job first reads the number of groups, the largest group size and the
+    largest value. When
     no group holds more than ``group_limit`` values, Spark's exact ``percentile``
     runs directly: its per-group buffer (distinct value -> count) is then bounded
     by the checked limit. Beyond it the radix passes run; the bit length of the
@@ -49,16 +51,20 @@ def exact_percentiles(
     keys = list(keys)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
     vals = df.select(*keys, F.col(value).cast("long").alias("_v")).filter(F.col("_v").isNotNull())
-    if value_bits is None or group_limit > 0:
-        sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("_v").alias("top"))
-        row = sizes.agg(F.max("n").alias("n"), F.max("top").alias("top")).first()
-        largest_group, top = int(row["n"] or 0), int(row["top"] or 0)
-        if largest_group <= group_limit:
-            pct = F.percentile(F.col("_v"), [float(p) for p in probs])
-            out = vals.groupBy(*keys).agg(pct.alias("_p"))
-            return out.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
-        if value_bits is None:
-            value_bits = max(top.bit_length(), 1)
+    sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("_v").alias("top"))
+    row = sizes.agg(F.max("n").alias("n"), F.max("top").alias("top"), F.count(F.lit(1)).alias("g")).first()
+    largest_group, top, groups = int(row["n"] or 0), int(row["top"] or 0), int(row["g"] or 0)
+    # the radix passes join every value with the rank targets of its group; on the first
+    # pass all values share prefix 0, so a shuffle join would send a whole group to one
+    # task. The targets (2 per probability per group) are broadcast when their counted
+    # number is small; otherwise the join is left to AQE's skew-join splitting.
+    small_targets = groups * 2 * len(probs) <= broadcast_target_rows
+    if largest_group <= group_limit:
+        pct = F.percentile(F.col("_v"), [float(p) for p in probs])
+        out = vals.groupBy(*keys).agg(pct.alias("_p"))
+        return out.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+    if value_bits is None:
+        value_bits = max(top.bit_length(), 1)
     value_bits = min(value_bits, 63)
     levels = -(-value_bits // max_digit_bits)
     bits = -(-value_bits // levels)
@@ -89,7 +95,7 @@ def exact_percentiles(
             F.shiftright("_v", shift).bitwiseAND(F.lit(mask)).alias("_digit"),
         )
         hist = (
-            cand.join(t, [*keys, "_prefix"])
+            cand.join(F.broadcast(t) if small_targets else t, [*keys, "_prefix"])
             .groupBy(*target, "_rank", "_prefix", "_digit")
             .agg(F.count(F.lit(1)).alias("_c"))
         )

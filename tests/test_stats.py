@@ -6,8 +6,8 @@ import pytest
 from crashlens.functions.stats import exact_percentiles, geometric_mean
 
 
-@pytest.mark.parametrize("limit,bits", [(1_000_000, 21), (0, 21), (0, 5)])
-def test_exact_percentiles_paths(spark, limit, bits):
+@pytest.mark.parametrize("limit,bits,bcast", [(1_000_000, 21, 10**6), (0, 21, 10**6), (0, 5, 10**6), (0, 21, 0)])
+def test_exact_percentiles_paths(spark, limit, bits, bcast):
     rng = random.Random(11)
     rows = [("hot", rng.randrange(0, 10)) for _ in range(3000)]               # one group with a third+ of rows
     rows += [("wide", rng.randrange(0, 2 ** 40)) for _ in range(500)]
@@ -15,7 +15,8 @@ def test_exact_percentiles_paths(spark, limit, bits):
     rows += [("none", None)]
     df = spark.createDataFrame(rows, "g string, v bigint")
     probs = [0.1, 0.25, 0.5, 0.75, 0.9]
-    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, group_limit=limit, max_digit_bits=bits).collect()}
+    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, group_limit=limit, max_digit_bits=bits,
+                                                   broadcast_target_rows=bcast).collect()}
     assert "none" not in got
     for g in ("hot", "wide", "one"):
         vals = np.array([v for k, v in rows if k == g], dtype=float)
