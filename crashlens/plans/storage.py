@@ -27,7 +27,11 @@ from crashlens.session import scratch_path
 
 
 def default_buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Buckets = the larger of the shuffle-partition setting and the cluster's task
+    slots, so every slot gets a bucket. Large deployments pass ``buckets`` explicitly,
+    sized to about 256 MB of profile-day rows per bucket (see README)."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(shuffle, spark.sparkContext.defaultParallelism)
 
 
 def write_profile_day(profile_day: DataFrame, spark: SparkSession, *, buckets: int | None = None,
