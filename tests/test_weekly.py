@@ -75,3 +75,25 @@ def test_fixture_week_values(spark):
     assert (b.wau, b.crashed_1, b.crashed_2, b.new_profiles, b.cohort_profiles) == (126, 45, 12, 8, 28)
     assert (b.repeat_crashers, b.first_time_crashers) == (49, 5)
     assert b.median_hours_between_crashes == pytest.approx(46.6147, abs=1e-4)
+
+
+def test_empty_denominators_sf0001(spark):
+    """FIXTURES.md: at sf0.001 the week ending 2024-01-29 has no new profile and no
+    crashed profile with e10s off (D9: NULL ratio, count 0, no error)."""
+    from tests.conftest import SF001
+
+    r = build_reports(spark, fixture_pings(spark, SF001), fixture_params())
+    s = {x.date: x for x in r.summary.collect()}["2024-01-29"]
+    m = {x.end_date.isoformat(): x for x in r.metrics.collect()}["2024-01-29"]
+    assert m.new_profiles == 0 and s.proportion_new_crashes_1 is None and s.proportion_new_crashes_2 is None
+    assert m.e10s_off_crashed == 0 and s.proportion_e10s_disabled == 0.0
+
+
+def test_report_weekdays_parameter(spark):
+    """The report days are a parameter (e.g. Monday, Wednesday, Friday)."""
+    p = fixture_params(report_weekdays=(0, 2, 4))
+    r = build_reports(spark, fixture_pings(spark, SF01), p)
+    days = sorted(x.end_date for x in r.weekly.collect())
+    assert days and all(x.weekday() in (0, 2, 4) for x in days)
+    full = {x.end_date: x.wau for x in build_reports(spark, fixture_pings(spark, SF01), fixture_params()).weekly.collect()}
+    assert all(full[x.end_date] == x.wau for x in r.weekly.collect())
