@@ -16,10 +16,10 @@ ssl is exactly the f..n slice of the walk. So each crash row carries its own
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.functions.crash import hours, is_crash_row, product_crashes
+from crashlens.functions.crash import hours, is_crash_row
 from crashlens.functions.stats import exact_percentiles, geometric_mean
 from crashlens.operators.calendar import ReportWindow, days_between, explode_to_reports
 from crashlens.operators.weekly import by_profile
@@ -30,28 +30,23 @@ SORT_KEYS = ("sd", "cdc", "cssm", "cdpgmp", "ssl")
 def crash_gaps(profile_day: DataFrame, *, prepartitioned: bool = False) -> DataFrame:
     """One row per crash row: cid, day, g (crash ordinal, oldest = 0), crashes on the
     row, session seconds since the previous crash row (exclusive) up to this one."""
-    oldest_first = Window.partitionBy("cid").orderBy(*SORT_KEYS)
-    x = by_profile(profile_day, prepartitioned).select(
-        "cid", *SORT_KEYS, "day", is_crash_row().alias("crash"), product_crashes().alias("t")
-    )
-    before = oldest_first.rowsBetween(Window.unboundedPreceding, -1)
-    x = x.withColumn("g", F.coalesce(F.sum(F.col("crash").cast("long")).over(before), F.lit(0).cast("long")))
-    return (
-        x.groupBy("cid", "g")
-        .agg(
-            F.bool_or("crash").alias("ends_in_crash"),
-            F.sum("ssl").alias("island_seconds"),
-            F.max(F.when(F.col("crash"), F.col("day"))).alias("day"),
-            F.max(F.when(F.col("crash"), F.col("t"))).alias("t"),
-        )
-        .filter(F.col("ends_in_crash"))
-        .select(
-            "cid", "day", "g", "t",
-            ((F.col("t") > 1) | (F.col("g") > 0)).alias("has_multiple_crashes"),
-            F.when(F.col("t") > 1, F.lit(0).cast("long"))
-            .when(F.col("g") > 0, F.col("island_seconds"))
-            .alias("seconds"),
-        )
+    order = ", ".join(SORT_KEYS)
+    x = by_profile(profile_day, prepartitioned).selectExpr(
+        "cid", *SORT_KEYS, "day", "cssm + cdc > 0 AS crash", "cssm + cdc AS t",
+    ).withColumn("g", F.expr(
+        "coalesce(sum(CAST(crash AS BIGINT)) OVER (PARTITION BY cid ORDER BY "
+        f"{order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    ))
+    islands = x.groupBy("cid", "g").agg(*[F.expr(e) for e in (
+        "bool_or(crash) AS ends_in_crash",
+        "sum(ssl) AS island_seconds",
+        "max(CASE WHEN crash THEN day END) AS day",
+        "max(CASE WHEN crash THEN t END) AS t",
+    )])
+    return islands.where("ends_in_crash").selectExpr(
+        "cid", "day", "g", "t",
+        "t > 1 OR g > 0 AS has_multiple_crashes",
+        "CASE WHEN t > 1 THEN CAST(0 AS BIGINT) WHEN g > 0 THEN island_seconds END AS seconds",
     )
 
 
@@ -69,23 +64,17 @@ def crash_stats(profile_day: DataFrame, win: ReportWindow, *, bounded: bool = Tr
     gaps = crash_gaps(profile_day, prepartitioned=prepartitioned)
     if bounded:
         # the newest crash inside the report's week is the newest one it can see
-        pick = [F.max_by("has_multiple_crashes", "g").alias("m"), F.max_by("seconds", "g").alias("s")]
+        pick = ("max_by(has_multiple_crashes, g) AS m", "max_by(seconds, g) AS s")
     else:
         # the newest crash of the whole history, the same for every report of the profile
-        whole = Window.partitionBy("cid")
-        gaps = gaps.select(
+        gaps = gaps.selectExpr(
             "cid", "day",
-            F.max_by("has_multiple_crashes", "g").over(whole).alias("has_multiple_crashes"),
-            F.max_by("seconds", "g").over(whole).alias("seconds"),
+            "max_by(has_multiple_crashes, g) OVER (PARTITION BY cid) AS has_multiple_crashes",
+            "max_by(seconds, g) OVER (PARTITION BY cid) AS seconds",
         )
-        pick = [F.max("has_multiple_crashes").alias("m"), F.max("seconds").alias("s")]
-    out = explode_to_reports(gaps, win).groupBy("end_date", "cid").agg(*pick)
-    return out.select(
-        "end_date", "cid",
-        F.col("m").alias("has_multiple_crashes"),
-        F.col("s").alias("seconds"),
-        hours(F.col("s")).alias("hours"),
-    )
+        pick = ("max(has_multiple_crashes) AS m", "max(seconds) AS s")
+    out = explode_to_reports(gaps, win).groupBy("end_date", "cid").agg(*[F.expr(e) for e in pick])
+    return out.selectExpr("end_date", "cid", "m AS has_multiple_crashes", "s AS seconds", "s / 60 / 60 AS hours")
 
 
 def history_metrics(stats: DataFrame) -> DataFrame:
