@@ -73,7 +73,8 @@ def _with(*ctes: str) -> str:
 
 
 def _rnd(expr: str) -> str:
-    return f"round({expr}, {R})"
+    # + 0.0 turns a rounded -0.0 into 0.0, as Spark's decimal-based round does
+    return f"(round({expr}, {R}) + 0.0)"
 
 
 # ---- per-metric CTEs, as the original per-week queries -------------------------
