@@ -18,19 +18,28 @@ from pyspark.sql import functions as F
 
 from crashlens.functions.crash import product_crashes
 from crashlens.operators.calendar import ReportWindow, end_dates_covering
-from crashlens.operators.weekly import by_profile
-from crashlens.params import ReportParams
+from crashlens.operators.profiles import by_profile, profiles_with_rows
+from crashlens.params import ReportParams, date_to_epoch_day
 
 DAY_PROBS = (0.1, 0.25, 0.5, 0.75, 0.9)
 DAY_PROB_NAMES = ("days_p10", "days_p25", "days_p50", "days_p75", "days_p90")
 
 
-def cohort_outcomes(profile_day: DataFrame, params: ReportParams, *, prepartitioned: bool = False) -> DataFrame:
+def cohort_outcomes(profile_day: DataFrame, params: ReportParams, *, prepartitioned: bool = False,
+                    win: ReportWindow | None = None) -> DataFrame:
     """One row per profile: pcd, crashed_two_weeks (U2 group: 1 if the crashes of rows
     up to pcd + 13 sum to >= 1), has_crashed / crashed_second_week /
     days_to_first_crash (U3: first crash row up to pcd + 13; days may be negative)
-    and ``pcds``, the distinct creation days seen on its rows (cohort membership)."""
-    x = by_profile(profile_day, prepartitioned).select("cid", "day", "pcd", "cssm", "cdc")
+    and ``pcds``, the distinct creation days seen on its rows (cohort membership).
+
+    With ``win`` only profiles that can be in one of its cohorts (a row created in
+    [first - 20, last - 14]) are followed, over their whole history (J2)."""
+    pd = by_profile(profile_day, prepartitioned)
+    if win is not None:
+        lo = date_to_epoch_day(win.scan_from) - params.cohort_lag_days
+        hi = date_to_epoch_day(win.last) - params.cohort_lag_days
+        pd = profiles_with_rows(pd, F.col("pcd").between(lo, hi))
+    x = pd.select("cid", "day", "pcd", "cssm", "cdc")
     x = x.withColumn("pcd0", F.min("pcd").over(Window.partitionBy("cid")))
     birth = F.date_from_unix_date(F.col("pcd0"))
     in_two_weeks = F.col("day") <= F.date_add(birth, params.cohort_span_days - 1)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from crashlens.functions.crash import hours, is_crash_row
 from crashlens.functions.stats import exact_percentiles, geometric_mean
 from crashlens.operators.calendar import ReportWindow, days_between, explode_to_reports
-from crashlens.operators.weekly import by_profile
+from crashlens.operators.profiles import by_profile, profiles_with_rows
 
 SORT_KEYS = ("sd", "cdc", "cssm", "cdpgmp", "ssl")
 
@@ -61,7 +61,11 @@ def crash_stats(profile_day: DataFrame, win: ReportWindow, *, bounded: bool = Tr
     if bounded:
         # rows after the last report can never be seen (sd is a partition / pushed filter)
         profile_day = days_between(profile_day, None, win.last)
-    gaps = crash_gaps(profile_day, prepartitioned=prepartitioned)
+    profile_day = by_profile(profile_day, prepartitioned)
+    # Only profiles with a crash row inside some report window need their history
+    in_windows = F.col("day").between(F.lit(win.scan_from), F.lit(win.last))
+    profile_day = profiles_with_rows(profile_day, in_windows & is_crash_row())
+    gaps = crash_gaps(profile_day, prepartitioned=True)
     if bounded:
         # the newest crash inside the report's week is the newest one it can see
         pick = ("max_by(has_multiple_crashes, g) AS m", "max_by(seconds, g) AS s")

@@ -14,17 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crashlens.operators.calendar import MONTH_COL, ReportWindow, explode_to_reports
+from crashlens.operators.profiles import by_profile
 from crashlens.params import ReportParams
 
 E10S_STATES = ((True, "on"), (False, "off"))
 RATE_KINDS = (("main", "cssm"), ("content", "cdc"), ("plugin", "cdpgmp"))
 
 
-def by_profile(profile_day: DataFrame, prepartitioned: bool) -> DataFrame:
-    """Hash-partition on cid once, before any expansion, unless already bucketed by cid."""
-    return profile_day if prepartitioned else profile_day.repartition("cid")
-
-
 def weekly_profile_rows(profile_day: DataFrame, win: ReportWindow, *, prepartitioned: bool = False) -> DataFrame:
     """One row per (end_date, cid) with every per-profile quantity A2-A8 need.
 

@@ -70,7 +70,7 @@ class Reports:
 
     @cached_property
     def cohort_outcomes(self) -> DataFrame:
-        return cohort.cohort_outcomes(self.profile_day, self.params, prepartitioned=self.prepartitioned)
+        return cohort.cohort_outcomes(self.profile_day, self.params, prepartitioned=self.prepartitioned, win=self.win)
 
     @cached_property
     def cohort_members(self) -> DataFrame:

@@ -134,3 +134,19 @@ def test_longitudinal_sorted(spark):
     rows = [(1, "2024-01-05", True, 19701, 10, 0, 0, 0), (1, "2024-01-02", False, 19700, 20, 1, 0, 0)]
     r = longitudinal(pd_rows(spark, rows)).first()
     assert r.pcd == 19700 and [h.sd for h in r.history] == ["20240102", "20240105"]
+
+
+def test_candidate_profiles_both_paths(spark):
+    from pyspark.sql import functions as F
+
+    from crashlens.operators.profiles import profiles_with_rows
+
+    rows = _random_rows(5)
+    pd = pd_rows(spark, rows).repartition("cid")
+    cond = F.col("cssm") > 1
+    wanted = {r[0] for r in rows if r[5] > 1}
+    expected = sorted(r for r in rows if r[0] in wanted)
+    for limit in (10**6, 0):
+        got = sorted((r.cid, r.day.isoformat(), r.e10s, r.pcd, r.ssl, r.cssm, r.cdc, r.cdpgmp)
+                     for r in profiles_with_rows(pd, cond, broadcast_limit=limit).collect())
+        assert got == expected
