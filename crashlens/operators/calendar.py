@@ -62,6 +62,12 @@ def month_key(d: Column) -> Column:
     return F.date_format(d, "yyyyMM")
 
 
+def with_month(df: DataFrame, *cols: str) -> list[str]:
+    """``cols`` plus the month partition column when ``df`` has one, so a later day
+    filter can still prune partitions after a projection."""
+    return [*cols, MONTH_COL] if MONTH_COL in df.columns else list(cols)
+
+
 def days_between(df: DataFrame, lo: _dt.date | None, hi: _dt.date | None, day_col: str = "day") -> DataFrame:
     """Keep rows with ``lo <= day <= hi``. The day bound is pushed into the Parquet
     scan; on a table partitioned by month the same bound on ``month`` prunes whole
@@ -133,7 +139,7 @@ def report_calendar(profile_day: DataFrame, win: ReportWindow) -> DataFrame:
     Derived from the distinct submission days (a tiny partial aggregate), so the
     calendar never lists a report whose window holds no data.
     """
-    days = profile_day.select("day").distinct()
+    days = profile_day.select(*with_month(profile_day, "day")).distinct()
     ends = explode_to_reports(days, win).select("end_date").distinct()
     start = window_start(F.col("end_date"), win)
     return ends.select(

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from crashlens.functions.crash import hours, is_crash_row
 from crashlens.functions.stats import exact_percentiles, geometric_mean
-from crashlens.operators.calendar import ReportWindow, days_between, explode_to_reports
+from crashlens.operators.calendar import ReportWindow, days_between, explode_to_reports, with_month
 from crashlens.operators.profiles import by_profile, profiles_with_rows
 
 SORT_KEYS = ("sd", "cdc", "cssm", "cdpgmp", "ssl")
@@ -110,7 +110,7 @@ def hours_histogram_view(histogram: DataFrame, max_hours: int = 30) -> DataFrame
 
 def crashed_profiles_in_week(profile_day: DataFrame, win: ReportWindow) -> DataFrame:
     """J1 left side / A19: distinct (report, cid) with a crash row inside the window."""
-    crash_rows = profile_day.filter(is_crash_row()).select("cid", "day")
+    crash_rows = profile_day.filter(is_crash_row()).select(*with_month(profile_day, "cid", "day"))
     return explode_to_reports(crash_rows, win).select("end_date", "cid").distinct()
 
 

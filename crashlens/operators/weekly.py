@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.operators.calendar import MONTH_COL, ReportWindow, explode_to_reports
+from crashlens.operators.calendar import ReportWindow, explode_to_reports, with_month
 from crashlens.operators.profiles import by_profile
 from crashlens.params import ReportParams
 
@@ -27,8 +27,7 @@ def weekly_profile_rows(profile_day: DataFrame, win: ReportWindow, *, prepartiti
     The aggregate list is written as SQL expressions: the same plan as the Column
     API, built with one JVM call per expression instead of dozens.
     """
-    cols = ["cid", "day", "e10s", "pcd", "ssl", "cssm", "cdc", "cdpgmp"]
-    cols += [MONTH_COL] if MONTH_COL in profile_day.columns else []
+    cols = with_month(profile_day, "cid", "day", "e10s", "pcd", "ssl", "cssm", "cdc", "cdpgmp")
     rows = explode_to_reports(by_profile(profile_day, prepartitioned).select(*cols), win)
     active = "ssl > 0"                                                                   # P11
     new = f"ssl > 0 AND pcd BETWEEN unix_date(date_sub(end_date, {win.days - 1})) AND unix_date(end_date)"  # P12
