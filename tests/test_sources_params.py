@@ -40,3 +40,19 @@ def test_extra_threshold_keys(spark):
     assert set(summary_columns(p)) <= set(cols)
     for row in r.weekly.collect():
         assert row.crashed_3 <= row.crashed_2 <= row.crashed_1
+
+
+def test_string_client_ids(spark):
+    """The original's client id is a string; any hashable key works the same."""
+    from pyspark.sql import functions as F
+
+    p = fixture_params()
+    pings = fixture_pings(spark, SF001)
+    as_text = pings.withColumn("cid", F.concat(F.lit("client-"), F.col("cid").cast("string")))
+    a = {r.date: r for r in build_reports(spark, pings, p).summary.drop("end_date").collect()}
+    b = {r.date: r for r in build_reports(spark, as_text, p).summary.drop("end_date").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for f in a[k].__fields__:
+            x, y = a[k][f], b[k][f]
+            assert (x is None and y is None) or x == pytest.approx(y, rel=1e-12), (k, f)
