@@ -5,7 +5,8 @@
 
 Reads the ping table (first location that exists), computes every weekday report
 after the last published one up to yesterday, publishes summaries and histograms
-under ``--out`` and exports the merged summary as one JSON file (``--out``/merged).
+under ``--out`` and exports the merged summary as one JSON file (``--out``/merged, one
+object per line; ``--out``/merged_array, the single JSON array the site reads).
 The session comes from spark-submit; ``spark.checkpoint.dir`` must name a shared folder.
 """
 
@@ -50,6 +51,7 @@ def main(argv: list[str] | None = None) -> None:
     merged = read_summaries(spark, args.out, summary_columns(params))
     if merged is not None:
         export_merged(merged, f"{args.out.rstrip('/')}/merged")
+        export_merged(merged, f"{args.out.rstrip('/')}/merged_array", as_array=True)
     print(f"reports {result.first_report} .. {result.last_report}: {result.reports} report days")
 
 

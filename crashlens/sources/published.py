@@ -107,10 +107,19 @@ def week_histogram(spark: SparkSession, out_dir: str, end_date: _dt.date) -> Dat
     return None if hist is None else hist.filter(F.col("end_date") == F.lit(end_date))
 
 
-def export_merged(summaries: DataFrame, path: str) -> None:
+def export_merged(summaries: DataFrame, path: str, *, as_array: bool = False) -> None:
     """S8 export: the merged table as a single JSON file, oldest first. One row per
-    report, so a single writer is bounded by the number of reports."""
-    summaries.drop("end_date").coalesce(1).sortWithinPartitions("date").write.mode("overwrite").option(
+    report, so a single writer is bounded by the number of reports.
+
+    ``as_array=True`` writes the one-line JSON array the site reads
+    (``[{"date": ...}, ...]``, nulls kept) instead of one object per line."""
+    rows = summaries.drop("end_date")
+    if as_array:
+        cols = ["date"] + [c for c in rows.columns if c != "date"]  # date first: the array sorts by it
+        merged = F.to_json(F.array_sort(F.collect_list(F.struct(*cols))), {"ignoreNullFields": "false"})
+        rows.agg(merged.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+        return
+    rows.coalesce(1).sortWithinPartitions("date").write.mode("overwrite").option(
         "ignoreNullFields", "false"
     ).json(path)
 

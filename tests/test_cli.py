@@ -18,3 +18,9 @@ def test_cli_runs_job(spark):
     part = [f for f in os.listdir(merged) if f.endswith(".json")][0]
     rows = [json.loads(x) for x in open(os.path.join(merged, part))]
     assert rows and rows[0]["date"] >= "2024-01-08" and len(rows[0]) == 23
+    arr_dir = os.path.join(out, "merged_array")
+    part = [f for f in os.listdir(arr_dir) if f.startswith("part-")][0]
+    arr = json.loads(open(os.path.join(arr_dir, part)).read())
+    assert isinstance(arr, list) and len(arr) == len(rows)
+    assert [x["date"] for x in arr] == sorted(x["date"] for x in arr)
+    assert all(len(x) == 23 for x in arr)
