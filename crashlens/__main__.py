@@ -22,7 +22,7 @@ from crashlens.params import ReportParams
 from crashlens.plans.job import run_report_job
 from crashlens.session import ensure_checkpoint_dir
 from crashlens.sources.pings import read_raw_pings
-from crashlens.sources.published import export_merged, read_summaries
+from crashlens.sources.published import export_histogram_arrays, export_merged, read_histograms, read_summaries
 
 
 def _date(s: str) -> _dt.date:
@@ -52,6 +52,9 @@ def main(argv: list[str] | None = None) -> None:
     if merged is not None:
         export_merged(merged, f"{args.out.rstrip('/')}/merged")
         export_merged(merged, f"{args.out.rstrip('/')}/merged_array", as_array=True)
+    hist = read_histograms(spark, args.out)
+    if hist is not None:
+        export_histogram_arrays(hist, f"{args.out.rstrip('/')}/hours_arrays")
     print(f"reports {result.first_report} .. {result.last_report}: {result.reports} report days")
 
 

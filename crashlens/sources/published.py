@@ -124,6 +124,18 @@ def export_merged(summaries: DataFrame, path: str, *, as_array: bool = False) ->
     ).json(path)
 
 
+def export_histogram_arrays(histograms: DataFrame, path: str) -> None:
+    """S7 in the site's layout: per report one line ``[{"hours": h, "count": n}, ...]``
+    (hours ascending) under ``end_date=YYYY-MM-DD``. One aggregate per report, bounded
+    by that report's distinct hour buckets."""
+    arr = F.to_json(F.array_sort(F.collect_list(F.struct("hours", "count"))))
+    (
+        histograms.groupBy("end_date").agg(arr.alias("value"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("end_date").text(path)
+    )
+
+
 def read_legacy_reports(spark: SparkSession, folder: str, stem: str) -> DataFrame:
     """S4 for files in the original naming ``<stem>-yyyyMMdd-yyyyMMdd.json`` (each a
     one-element JSON array): rows plus the end date parsed from the file name (F13)."""

@@ -24,3 +24,8 @@ def test_cli_runs_job(spark):
     assert isinstance(arr, list) and len(arr) == len(rows)
     assert [x["date"] for x in arr] == sorted(x["date"] for x in arr)
     assert all(len(x) == 23 for x in arr)
+    week = os.path.join(out, "hours_arrays", "end_date=" + arr[-1]["date"])
+    text = "".join(open(os.path.join(week, f)).read() for f in os.listdir(week) if f.startswith("part-"))
+    hist = json.loads(text)
+    assert [h["hours"] for h in hist] == sorted(h["hours"] for h in hist)
+    assert set(hist[0]) == {"hours", "count"}
