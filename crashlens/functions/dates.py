@@ -6,8 +6,6 @@ since 1970-01-01; inside the library both become DATE / int arithmetic.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,7 +47,3 @@ def file_date(path_col: Column, stem: str) -> Column:
     """the end date of a published file ``<stem>-yyyyMMdd-yyyyMMdd.json``."""
     pattern = stem + r"-\d{8}-(\d{8})\.json$"
     return F.try_to_date(F.regexp_extract(path_col, pattern, 1), DAY_TEXT)
-
-
-def lit_date(d: _dt.date) -> Column:
-    return F.lit(d)

@@ -17,10 +17,6 @@ def date_to_epoch_day(d: _dt.date) -> int:
     return (d - EPOCH).days
 
 
-def epoch_day_to_date(n: int) -> _dt.date:
-    return EPOCH + _dt.timedelta(days=n)
-
-
 # Fixed values that must equal the original report's definitions.
 SAMPLE_ID = "42"                      # the 1% sample bucket
 SAMPLE_PERCENT = 1.0                  # share of the population the bucket represents
