@@ -1,7 +1,7 @@
-"""Run the report job: ``spark-submit -m crashlens`` or ``python -m crashlens``.
+"""Run the report job from the command line.
 
-    python -m crashlens --pings s3a://bucket/main_summary/v4 s3a://bucket/main_summary/v3 \
-                        --out s3a://bucket/stability/ [--today 2024-01-31]
+    python -m crashlens --pings <ping table> [<fallback location> ...] --out <folder> [--today 2024-01-31]
+    spark-submit --py-files crashlens.zip crashlens/__main__.py --pings ... --out ...
 
 Reads the ping table (first location that exists), computes every weekday report
 after the last published one up to yesterday, publishes summaries and histograms
