@@ -72,3 +72,14 @@ def test_series_and_markers(spark):
          (d("2024-01-10"), "dev", "123.0b1")], "date date, category string, version string")
     m = release_markers(rel, dt.date(2024, 1, 31), "major").collect()
     assert sorted(x.label for x in m) == ["121.0", "Shutdown kills removed (click me)"]
+
+
+def test_job_with_no_data_in_window(spark):
+    """Reports after the data ends: the job completes and publishes nothing (no division
+    errors, no empty-group failures), so the next run retries the same window."""
+    out = tempfile.mkdtemp(prefix="crashlens-test-empty-")
+    p = fixture_params(today=d("2024-03-01"), default_last_report=d("2024-02-10"))
+    res = run_report_job(spark, fixture_pings(spark, SF001), out, p, buckets=4)
+    assert (res.first_report, res.last_report) == (d("2024-02-11"), d("2024-02-29"))
+    assert last_published_date(spark, out) is None
+    assert read_summaries(spark, out, summary_columns(p)).count() == 0
