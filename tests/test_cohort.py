@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from crashlens.operators.calendar import ReportWindow
 from crashlens.operators.cohort import cohort_members, cohort_metrics, cohort_outcomes
 from crashlens.params import fixture_params
@@ -45,8 +47,9 @@ def test_crash_before_creation_and_negative_content(spark):
     assert (m.cohort_profiles, m.cohort_crashed, m.days_count, m.days_min) == (2, 1, 1, 2)
 
 
-def test_random_against_brute_force(spark):
-    rng = random.Random(3)
+@pytest.mark.parametrize("seed", [3, 17])
+def test_random_against_brute_force(spark, seed):
+    rng = random.Random(seed)
     base = dt.date(2024, 1, 1)
     rows = {}
     for _ in range(500):

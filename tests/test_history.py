@@ -89,9 +89,10 @@ def _random_rows(seed, n_profiles=40, n_rows=600):
     return list(rows.values())
 
 
+@pytest.mark.parametrize("seed", [7, 11, 23])
 @pytest.mark.parametrize("bounded", [True, False])
-def test_random_against_walk(spark, bounded):
-    rows = _random_rows(7)
+def test_random_against_walk(spark, bounded, seed):
+    rows = _random_rows(seed)
     got = {(r.end_date, r.cid): (r.has_multiple_crashes, r.hours)
            for r in crash_stats(pd_rows(spark, rows), WIN, bounded=bounded).collect()}
     expected = {}
