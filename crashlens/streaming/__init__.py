@@ -1,3 +1,3 @@
-from crashlens.streaming.incremental import start_incremental_reports
+from crashlens.streaming.incremental import run_incremental_reports
 
-__all__ = ["start_incremental_reports"]
+__all__ = ["run_incremental_reports"]

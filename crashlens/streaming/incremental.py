@@ -7,12 +7,12 @@ the stream does not hold report state. Instead:
 * each micro-batch is cleaned and rolled up to *partial* profile-day rows, which
   are written under ``partials/batch=<id>`` (overwrite, so a retried batch
   replaces its own output: idempotent);
-* the report job then combines all partials (sums and min are associative),
-  writes the bucketed profile-day table and publishes every report after the
-  last published one, up to yesterday.
+* once the stream has consumed everything available, the report job combines all
+  partials (sums and min are associative), writes the bucketed profile-day table and
+  publishes every report after the last published one, up to yesterday.
 
-Run with ``trigger(availableNow=True)`` from a daily scheduler: it consumes what
-arrived since the last run and stops.
+Run from a daily scheduler: the available-now trigger consumes what arrived since
+the last run and stops.
 """
 
 from __future__ import annotations
@@ -24,27 +24,38 @@ from pyspark.sql.types import StructType
 from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import combine_profile_days, profile_day
 from crashlens.params import ReportParams
-from crashlens.plans.job import publish_pending_reports
+from crashlens.plans.job import JobResult, publish_pending_reports
 from crashlens.sources.pings import select_ping_columns
 
 PARTIALS = "partials"
 
 
-def start_incremental_reports(spark: SparkSession, ping_dir: str, ping_schema: StructType, state_dir: str,
-                              out_dir: str, params: ReportParams, *, buckets: int | None = None,
-                              available_now: bool = True) -> StreamingQuery:
-    """Start the stream. ``ping_schema`` is the source table's schema (source column
-    names); ``state_dir`` holds the stream checkpoint and the partial rollups."""
+def run_incremental_reports(spark: SparkSession, ping_dir: str, ping_schema: StructType, state_dir: str,
+                            out_dir: str, params: ReportParams, *, buckets: int | None = None,
+                            max_files_per_trigger: int | None = None) -> JobResult:
+    """Consume the ping files that arrived since the last run, then publish every
+    report that became due. ``ping_schema`` is the source table's schema (source
+    column names); ``state_dir`` holds the stream checkpoint and the partial rollups.
+
+    Publishing runs once, after the stream has consumed everything available, so the
+    result does not depend on how the stream splits the new files into micro-batches.
+    """
     state_dir = state_dir.rstrip("/")
     partials_dir = f"{state_dir}/{PARTIALS}"
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
+    def write_partials(batch: DataFrame, batch_id: int) -> None:
         pd = profile_day(clean_pings(select_ping_columns(batch), params)).drop("day")
         pd.write.mode("overwrite").parquet(f"{partials_dir}/batch={batch_id}")
-        everything = combine_profile_days(spark.read.parquet(partials_dir).drop("batch"))
-        publish_pending_reports(spark, everything, out_dir, params, buckets=buckets)
 
-    stream = spark.readStream.schema(ping_schema).parquet(ping_dir)
-    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{state_dir}/checkpoint")
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 day")
-    return writer.start()
+    reader = spark.readStream.schema(ping_schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    query: StreamingQuery = (
+        reader.parquet(ping_dir).writeStream.foreachBatch(write_partials)
+        .option("checkpointLocation", f"{state_dir}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    everything = combine_profile_days(spark.read.parquet(partials_dir).drop("batch"))
+    return publish_pending_reports(spark, everything, out_dir, params, buckets=buckets)
