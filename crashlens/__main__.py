@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> None:
         params = params.with_(default_last_report=args.first_report - _dt.timedelta(days=1))
     spark = SparkSession.builder.appName("crashlens").getOrCreate()
     ensure_checkpoint_dir(spark)
-    result = run_report_job(spark, read_raw_pings(spark, args.pings), args.out, params, buckets=args.buckets)
+    result = run_report_job(spark, read_raw_pings(spark, args.pings), args.out, params, buckets=args.buckets, echo=True)
     merged = read_summaries(spark, args.out, summary_columns(params))
     if merged is not None:
         export_merged(merged, f"{args.out.rstrip('/')}/merged")

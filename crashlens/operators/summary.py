@@ -92,3 +92,45 @@ def population_estimates(metrics: DataFrame, params: ReportParams) -> DataFrame:
               "days_p90 AS p90_days_to_first_crash",
               f"format_number(CAST(wau AS DOUBLE) * {f}D, 0) AS active_profiles_text"]
     return metrics.selectExpr("end_date", *exprs)
+
+
+def console_report(metrics: DataFrame, params: ReportParams) -> DataFrame:
+    """The weekly console report as text, one row per (report, line).
+
+    Counts are population estimates (sample count x 100 for a 1% sample) with thousands
+    separators; shares are percentages with two decimals; rates are per 1000 hours.
+    Built from the per-report metrics only (one row per report), never from profiles.
+    """
+    f = params.population_factor
+
+    def est(col: str) -> str:
+        return f"format_number(CAST(coalesce({col}, 0) AS DOUBLE) * {f}D, 0)"
+
+    # format_string does not return NULL for a NULL argument, so test for it first
+    def pct(num: str, den: str) -> str:
+        r = ratio(num, den)
+        return f"CASE WHEN {r} IS NULL THEN 'n/a' ELSE format_string('%.2f%%', {r} * 100) END"
+
+    def num(col: str) -> str:
+        return f"CASE WHEN {col} IS NULL THEN 'n/a' ELSE format_string('%.2f', {col}) END"
+
+    lines = [
+        f"concat('Active profiles: ', {est('wau')})",
+        *[f"concat('Profiles with {n}+ crashes: ', {est(f'crashed_{n}')}, ' (', {pct(f'crashed_{n}', 'wau')}, ' of active)')"
+          for n in params.thresholds],
+        f"concat('New profiles: ', {est('new_profiles')}, ' (', {pct('new_profiles', 'wau')}, ' of active)')",
+        *[f"concat('New profiles with {n}+ crashes: ', {est(f'new_crashed_{n}')}, ' (', "
+          f"{pct(f'new_crashed_{n}', 'new_profiles')}, ' of new)')" for n in params.thresholds],
+        f"concat('First crash on record: ', {est('first_time_crashers')}, ' (', {pct('first_time_crashers', 'crashed_1')}, ' of crashed)')",
+        f"concat('Crashed before: ', {est('repeat_crashers')}, ' (', {pct('repeat_crashers', 'crashed_1')}, ' of crashed)')",
+        f"concat('Cohort created two weeks earlier: ', {est('cohort_profiles')})",
+        f"concat('Cohort crashed within two weeks: ', {est('cohort_crashed')}, ' (', {pct('cohort_crashed', 'cohort_profiles')}, ')')",
+        f"concat('Cohort first crash in week two: ', {est('cohort_crashed_second_week')}, ' (', "
+        f"{pct('cohort_crashed_second_week', 'cohort_profiles')}, ' of cohort)')",
+        f"concat('Days to first crash: mean ', {num('days_mean')}, ', median ', {num('days_p50')}, ', p90 ', {num('days_p90')})",
+        f"concat('e10s enabled among crashed: ', {est('e10s_on_crashed')}, ' (', {pct('e10s_on_crashed', 'crashed_1')}, ')')",
+        f"concat('e10s disabled among crashed: ', {est('e10s_off_crashed')}, ' (', {pct('e10s_off_crashed', 'crashed_1')}, ')')",
+        *[f"concat('{k.capitalize()} crashes per 1000 hours: ', {num(f'{k}_per_hour * {PER_HOURS}D')})" for k in RATE_KINDS],
+    ]
+    arr = "array(" + ", ".join(f"named_struct('line', {i}, 'text', {t})" for i, t in enumerate(lines)) + ")"
+    return metrics.selectExpr("end_date", f"explode({arr}) AS l").selectExpr("end_date", "l.line AS line", "l.text AS text")

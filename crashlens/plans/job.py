@@ -15,6 +15,7 @@ import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from crashlens.params import ReportParams
 from crashlens.operators.calendar import report_window
@@ -37,12 +38,13 @@ def report_days(win) -> int:
 
 
 def run_report_job(spark: SparkSession, raw_pings: DataFrame, out_dir: str, params: ReportParams, *,
-                   buckets: int | None = None) -> JobResult:
-    return publish_pending_reports(spark, rollup(clean_pings(raw_pings, params)), out_dir, params, buckets=buckets)
+                   buckets: int | None = None, echo: bool = False) -> JobResult:
+    return publish_pending_reports(spark, rollup(clean_pings(raw_pings, params)), out_dir, params,
+                                   buckets=buckets, echo=echo)
 
 
 def publish_pending_reports(spark: SparkSession, profile_day: DataFrame, out_dir: str, params: ReportParams, *,
-                            buckets: int | None = None) -> JobResult:
+                            buckets: int | None = None, echo: bool = False) -> JobResult:
     """Compute and publish every report after the last published one, from profile-day rows."""
     last = last_published_date(spark, out_dir)
     win = report_window(params, last)
@@ -52,6 +54,11 @@ def publish_pending_reports(spark: SparkSession, profile_day: DataFrame, out_dir
     try:
         publish_summaries(reports.summary, out_dir)
         publish_histograms(reports.histogram, out_dir)
+        if echo:
+            # the console report of the newest report (about twenty lines)
+            newest = reports.console.filter(F.col("end_date") == F.lit(win.last)).orderBy("line")
+            for row in newest.collect():
+                print(row["text"])
         return JobResult(reports.win.first, reports.win.last, report_days(win))
     finally:
         reports.release()

@@ -92,6 +92,10 @@ class Reports:
     def population(self) -> DataFrame:
         return summary.population_estimates(self.metrics, self.params)
 
+    @cached_property
+    def console(self) -> DataFrame:
+        return summary.console_report(self.metrics, self.params)
+
     def crashed_history(self) -> DataFrame:
         return history.crashed_history(self.profile_day, self.win, prepartitioned=self.prepartitioned)
 

@@ -97,3 +97,14 @@ def test_report_weekdays_parameter(spark):
     assert days and all(x.weekday() in (0, 2, 4) for x in days)
     full = {x.end_date: x.wau for x in build_reports(spark, fixture_pings(spark, SF01), fixture_params()).weekly.collect()}
     assert all(full[x.end_date] == x.wau for x in r.weekly.collect())
+
+
+def test_console_report(spark):
+    from crashlens.operators.summary import console_report
+
+    r = build_reports(spark, fixture_pings(spark, SF01), fixture_params())
+    lines = {(x.end_date.isoformat(), x.line): x.text for x in console_report(r.metrics, fixture_params()).collect()}
+    assert lines[("2024-01-15", 0)] == "Active profiles: 12,600"
+    assert lines[("2024-01-15", 1)] == "Profiles with 1+ crashes: 4,500 (35.71% of active)"
+    assert lines[("2024-01-15", 6)] == "First crash on record: 2,600 (57.78% of crashed)"
+    assert lines[("2024-01-08", 9)] == "Cohort crashed within two weeks: 0 (n/a)"   # no cohort yet (D9)
