@@ -63,8 +63,8 @@ def crash_stats(profile_day: DataFrame, win: ReportWindow, *, bounded: bool = Tr
         profile_day = days_between(profile_day, None, win.last)
     profile_day = by_profile(profile_day, prepartitioned)
     # Only profiles with a crash row inside some report window need their history
-    in_windows = F.col("day").between(F.lit(win.scan_from), F.lit(win.last))
-    profile_day = profiles_with_rows(profile_day, in_windows & is_crash_row())
+    in_windows = days_between(profile_day, win.scan_from, win.last)   # prunes month partitions
+    profile_day = profiles_with_rows(profile_day, is_crash_row(), source=in_windows)
     gaps = crash_gaps(profile_day, prepartitioned=True)
     if bounded:
         # the newest crash inside the report's week is the newest one it can see

@@ -15,7 +15,7 @@ def by_profile(profile_day: DataFrame, prepartitioned: bool) -> DataFrame:
     return profile_day if prepartitioned else profile_day.repartition("cid")
 
 
-def profiles_with_rows(profile_day: DataFrame, where: Column, *,
+def profiles_with_rows(profile_day: DataFrame, where: Column, *, source: DataFrame | None = None,
                        broadcast_limit: int = BROADCAST_PROFILE_LIMIT) -> DataFrame:
     """All rows (whole history) of the profiles having at least one row matching ``where``.
 
@@ -23,9 +23,10 @@ def profiles_with_rows(profile_day: DataFrame, where: Column, *,
     USING (cid)" subsets (J1, J2). One small job counts the candidate profiles; if
     their number is within ``broadcast_limit`` they are broadcast and the profile-day
     rows are filtered in place (no sort, no shuffle). Otherwise a semi join runs on
-    the cid partitioning both sides already share.
+    the cid partitioning both sides already share. ``source`` (default: the rows
+    themselves) is where candidates are looked for, e.g. a partition-pruned slice.
     """
-    ids = profile_day.filter(where).select("cid").distinct()
+    ids = (profile_day if source is None else source).filter(where).select("cid").distinct()
     if ids.count() <= broadcast_limit:
         ids = F.broadcast(ids)
     return profile_day.join(ids, "cid", "left_semi")
