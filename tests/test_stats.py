@@ -27,3 +27,27 @@ def test_exact_percentiles_paths(spark, limit, bits, bcast):
 def test_geometric_mean(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (None,)], "x double")
     assert df.select(geometric_mean(df.x)).first()[0] == pytest.approx(np.exp(np.log([2.0, 4.0]).mean()) - 1)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    groups=st.dictionaries(
+        st.sampled_from(["a", "b", "c"]),
+        st.lists(st.one_of(st.integers(0, 50), st.integers(0, 2**45)), min_size=1, max_size=60),
+        min_size=1,
+    ),
+    radix=st.booleans(),
+)
+def test_exact_percentiles_property(spark, groups, radix):
+    rows = [(g, v) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, v bigint")
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, group_limit=0 if radix else 10**6).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        want = np.percentile(np.array(vs, dtype=float), [p * 100 for p in probs])
+        assert [got[g][f"p{int(p * 100)}"] for p in probs] == pytest.approx(list(want), rel=1e-12, abs=1e-9)
