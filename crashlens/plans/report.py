@@ -3,9 +3,10 @@
 ``build_reports`` takes raw pings and parameters and returns a ``Reports``
 object whose methods are the report's tables. Nothing runs until an action.
 With ``durable=True`` the profile-day rollup is first written as a table
-bucketed by cid (plans/storage.py) and everything downstream reads it without
-shuffling on cid again; otherwise the whole run stays one lazy plan and each
-cid-keyed step repartitions on cid itself.
+bucketed by cid and partitioned by month (plans/storage.py), and everything
+downstream reads it without shuffling on cid again; otherwise the run stays one
+lazy plan over a single up-front repartition of the rollup on cid (the registered
+test queries use this mode).
 """
 
 from __future__ import annotations
