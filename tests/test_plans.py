@@ -52,3 +52,12 @@ def test_durable_plans_shuffle_free_on_cid(spark):
         assert "BroadcastHashJoin LeftSemi" in tree
     finally:
         r.release()
+
+
+def test_no_python_in_report_plans(spark):
+    """Everything stays JVM-side: no Python UDF evaluation anywhere in the report plans."""
+    r = build_reports(spark, fixture_pings(spark, SF001), fixture_params())
+    for df in (r.summary, r.histogram, r.cohort_members, r.population, r.console):
+        plan = _plan(df)
+        for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
+            assert marker not in plan
