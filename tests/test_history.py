@@ -151,3 +151,44 @@ def test_candidate_profiles_both_paths(spark):
         got = sorted((r.cid, r.day.isoformat(), r.e10s, r.pcd, r.ssl, r.cssm, r.cdc, r.cdpgmp)
                      for r in profiles_with_rows(pd, cond, broadcast_limit=limit).collect())
         assert got == expected
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_ROW = st.tuples(
+    st.integers(0, 3),                       # cid
+    st.integers(0, 20),                      # day offset in January
+    st.booleans(),                           # e10s
+    st.sampled_from([0, 60, 3600, 5000]),    # ssl
+    st.sampled_from([0, 0, 1, 2]),           # cssm
+    st.sampled_from([-1, 0, 0, 1]),          # cdc
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(raw=st.lists(_ROW, min_size=1, max_size=40), bounded=st.booleans())
+def test_property_against_walk(spark, raw, bounded):
+    rows = {}
+    for cid, off, e10s, ssl, cssm, cdc in raw:   # one row per (cid, day, e10s), as the rollup gives
+        day = (dt.date(2024, 1, 1) + dt.timedelta(days=off)).isoformat()
+        rows[(cid, day, e10s)] = (cid, day, e10s, 19700, ssl, cssm, cdc, 0)
+    rows = list(rows.values())
+    win = ReportWindow(first=d("2024-01-08"), last=d("2024-01-19"), weekdays=(0, 1, 2, 3, 4), days=7)
+    got = {(r.end_date, r.cid): (r.has_multiple_crashes, r.hours)
+           for r in crash_stats(pd_rows(spark, rows), win, bounded=bounded).collect()}
+    expected = {}
+    for off in range(12):
+        end = win.first + dt.timedelta(days=off)
+        if end.weekday() > 4:
+            continue
+        start = end - dt.timedelta(days=6)
+        for cid in {r[0] for r in rows}:
+            hist = [(r[1].replace("-", ""), r[6], r[5], r[7], r[4]) for r in rows if r[0] == cid]
+            if not any(start.strftime("%Y%m%d") <= h[0] <= end.strftime("%Y%m%d") and h[1] + h[2] > 0 for h in hist):
+                continue
+            seen = [h for h in hist if h[0] <= end.strftime("%Y%m%d")] if bounded else hist
+            expected[(end, cid)] = _walk(seen)
+    assert set(got) == set(expected)
+    for k, (multi, hours) in expected.items():
+        assert got[k][0] == multi and (got[k][1] == hours or abs(got[k][1] - hours) < 1e-9)
