@@ -108,3 +108,58 @@ def test_console_report(spark):
     assert lines[("2024-01-15", 1)] == "Profiles with 1+ crashes: 4,500 (35.71% of active)"
     assert lines[("2024-01-15", 6)] == "First crash on record: 2,600 (57.78% of crashed)"
     assert lines[("2024-01-08", 9)] == "Cohort crashed within two weeks: 0 (n/a)"   # no cohort yet (D9)
+
+
+def test_random_against_brute_force(spark):
+    import datetime as dt
+    import random
+
+    rng = random.Random(5)
+    base = dt.date(2024, 1, 1)
+    rows = {}
+    for _ in range(400):
+        cid = rng.randrange(30)
+        day = base + dt.timedelta(days=rng.randrange(25))
+        e10s = rng.random() < 0.5
+        pcd = epoch("2024-01-01") + rng.randrange(-5, 25)
+        rows[(cid, day, e10s)] = (cid, day.isoformat(), e10s, pcd, rng.choice([0, 0, 60, 3600, 7200]),
+                                  rng.choice([0, 0, 1, 2]), rng.choice([-1, 0, 0, 1]), rng.choice([0, 1]))
+    rows = list(rows.values())
+    p = fixture_params()
+    win = ReportWindow(first=d("2024-01-08"), last=d("2024-01-25"), weekdays=(0, 1, 2, 3, 4), days=7)
+    got = {x.end_date: x for x in weekly_metrics(pd_rows(spark, rows), win, p).collect()}
+
+    def mean(xs):
+        xs = [x for x in xs if x is not None]
+        return sum(xs) / len(xs) if xs else None
+
+    def rate(c, s):
+        return None if s == 0 else c / (s / 60 / 60)
+
+    for off in range(18):
+        end = win.first + dt.timedelta(days=off)
+        if end.weekday() > 4:
+            continue
+        lo, hi = (end - dt.timedelta(days=6)).isoformat(), end.isoformat()
+        wk = [r for r in rows if lo <= r[1] <= hi]
+        if not wk:
+            assert end not in got
+            continue
+        e_lo, e_hi = epoch(lo), epoch(hi)
+        cids = {r[0] for r in wk}
+        act = {c: [r for r in wk if r[0] == c and r[4] > 0] for c in cids}
+        new = {c: [r for r in act[c] if e_lo <= r[3] <= e_hi] for c in cids}
+        g = got[end]
+        assert g.wau == sum(1 for c in cids if act[c])
+        for n in (1, 2):
+            assert g[f"crashed_{n}"] == sum(1 for c in cids if act[c] and sum(r[5] + r[6] for r in act[c]) >= n)
+            assert g[f"new_crashed_{n}"] == sum(1 for c in cids if new[c] and sum(r[5] + r[6] for r in new[c]) >= n)
+        assert g.new_profiles == sum(1 for c in cids if new[c])
+        for flag, tag in ((True, "on"), (False, "off")):
+            grp = {c: [r for r in wk if r[0] == c and r[2] == flag] for c in cids}
+            assert g[f"e10s_{tag}_crashed"] == sum(1 for c in cids if grp[c] and sum(r[5] + r[6] for r in grp[c]) > 0)
+            want = mean([rate(sum(r[5] for r in grp[c]), sum(r[4] for r in grp[c])) for c in cids if grp[c]])
+            assert (g[f"main_per_hour_{tag}"] is None and want is None) or g[f"main_per_hour_{tag}"] == pytest.approx(want)
+        for kind, i in (("main", 5), ("content", 6), ("plugin", 7)):
+            want = mean([rate(sum(r[i] for r in wk if r[0] == c), sum(r[4] for r in wk if r[0] == c)) for c in cids])
+            assert (g[f"{kind}_per_hour"] is None and want is None) or g[f"{kind}_per_hour"] == pytest.approx(want)
