@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,18 @@ SF_SMOKE = "/root/testdata/sf0.001"
 DIGITS = 6
 
 
+def _llm():
+    """The training-data operators and pipeline, if they are there; errors inside them are not hidden."""
+    if find_spec("crashlens.llm") is None or find_spec("corpus_pipeline") is None:
+        return {}, {}
+    from crashlens.llm import oracle, queries as llm_queries
+
+    import corpus_pipeline
+
+    return ({**llm_queries.queries(), "pipeline": corpus_pipeline.run},
+            {**oracle.oracle_sql(), **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})})
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     return df.select(
         *[F.round(F.col(f.name), DIGITS).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name)
@@ -110,11 +123,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "weekly_summary": _r(_summary_cols),
         "population_estimates": _r(lambda r: r.population),
         "summary_series": _r(lambda r: series.summary_series(r.summary)),
+        **_llm()[0],
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = oracle_queries()
+    sql = {**oracle_queries(), **_llm()[1]}
     return {k: sql[k] for k in queries() if k in sql}
 
 
