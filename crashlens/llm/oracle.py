@@ -16,16 +16,16 @@ def _quality_sql() -> str:
         tests.append(f"CASE WHEN NOT ({' AND '.join(bounds)}) THEN '{r.measure}' END")
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-w AS (SELECT *, list_filter(regexp_split_to_array(text, '{_BREAKS}+'), x -> x <> '') AS w,
-             list_filter(string_split(text, chr(10)), x -> regexp_replace(x, '{_BREAKS}', '', 'g') <> '') AS l FROM d),
-g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), k -> [w[k], w[k + 1], w[k + 2]])) AS g FROM w WHERE len(w) >= 3),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '{_BREAKS}+'), lambda x: x <> '') AS w,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '{_BREAKS}', '', 'g') <> '') AS l FROM d),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda k: [w[k], w[k + 1], w[k + 2]])) AS g FROM w WHERE len(w) >= 3),
 s AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n >= 2),
 r AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, i FROM s UNION SELECT doc_id, i + 1 FROM s UNION SELECT doc_id, i + 2 FROM s) GROUP BY doc_id),
 m AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '{_BREAKS}', '', 'g')) AS BIGINT) AS word_chars,
              CAST(length(text) - length(regexp_replace(text, '{symbols}', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
              CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
-             CAST(len(list_filter(w, x -> lower(x) IN ({stop}))) AS BIGINT) AS n_stop_words
+             CAST(len(list_filter(w, lambda x: lower(x) IN ({stop}))) AS BIGINT) AS n_stop_words
       FROM w LEFT JOIN r ON w.doc_id = r.doc_id),
 v AS (SELECT *, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS mean_word_chars,
              CASE WHEN word_chars > 0 THEN n_symbols * 100.0::DOUBLE / word_chars ELSE 0 END AS symbol_pct,
