@@ -8,8 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 from crashlens.llm.common import table
+from crashlens.llm.id_shards import stored_digests
+from crashlens.llm.mixing import mix
 from crashlens.llm.quality import quality_flags
+from crashlens.llm.token_counts import LIMIT, token_counts
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,5 +23,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", "failed_rules").alias("failed_rules"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
+
+
+def op9_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "position")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules,)}
+    return {f.__name__: f for f in (op2_quality_rules, op4_token_counts, op9_id_shards, op10_mixing)}
