@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from crashlens.llm.common import table
+from crashlens.llm.html_mincut import extract
 from crashlens.llm.id_shards import stored_digests
 from crashlens.llm.mixing import mix
 from crashlens.llm.quality import quality_flags
@@ -28,6 +29,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op6_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -37,4 +42,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op4_token_counts, op9_id_shards, op10_mixing)}
+    return {f.__name__: f for f in (op2_quality_rules, op4_token_counts, op6_html_mincut, op9_id_shards, op10_mixing)}
