@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from crashlens.llm.common import table
+from crashlens.llm.common import fold, table
 from crashlens.llm.html_mincut import extract
 from crashlens.llm.id_shards import stored_digests
 from crashlens.llm.mixing import mix
 from crashlens.llm.quality import quality_flags
 from crashlens.llm.suffix_dedup import removed_bytes
 from crashlens.llm.token_counts import LIMIT, token_counts
+from crashlens.llm.toxicity import toxicity, train
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +39,12 @@ def op6_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op9_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -47,4 +54,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op4_token_counts, op6_html_mincut, op9_id_shards, op10_mixing)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op4_token_counts, op6_html_mincut, op8_toxicity, op9_id_shards, op10_mixing)}
