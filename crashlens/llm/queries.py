@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from crashlens.llm.common import fold, table
+from crashlens.llm.context_mixing import scores
 from crashlens.llm.html_mincut import extract
 from crashlens.llm.id_shards import stored_digests
 from crashlens.llm.mixing import mix
@@ -35,6 +36,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scores(table(spark, sf_dir, "documents"))
+
+
 def op6_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -54,4 +59,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op4_token_counts, op6_html_mincut, op8_toxicity, op9_id_shards, op10_mixing)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op4_token_counts, op5_context_mixing, op6_html_mincut, op8_toxicity, op9_id_shards, op10_mixing)}
