@@ -37,33 +37,79 @@ from crashlens.llm.common import parallelism, texts, written
 END_ID = 2
 SHARD_IDS = 1 << 19
 BUCKET_KEYS = 1 << 15
-#: Words a worker remembers the ids of.
+#: A worker remembers the ids of so many words of at most so many characters.
 REMEMBERED, LONGEST = 1_000_000, 64
 NULL_KEY = -(2**63)
 SLOT = np.dtype([("fingerprint", "<u4"), ("part", "<i4"), ("seq", "<i4"), ("record", "<i4"), ("offset", "<i8")])
 
 
-class WordIds(dict):
-    """Word to the raw bytes of its ids. The tokenizer's normalizer and pre-tokenizer drop
-    white space and never join across it, so a text is the chain of its words' ids."""
+class WordIds:
+    """Ids of texts as raw bytes, word by word. The tokenizer's normalizer and pre-tokenizer
+    drop white space and never join across it, so a text is the chain of its words' ids.
+
+    Words that aren't known yet are encoded together, once per batch of texts: those of
+    letters alone are one pre-token each, so their ids part behind every word-end string;
+    should the numbers not agree (a letter whose lower case has a mark), one by one."""
 
     def __init__(self, tokenizer_json: str, width: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer, self.width = Tokenizer.from_str(tokenizer_json), width
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self[""] = b""
-
-    def __missing__(self, word: str) -> bytes:
-        out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.width).tobytes()
-        if len(word) <= LONGEST and len(self) < REMEMBERED:
-            self[word] = out
-        return out
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known = {"": b""}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words; a full stop or comma behind a letter is a pre-token of its own."""
+        plain = {w[:-1] if w[-1] in ".," and w[-2:-1].isalpha() else w for w in words}
+        missing = sorted(w for w in plain if w not in self.known)
+        found = {}
+        letters = [w for w in missing if w.isalpha()]
+        for at in range(0, len(letters), 4096):
+            part = letters[at:at + 4096]
+            ids = self._ids(" ".join(part))
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part):
+                found.update(zip(part, (x.tobytes() for x in np.split(ids, cuts[:-1]))))
+        for w in missing:
+            if w not in found:
+                found[w] = self._ids(w).tobytes()
+        signs = {c: self._ids(c).tobytes() for c in ".,"}
+        for w in words:
+            if w not in found:
+                stem = found.get(w[:-1])
+                found[w] = (self.known[w[:-1]] if stem is None else stem) + signs[w[-1]]
+        if len(self.known) < REMEMBERED:
+            self.known.update((w, found[w]) for w in words if len(w) <= LONGEST)
+        return found
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        get = self.known.get
+        out = [list(map(get, ws)) for ws in split]
+        missing = {w for ws, got in zip(split, out) if None in got for w, x in zip(ws, got) if x is None}
+        found = self._learn(missing) if missing else {}
+        return [b"".join(got if None not in got else [found[w] if x is None else x for w, x in zip(ws, got)]) for ws, got in zip(split, out)]
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        return self.encode_all([text])[0]
+
+
+_WORKER: dict[str, WordIds] = {}
+
+
+def _word_ids(tokenizer_json: str, width: str) -> WordIds:
+    """One per Python worker: later tasks of a worker go on with what it knows."""
+    key = str(zlib.crc32(tokenizer_json.encode()))
+    if key not in _WORKER:
+        _WORKER[key] = WordIds(tokenizer_json, width)
+    return _WORKER[key]
 
 
 def _id_width(tokenizer_json: str) -> str:
@@ -80,8 +126,12 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
     end = np.array([end_id], width).tobytes()
     size = len(end)
 
+    def encoded(found: list[str], words: WordIds) -> Iterator[bytes]:
+        for at in range(0, len(found), 1000):
+            yield from words.encode_all(found[at:at + 1000])
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, seq = WordIds(tokenizer_json, width), TaskContext.get().partitionId(), 0
+        words, part, seq = _word_ids(tokenizer_json, width), TaskContext.get().partitionId(), 0
         keys: list[int] = []
         payloads: list[bytes] = []
         held = 0
@@ -93,12 +143,12 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
                   "lengths": lengths.tobytes(), "payload": b"".join(payloads)}], schema=ids_schema)
 
         for b in batches:
-            for key, text in zip(b.column("key").to_pylist(), b.column("text").to_pylist()):
+            for key, ids in zip(b.column("key").to_pylist(), encoded(b.column("text").to_pylist(), words)):
                 if held >= SHARD_IDS and key != keys[-1]:
                     yield shard()
                     seq, keys, payloads, held = seq + 1, [], [], 0
                 keys.append(key)
-                payloads.append(words.encode(text) + end)
+                payloads.append(ids + end)
                 held += len(payloads[-1]) // size
         if keys:
             yield shard()
