@@ -15,6 +15,7 @@ from crashlens.llm.context_mixing import scores
 from crashlens.llm.html_mincut import extract
 from crashlens.llm.id_shards import stored_digests
 from crashlens.llm.mixing import mix
+from crashlens.llm.ngram_join import components_of
 from crashlens.llm.quality import quality_flags
 from crashlens.llm.suffix_dedup import removed_bytes
 from crashlens.llm.token_counts import LIMIT, token_counts
@@ -31,6 +32,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", "failed_rules").alias("failed_rules"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return components_of(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
@@ -59,4 +64,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op4_token_counts, op5_context_mixing, op6_html_mincut, op8_toxicity, op9_id_shards, op10_mixing)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_ngram_join, op4_token_counts, op5_context_mixing, op6_html_mincut, op8_toxicity, op9_id_shards, op10_mixing)}
