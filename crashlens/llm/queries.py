@@ -14,6 +14,7 @@ from crashlens.llm.common import fold, table
 from crashlens.llm.context_mixing import scores
 from crashlens.llm.html_mincut import extract
 from crashlens.llm.id_shards import stored_digests
+from crashlens.llm.latent_decontamination import leaks
 from crashlens.llm.mixing import mix
 from crashlens.llm.ngram_join import components_of
 from crashlens.llm.quality import quality_flags
@@ -49,6 +50,10 @@ def op6_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op7_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scores = toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -64,4 +69,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_ngram_join, op4_token_counts, op5_context_mixing, op6_html_mincut, op8_toxicity, op9_id_shards, op10_mixing)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_ngram_join, op4_token_counts, op5_context_mixing, op6_html_mincut, op7_latent_decontamination, op8_toxicity, op9_id_shards, op10_mixing)}
