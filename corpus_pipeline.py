@@ -1,11 +1,62 @@
-"""A training-data pipeline over ``documents``."""
+"""A training-data pipeline over ``documents``: toxic documents go, one document of each
+near-duplicate group stays, documents that hold benchmark items go, the sources are mixed
+to their target weights, and the mix is written as token ids and read back.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the
+columns of ``docs``. Between stages the documents are written and read again.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from crashlens.llm import id_shards, latent_decontamination, mixing, ngram_join, toxicity
+from crashlens.llm.common import table, written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents with a toxicity of 0.5 or more; the model learns from labelled documents."""
+    return toxicity.accepted(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of linked documents (3-word
+    shingles, a similarity of 0.9); rows that repeat a doc_id count as one document."""
+    kept = ngram_join.components_of(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that hold an item of the benchmark."""
+    found = latent_decontamination.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak_id")).distinct()
+    return docs.join(found, docs["doc_id"].cast("long") == found["leak_id"], "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per copy that the mix takes, in training order."""
+    return mixing.training_order(docs)
+
+
+def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token-id shards of the mix; one row per document written, read back through the index."""
+    return id_shards.stored_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_leaks),
+    ("mixing", mix_sources),
+    ("token_ids", write_ids),
+]
+#: The stages are not all expressible in SQL; tests/llm compares them with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -45,7 +45,7 @@ CODES = 64  # characters are told apart modulo this
 WINDOW = 32
 MAX_POSITIVE, MAX_NEGATIVE, MAX_CHARS = 1000, 2000, 20_000
 LANDMARKS, NEGATIVES, ROUNDS = 96, 6000, 3
-RIDGE, FLOOR = 0.2, -1.5
+RIDGE, FLOOR, SURE, HARD = 0.1, -1.5, 1.5, 20.0
 REMEMBERED, LONGEST = 1_000_000, 64
 SENTENCE = re.compile(r"[.!?\n|]+\s*")
 EDGE = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "«»“”‘’„…–—¿¡"
@@ -145,12 +145,13 @@ def fit(toxic: list[str], clean: list[str]) -> Model:
         return NOTHING
     df_good, df_bad = Counter(w for d in good for w in d), Counter(w for d in bad for w in d)
     odds = {w: np.log((n + 0.5) / (len(good) + 1)) - np.log((df_bad[w] + 0.5) / (len(bad) + 1)) for w, n in df_good.items()}
-    # Witnesses to begin with: the word that tells most, if it does so in several documents.
-    witness = [max(d, key=lambda w: (odds[w] * (df_good[w] > 1), w)) for d in good]
+    # Witnesses to begin with: the word that tells most, over all the documents it is in, of
+    # those at least e^SURE times as frequent in toxic documents.
+    witness = [max(d, key=lambda w: (max(0.0, odds[w] - SURE) * df_good[w], w)) for d in good]
     neutral = sorted(df_bad, key=lambda w: (-df_bad[w], w))[:NEGATIVES]
-    model, flat = None, sorted({w for d in docs for w in d})
+    model, hard, flat = None, [], sorted({w for d in docs for w in d})
     for _ in range(ROUNDS):
-        votes = Counter(witness)
+        votes, confused = Counter(witness), set(hard)
         positive = sorted(w for w in votes if votes[w] > 1 or len(votes) < 20) or sorted(votes)
         landmarks = sorted(positive, key=lambda w: (-votes[w], w))[: LANDMARKS * 3 // 4]
         landmarks += [w for w in neutral if w not in votes][: LANDMARKS - len(landmarks)]
@@ -162,13 +163,13 @@ def fit(toxic: list[str], clean: list[str]) -> Model:
         keep = value > 1e-6
         root = vector[:, keep] / np.sqrt(value[keep])  # W^-1/2: kernel values to Nyström features
         y = np.where(np.arange(len(known)) < len(positive), 1.0, -1.0)
-        weight = np.array([float(votes[w]) for w in positive] + [1.0] * (len(known) - len(positive)))
+        weight = np.array([float(votes[w]) for w in positive] + [HARD if w in confused else 1.0 for w in known[len(positive):]])
         weight[y > 0] *= 0.5 * (y < 0).sum() / weight[y > 0].sum()
         u, bias = _machine(kernel @ root, y, weight)
         model = Model((basis.T @ (root @ u)).astype(np.float32), float(bias), 1.0, 0.0)
         margin = dict(zip(flat, model.margins(flat)))
         witness = [max(d, key=lambda w: (margin[w], w)) for d in good]
-        # Words of clean documents that look toxic join the neutral ones.
+        # Words of clean documents that look toxic join the neutral ones, and weigh HARD times as much.
         hard = sorted((w for w in df_bad if margin[w] > -0.5), key=lambda w: (-margin[w], w))[:1000]
         neutral = list(dict.fromkeys(hard + neutral))[:NEGATIVES]
     top = np.array([max((margin[w] for w in d), default=FLOOR) for d in (*good, *bad)])
@@ -234,26 +235,48 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit(labelled_sample(docs, labels, 1, MAX_POSITIVE), labelled_sample(docs, labels, 0, MAX_NEGATIVE))
 
 
+class Scorer:
+    """Scores of texts; a word is scored once per task."""
+
+    def __init__(self, model: Model):
+        self.model, self.known = model, {}
+
+    def __call__(self, found: list[str]) -> np.ndarray:
+        per_doc = [_words(t) for t in found]
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        unseen = list({w for d in per_doc for w in d if w not in self.known})
+        for at in range(0, len(unseen), 65536):
+            part = unseen[at:at + 65536]
+            self.known.update(zip(part, self.model.margins(part).tolist()))
+        return self.model.score(np.array([max(map(self.known.__getitem__, d), default=FLOOR) for d in per_doc]))
+
+
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score of every row. The model (one weight per subsequence, 1 MB) travels
     with the tasks; no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, known = shared.value, {}
+        score = Scorer(shared.value)
         for b in batches:
-            per_doc = [_words(t) for t in b.column("text").to_pylist()]
-            unseen = list({w for d in per_doc for w in d if w not in known})
-            for at in range(0, len(unseen), 65536):
-                part = unseen[at:at + 65536]
-                known.update(zip(part, m.margins(part).tolist()))
-            margin = np.array([max(map(known.__getitem__, d), default=FLOOR) for d in per_doc])
-            if len(known) > REMEMBERED:
-                known = {}
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(m.score(margin))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score(b.column("text").to_pylist()))], names=["doc_id", "score"])
 
     return texts(docs).mapInArrow(run, "doc_id long, score double")
 
 
+def accepted(docs: DataFrame, model: Model, reject_from: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score stays below ``reject_from``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = Scorer(shared.value)
+        for b in batches:
+            found = b.column(b.schema.get_field_index("text")).to_pylist()
+            yield b.filter(pa.array(score([t or "" for t in found]) < reject_from))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _words(text: str) -> set[str]:
     return {w for s in SENTENCE.split(text) for w in sentence_words(s)}
