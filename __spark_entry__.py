@@ -18,16 +18,21 @@ from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks.duckdb_oracle import oracle_queries  # noqa: E402
 from crashlens.operators import cohort, history, series  # noqa: E402
 from crashlens.operators.clean import clean_pings  # noqa: E402
+from crashlens.operators.summary import summary_columns  # noqa: E402
 from crashlens.params import fixture_params  # noqa: E402
+from crashlens.plans.job import run_report_job  # noqa: E402
 from crashlens.plans.report import Reports, build_reports  # noqa: E402
-from crashlens.sources.fixtures import fixture_pings  # noqa: E402
+from crashlens.session import scratch_path  # noqa: E402
+from crashlens.sources.fixtures import events_as_main_summary, fixture_pings  # noqa: E402
+from crashlens.sources.pings import PING_SCHEMA, read_raw_pings  # noqa: E402
+from crashlens.sources.published import read_summaries  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 DIGITS = 6
@@ -73,13 +78,43 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["weekly_summary"](spark, SF_SMOKE)
 
 
+def _durable(spark: SparkSession, sf_dir: str) -> Reports:
+    """The reports over a written profile-day table, as the job builds them."""
+    return build_reports(spark, fixture_pings(spark, sf_dir), fixture_params(), durable=True)
+
+
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """Run the job into a fresh folder and return it."""
+    out = scratch_path(spark, "published")
+    run_report_job(spark, fixture_pings(spark, sf_dir), out, fixture_params())
+    return out
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_summaries(spark, _published(spark, sf_dir), summary_columns(fixture_params()))
+
+
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture written out under the source's column names and read by the ping scan."""
+    where = scratch_path(spark, "main_summary")
+    pings = events_as_main_summary(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    pings.write.partitionBy("submission_date_s3", "sample_id").parquet(where)
+    schema = StructType([StructField(f.name, LongType() if f.name == "client_id" else f.dataType) for f in PING_SCHEMA])
+    return read_raw_pings(spark, [where + "-older", where], schema)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every registered query: those of the report job, and those of the training-data operators if present."""
+    return {**core_queries(), **_llm()[0]}
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "clean_pings": lambda spark, d: clean_pings(fixture_pings(spark, d), fixture_params()),
         "profile_day": _r(lambda r: r.profile_day.drop("day")),
         "report_weeks": _r(lambda r: r.calendar().select("end_date", "start_date", "date", "start_sd", "end_sd", "weekday")),
         "report_week_neighbours": _r(lambda r: r.calendar().select("end_date", "previous_report", "next_report")),
-        "last_report_date": _r(lambda r: r.calendar().agg(F.max("end_date").alias("last_report_date"))),
+        "last_report_date": lambda spark, d: _merged(spark, d).agg(F.max("end_date").alias("last_report_date")),
         "weekly_active": _weekly("wau"),
         "crashed_profiles": _weekly("crashed_1", "crashed_2"),
         "new_profiles": _weekly("new_profiles"),
@@ -123,7 +158,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "weekly_summary": _r(_summary_cols),
         "population_estimates": _r(lambda r: r.population),
         "summary_series": _r(lambda r: series.summary_series(r.summary)),
-        **_llm()[0],
+        "weekly_summary_durable": lambda spark, d: _rounded(_summary_cols(_durable(spark, d))),
+        "hours_histogram_durable": lambda spark, d: _rounded(_durable(spark, d).histogram),
+        "publish_and_merge": lambda spark, d: _rounded(_merged(spark, d).drop("end_date")),
+        "clean_pings_from_scan": lambda spark, d: clean_pings(_scanned(spark, d), fixture_params()),
     }
 
 

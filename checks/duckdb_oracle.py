@@ -373,10 +373,10 @@ FROM crashed_ids cr JOIN agg a USING (cid)"""
     q["cohort_history"] = _with(COHORT) + """
 SELECT m.end_date, a.cid, a.sd, a.e10s, a.pcd, a.ssl, a.cssm, a.cdc, a.cdpgmp
 FROM members m JOIN agg a USING (cid)"""
-    q["longitudinal"] = _with() + """
+    q["longitudinal"] = _with(J1) + """
 SELECT cid, min(pcd) AS pcd,
        string_agg(concat_ws(',', sd, cdc, cssm, cdpgmp, ssl), ';' ORDER BY sd, cdc, cssm, cdpgmp, ssl) AS history
-FROM agg GROUP BY cid"""
+FROM agg WHERE cid IN (SELECT cid FROM crashed_ids) GROUP BY cid"""
     q["hours_between_crashes"] = _with(J1, _walk(True)) + f"\nSELECT end_date, cid, has_multiple_crashes, {_rnd('hours')} AS hours FROM stats"
     q["hours_between_crashes_full_history"] = (
         _with(J1, _walk(False)) + f"\nSELECT end_date, cid, has_multiple_crashes, {_rnd('hours')} AS hours FROM stats"
@@ -425,4 +425,7 @@ FROM stats WHERE has_multiple_crashes GROUP BY end_date, CAST(ceil(hours) AS INT
         for chart, legend, col, pct in SERIES
     ]
     q["summary_series"] = _summary_sql() + "\n" + "\nUNION ALL\n".join(parts)
+    q["weekly_summary_durable"] = q["publish_and_merge"] = q["weekly_summary"]
+    q["hours_histogram_durable"] = q["hours_histogram"]
+    q["clean_pings_from_scan"] = q["clean_pings"]
     return q

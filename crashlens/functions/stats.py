@@ -4,9 +4,9 @@
 values per (target rank, digit) for only the values that share the prefix
 already fixed, takes a running count over the digits and keeps the digit that
 holds the wanted rank. With digits of at most 21 bits a group contributes at
-most 2^21 digit counts per pass, whatever its size, so a group holding a third
-of all rows is as cheap as any other; at most three passes cover any
-non-negative 63-bit value.
+most 2^21 digit counts per pass, whatever its size; three passes cover any
+non-negative 63-bit value. Equal values of a group are counted once, map-side, before
+the first pass, so a group holding a third of all rows travels as its distinct values.
 """
 
 from __future__ import annotations
@@ -29,10 +29,7 @@ def exact_percentiles(
     probs: Sequence[float],
     names: Sequence[str] | None = None,
     *,
-    max_digit_bits: int = 21,
-    value_bits: int | None = None,
-    group_limit: int = 1_000_000,
-    broadcast_target_rows: int = 1_000_000,
+    digit_bits: int = 21,
 ) -> DataFrame:
     """Exact linear-interpolated percentiles of a non-negative integer column per group.
 
@@ -41,35 +38,16 @@ def exact_percentiles(
     floor((n-1)p) and ceil((n-1)p). NULL values are ignored; groups without values
     are absent from the result. Returns ``keys`` + one double column per probability.
 
-    One small job first reads the number of groups, the largest group size and the
-    largest value. When
-    no group holds more than ``group_limit`` values, Spark's exact ``percentile``
-    runs directly: its per-group buffer (distinct value -> count) is then bounded
-    by the checked limit. Beyond it the radix passes run; the bit length of the
-    largest value sets their number (usually one or two).
+    One lazy plan whatever the data: nothing runs while it is built.
     """
     keys = list(keys)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
+    bits = digit_bits
+    levels = -(-63 // bits)
     vals = df.select(*keys, F.col(value).cast("long").alias("_v")).filter(F.col("_v").isNotNull())
-    sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("_v").alias("top"))
-    row = sizes.agg(F.max("n").alias("n"), F.max("top").alias("top"), F.count(F.lit(1)).alias("g")).first()
-    largest_group, top, groups = int(row["n"] or 0), int(row["top"] or 0), int(row["g"] or 0)
-    # the radix passes join every value with the rank targets of its group; on the first
-    # pass all values share prefix 0, so a shuffle join would send a whole group to one
-    # task. The targets (2 per probability per group) are broadcast when their counted
-    # number is small; otherwise the join is left to AQE's skew-join splitting.
-    small_targets = groups * 2 * len(probs) <= broadcast_target_rows
-    if largest_group <= group_limit:
-        pct = F.percentile(F.col("_v"), [float(p) for p in probs])
-        out = vals.groupBy(*keys).agg(pct.alias("_p"))
-        return out.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
-    if value_bits is None:
-        value_bits = max(top.bit_length(), 1)
-    value_bits = min(value_bits, 63)
-    levels = -(-value_bits // max_digit_bits)
-    bits = -(-value_bits // levels)
+    vals = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m"))
 
-    counts = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = vals.groupBy(*keys).agg(F.sum("_m").alias("_n"))
     spec = F.array(*[F.struct(F.lit(i).alias("q"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
     t = counts.select(*keys, "_n", F.explode(spec).alias("_s")).select(
         *keys, F.col("_s.q").alias("_q"), ((F.col("_n") - 1) * F.col("_s.p")).alias("_pos")
@@ -91,13 +69,14 @@ def exact_percentiles(
         # probability), and is counted per (target, next digit)
         cand = vals.select(
             *keys,
+            "_m",
             F.shiftright("_v", min(shift + bits, 63)).alias("_prefix"),
             F.shiftright("_v", shift).bitwiseAND(F.lit(mask)).alias("_digit"),
         )
         hist = (
-            cand.join(F.broadcast(t) if small_targets else t, [*keys, "_prefix"])
+            cand.join(t, [*keys, "_prefix"])
             .groupBy(*target, "_rank", "_prefix", "_digit")
-            .agg(F.count(F.lit(1)).alias("_c"))
+            .agg(F.sum("_m").alias("_c"))
         )
         w = Window.partitionBy(*target).orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)
         below = F.col("_cum") - F.col("_c")
@@ -115,7 +94,7 @@ def exact_percentiles(
         F.max(F.when(F.col("_side") == 0, F.col("_prefix"))).cast("double").alias("_lo"),
         F.max(F.when(F.col("_side") == 1, F.col("_prefix"))).cast("double").alias("_hi"),
     )
-    # same interpolation arithmetic as Spark's percentile, so both paths agree bit for bit
+    # the interpolation arithmetic of Spark's percentile, bit for bit
     pos, lo_pos, hi_pos = F.col("_pos"), F.floor("_pos"), F.ceil("_pos")
     value = F.when(lo_pos == hi_pos, F.col("_lo")).otherwise(
         (hi_pos - pos) * F.col("_lo") + (pos - lo_pos) * F.col("_hi")

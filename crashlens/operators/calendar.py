@@ -9,7 +9,7 @@ contains it, so all reports are computed in a single pass.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ class ReportWindow:
     last: _dt.date             # last report end date
     weekdays: tuple[int, ...]  # Monday = 0
     days: int                  # window length
+    only: tuple[_dt.date, ...] | None = None  # of these, just the listed end dates (None: all)
 
     @property
     def scan_from(self) -> _dt.date:
@@ -42,7 +43,13 @@ def report_window(params: ReportParams, last_published: _dt.date | None = None)
 
 
 def is_report_day(d: Column, win: ReportWindow) -> Column:
-    return F.weekday(d).isin(list(win.weekdays)) & d.between(F.lit(win.first), F.lit(win.last))
+    due = F.weekday(d).isin(list(win.weekdays)) & d.between(F.lit(win.first), F.lit(win.last))
+    return due if win.only is None else due & d.isin(list(win.only))
+
+
+def only_these(win: ReportWindow, end_dates: list[_dt.date]) -> ReportWindow:
+    """The window narrowed to some report end dates: nothing outside their weeks is read."""
+    return replace(win, first=min(end_dates), last=max(end_dates), only=tuple(sorted(end_dates)))
 
 
 def end_dates_covering(day: Column, win: ReportWindow, offset: int = 0) -> Column:

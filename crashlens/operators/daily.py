@@ -33,6 +33,20 @@ def profile_day(clean: DataFrame) -> DataFrame:
     )
 
 
+def partial_profile_day(clean: DataFrame) -> DataFrame:
+    """A1 kept apart by creation day, so that the ceiling on it (P8: not after the day of
+    the report) can be applied when reporting, not when the pings came in."""
+    return (
+        clean.groupBy("cid", "sd", "e10s", "pcd")
+        .agg(
+            F.sum("ssl").alias("ssl"),
+            F.sum("cssm").alias("cssm"),
+            F.sum(F.col("cdc") - F.col("sk")).alias("cdc"),
+            F.sum(F.col("cdgmp") + F.col("cdp")).alias("cdpgmp"),
+        )
+    )
+
+
 def combine_profile_days(partials: DataFrame) -> DataFrame:
     """Merge partial profile-day rows of the same (cid, sd, e10s), e.g. rollups of
     separately arriving ping batches. Sums and min are associative, so rolling up

@@ -117,19 +117,20 @@ def crashed_profiles_in_week(profile_day: DataFrame, win: ReportWindow) -> DataF
 def crashed_history(profile_day: DataFrame, win: ReportWindow, *, prepartitioned: bool = False) -> DataFrame:
     """The full profile-day history of every profile that crashed in a report's week.
 
-    An equi join on cid, one row per (report, history row). Both sides are
-    partitioned on cid, so the join needs no further shuffle.
+    An equi join on cid. Both sides are partitioned on cid, so the join needs no further
+    shuffle. The result repeats a profile's history once per report: it is for looking at
+    single reports; the job itself never builds it.
     """
     pd = by_profile(profile_day, prepartitioned)
     crashed = crashed_profiles_in_week(pd, win)
     return crashed.join(pd, "cid")
 
 
-def longitudinal(profile_day: DataFrame, *, prepartitioned: bool = False) -> DataFrame:
-    """One row per profile with its creation day and its day rows as one
-    array of structs, oldest first (one array, so fields cannot misalign).
-    A profile's array is bounded by its number of (day, e10s) rows."""
+def longitudinal(profile_day: DataFrame, win: ReportWindow, *, prepartitioned: bool = False) -> DataFrame:
+    """One row per profile that crashed in some report's week (J1), with its
+    creation day and its day rows as one array of structs, oldest first (one array, so
+    fields cannot misalign). A profile's array is bounded by its number of (day, e10s) rows."""
     row = F.struct(*[F.col(c) for c in SORT_KEYS])
-    return by_profile(profile_day, prepartitioned).groupBy("cid").agg(
-        F.min("pcd").alias("pcd"), F.array_sort(F.collect_list(row)).alias("history")
-    )
+    pd = by_profile(profile_day, prepartitioned)
+    pd = profiles_with_rows(pd, is_crash_row(), source=explode_to_reports(days_between(pd, win.scan_from, win.last), win))
+    return pd.groupBy("cid").agg(F.min("pcd").alias("pcd"), F.array_sort(F.collect_list(row)).alias("history"))

@@ -5,28 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A candidate set of profile ids up to this size is broadcast (8 bytes per id plus hash
-# overhead: tens of MB at most); a larger one uses the co-partitioned sort-merge semi join.
-BROADCAST_PROFILE_LIMIT = 1_000_000
-
-
 def by_profile(profile_day: DataFrame, prepartitioned: bool) -> DataFrame:
     """Hash-partition on cid once, before any expansion, unless already bucketed by cid."""
     return profile_day if prepartitioned else profile_day.repartition("cid")
 
 
-def profiles_with_rows(profile_day: DataFrame, where: Column, *, source: DataFrame | None = None,
-                       broadcast_limit: int = BROADCAST_PROFILE_LIMIT) -> DataFrame:
+def profiles_with_rows(profile_day: DataFrame, where: Column, *, source: DataFrame | None = None) -> DataFrame:
     """All rows (whole history) of the profiles having at least one row matching ``where``.
 
     The same selection as the original's "distinct cid with ... LEFT JOIN the table
-    USING (cid)" subsets (J1, J2). One small job counts the candidate profiles; if
-    their number is within ``broadcast_limit`` they are broadcast and the profile-day
-    rows are filtered in place (no sort, no shuffle). Otherwise a semi join runs on
-    the cid partitioning both sides already share. ``source`` (default: the rows
-    themselves) is where candidates are looked for, e.g. a partition-pruned slice.
+    USING (cid)" subsets (J1, J2): a semi join on the cid partitioning both sides
+    share. ``source`` (default: the rows themselves) is where candidates are looked
+    for, e.g. a partition-pruned slice. Spark picks the join from its own statistics.
     """
     ids = (profile_day if source is None else source).filter(where).select("cid").distinct()
-    if ids.count() <= broadcast_limit:
-        ids = F.broadcast(ids)
     return profile_day.join(ids, "cid", "left_semi")

@@ -1,12 +1,14 @@
 """The end-to-end report job: read, roll up, compute every pending report, publish.
 
-1. S5: the last published report date decides the first report to compute (W1);
-   reports then run up to yesterday.
+1. Pending are the report dates with data, from the first report day up to yesterday
+   (W1), that have no published summary: gaps are filled, wherever they are.
 2. The profile-day rollup is written once as a table bucketed by cid (lineage
    cut, later steps shuffle-free on cid).
 3. Crash statistics per (report, profile) are checkpointed: the summary's median
    and geometric mean and the histogram all read them.
-4. Summary and histogram tables are written with dynamic partition overwrite.
+4. Histograms are written first, summaries last, with dynamic partition overwrite: a
+   published summary says that its report is complete, so a run that fails between the
+   two does the report again.
 """
 
 from __future__ import annotations
@@ -18,23 +20,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlens.params import ReportParams
-from crashlens.operators.calendar import report_window
+from crashlens.operators.calendar import only_these, report_window
 from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import profile_day as rollup
 from crashlens.plans.report import reports_from_profile_day
-from crashlens.sources.published import last_published_date, publish_histograms, publish_summaries
+from crashlens.sources.published import publish_histograms, publish_summaries, published_dates
 
 
 @dataclass
 class JobResult:
     first_report: _dt.date
     last_report: _dt.date
-    reports: int  # report dates in the window (those without any data produce no row)
+    reports: int  # reports computed
 
 
-def report_days(win) -> int:
-    n = (win.last - win.first).days + 1
-    return sum(1 for i in range(max(n, 0)) if (win.first + _dt.timedelta(days=i)).weekday() in win.weekdays)
+def possible_dates(win) -> list[_dt.date]:
+    days = (win.last - win.first).days + 1
+    every = [win.first + _dt.timedelta(days=i) for i in range(max(days, 0))]
+    return [d for d in every if d.weekday() in win.weekdays]
 
 
 def run_report_job(spark: SparkSession, raw_pings: DataFrame, out_dir: str, params: ReportParams, *,
@@ -45,20 +48,26 @@ def run_report_job(spark: SparkSession, raw_pings: DataFrame, out_dir: str, para
 
 def publish_pending_reports(spark: SparkSession, profile_day: DataFrame, out_dir: str, params: ReportParams, *,
                             buckets: int | None = None, echo: bool = False) -> JobResult:
-    """Compute and publish every report after the last published one, from profile-day rows."""
-    last = last_published_date(spark, out_dir)
-    win = report_window(params, last)
-    if win.first > win.last:  # nothing due: do not even roll up
+    """Compute and publish every report that has data and no published summary."""
+    win = report_window(params)
+    done = published_dates(spark, out_dir)
+    todo = [d for d in possible_dates(win) if d not in done]
+    if not todo:  # nothing due: do not even roll up
         return JobResult(win.first, win.last, 0)
-    reports = reports_from_profile_day(spark, profile_day, params, last_published=last, durable=True, buckets=buckets)
+    reports = reports_from_profile_day(spark, profile_day, params, durable=True, buckets=buckets, win=only_these(win, todo))
     try:
-        publish_summaries(reports.summary, out_dir)
+        # one row per report date; dates without any data never become reports
+        pending = [r["end_date"] for r in reports.calendar().select("end_date").collect()]
+        if not pending:
+            return JobResult(win.first, win.last, 0)
+        reports.win = only_these(win, pending)
         publish_histograms(reports.histogram, out_dir)
+        publish_summaries(reports.summary, out_dir)
         if echo:
             # the console report of the newest report (about twenty lines)
-            newest = reports.console.filter(F.col("end_date") == F.lit(win.last)).orderBy("line")
+            newest = reports.console.filter(F.col("end_date") == F.lit(max(pending))).orderBy("line")
             for row in newest.collect():
                 print(row["text"])
-        return JobResult(reports.win.first, reports.win.last, report_days(win))
+        return JobResult(min(pending), max(pending), len(pending))
     finally:
         reports.release()

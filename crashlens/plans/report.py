@@ -104,7 +104,7 @@ class Reports:
         return cohort.cohort_history(self.profile_day, self.win, self.params, prepartitioned=self.prepartitioned)
 
     def longitudinal(self) -> DataFrame:
-        return history.longitudinal(self.profile_day, prepartitioned=self.prepartitioned)
+        return history.longitudinal(self.profile_day, self.win, prepartitioned=self.prepartitioned)
 
 
 def build_reports(spark: SparkSession, raw_pings: DataFrame, params: ReportParams, *,
@@ -116,8 +116,8 @@ def build_reports(spark: SparkSession, raw_pings: DataFrame, params: ReportParam
 
 def reports_from_profile_day(spark: SparkSession, pd: DataFrame, params: ReportParams, *,
                              last_published: _dt.date | None = None, durable: bool = False,
-                             buckets: int | None = None) -> Reports:
-    win = calendar.report_window(params, last_published)
+                             buckets: int | None = None, win: calendar.ReportWindow | None = None) -> Reports:
+    win = win or calendar.report_window(params, last_published)
     table = None
     if durable:
         table = f"crashlens_profile_day_{uuid.uuid4().hex[:10]}"

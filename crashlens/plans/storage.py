@@ -8,7 +8,8 @@ by ``cid`` under the cluster's shared checkpoint folder does three things:
   few bucket files instead of re-running the scan and rollup;
 * reads come back hash-partitioned on ``cid``, so aggregations, windows and
   self joins on ``cid`` run without another shuffle, in every later job;
-* the rows inside a bucket are sorted by (cid, sd), the order the history window needs;
+* each file's rows are sorted by (cid, sd), which packs a profile's rows together; the
+  history window still sorts, as a bucket has a file per month and more sort keys;
 * it is also partitioned by month (``yyyyMM``), so a step that only needs recent days
   (the weekly metrics) prunes old partitions, while a bucketed scan over several
   months still comes back hash-partitioned on cid.
@@ -66,8 +67,10 @@ def write_intermediate(df: DataFrame, spark: SparkSession, name: str) -> DataFra
     return spark.read.parquet(path)
 
 
-
 def drop_table(spark: SparkSession, table: str) -> None:
-    """Forget a catalog entry made by ``write_profile_day``. The table is external,
-    so its files stay in the checkpoint folder (cleaned by the cluster's retention)."""
+    """Drop a table made by ``write_profile_day``, files and all, so that runs do not pile up copies."""
+    where = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if where:
+        path = spark._jvm.org.apache.hadoop.fs.Path(where["data_type"])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

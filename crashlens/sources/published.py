@@ -82,13 +82,19 @@ def read_histograms(spark: SparkSession, out_dir: str) -> DataFrame | None:
 
 def last_published_date(spark: SparkSession, out_dir: str) -> _dt.date | None:
     """End date of the latest published report (None: start the backfill
-    from the configured default). Only partition values are read."""
+    from the configured default)."""
     df = _published_dates(spark, out_dir)
     if df is None:
         return None
     return df.agg(F.max("end_date").alias("d")).first()["d"]
 
 
+def published_dates(spark: SparkSession, out_dir: str) -> set[_dt.date]:
+    """End dates of the published summaries, one per report."""
+    df = _published_dates(spark, out_dir)
+    return set() if df is None else {r["end_date"] for r in df.select("end_date").distinct().collect()}
+
+
 def _published_dates(spark: SparkSession, out_dir: str) -> DataFrame | None:
     try:
         return spark.read.schema(StructType([StructField("date", StringType()), StructField("end_date", DateType())])).json(

@@ -5,11 +5,13 @@ the stream does not hold report state. Instead:
 
 * the file source tracks which ping files were already consumed (its checkpoint);
 * each micro-batch is cleaned and rolled up to *partial* profile-day rows, which
-  are written under ``partials/batch=<id>`` (overwrite, so a retried batch
-  replaces its own output: idempotent);
+  are written under ``partials/query=<id>/batch=<id>`` (overwrite, so a retried batch
+  replaces its own output: idempotent; the query's id lives in the checkpoint, so if the
+  checkpoint is lost the files are read anew into a folder of their own and none counts
+  twice). Rows stay apart by creation day: its ceiling moves with the day of the report;
 * once the stream has consumed everything available, the report job combines all
   partials (sums and min are associative), writes the bucketed profile-day table and
-  publishes every report after the last published one, up to yesterday.
+  publishes every pending report.
 
 Run from a daily scheduler: the available-now trigger consumes what arrived since
 the last run and stops.
@@ -18,11 +20,12 @@ the last run and stops.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from crashlens.operators.clean import clean_pings
-from crashlens.operators.daily import combine_profile_days, profile_day
+from crashlens.operators.daily import combine_profile_days, partial_profile_day
 from crashlens.params import ReportParams
 from crashlens.plans.job import JobResult, publish_pending_reports
 from crashlens.sources.pings import select_ping_columns
@@ -44,8 +47,9 @@ def run_incremental_reports(spark: SparkSession, ping_dir: str, ping_schema: Str
     partials_dir = f"{state_dir}/{PARTIALS}"
 
     def write_partials(batch: DataFrame, batch_id: int) -> None:
-        pd = profile_day(clean_pings(select_ping_columns(batch), params)).drop("day")
-        pd.write.mode("overwrite").parquet(f"{partials_dir}/batch={batch_id}")
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        pd = partial_profile_day(clean_pings(select_ping_columns(batch), params, created_by_today=False))
+        pd.write.mode("overwrite").parquet(f"{partials_dir}/query={query_id}/batch={batch_id}")
 
     reader = spark.readStream.schema(ping_schema)
     if max_files_per_trigger:
@@ -57,5 +61,6 @@ def run_incremental_reports(spark: SparkSession, ping_dir: str, ping_schema: Str
         .start()
     )
     query.awaitTermination()
-    everything = combine_profile_days(spark.read.parquet(partials_dir).drop("batch"))
+    partials = spark.read.parquet(f"{partials_dir}/query={query.id}").filter(F.col("pcd") <= params.pcd_ceiling)
+    everything = combine_profile_days(partials.drop("batch"))
     return publish_pending_reports(spark, everything, out_dir, params, buckets=buckets)

@@ -2,6 +2,8 @@ import json
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from crashlens.__main__ import main
 from crashlens.sources.fixtures import events_as_main_summary
 from tests.conftest import SF001
@@ -10,7 +12,7 @@ from tests.conftest import SF001
 def test_cli_runs_job(spark):
     root = tempfile.mkdtemp(prefix="crashlens-cli-")
     ms = os.path.join(root, "ms")
-    events_as_main_summary(spark.read.parquet(f"{SF001}/events.parquet")).write.parquet(ms)
+    events_as_main_summary(spark.read.parquet(f"{SF001}/events.parquet")).withColumn("client_id", F.col("client_id").cast("string")).write.parquet(ms)
     out = os.path.join(root, "out")
     main(["--pings", os.path.join(root, "missing"), ms, "--out", out, "--today", "2024-01-31",
           "--first-report", "2024-01-08", "--buckets", "4"])

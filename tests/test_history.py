@@ -7,6 +7,8 @@ import pytest
 
 from crashlens.operators.calendar import ReportWindow
 from crashlens.operators.history import crash_stats, history_metrics, hours_histogram, longitudinal
+from crashlens.operators.calendar import report_window
+from crashlens.params import fixture_params
 from tests.conftest import d, pd_rows
 
 WIN = ReportWindow(first=d("2024-01-08"), last=d("2024-01-30"), weekdays=(0, 1, 2, 3, 4), days=7)
@@ -133,11 +135,11 @@ def test_metrics_and_histogram(spark):
 
 def test_longitudinal_sorted(spark):
     rows = [(1, "2024-01-05", True, 19701, 10, 0, 0, 0), (1, "2024-01-02", False, 19700, 20, 1, 0, 0)]
-    r = longitudinal(pd_rows(spark, rows)).first()
+    r = longitudinal(pd_rows(spark, rows), report_window(fixture_params())).first()
     assert r.pcd == 19700 and [h.sd for h in r.history] == ["20240102", "20240105"]
 
 
-def test_candidate_profiles_both_paths(spark):
+def test_candidate_profiles(spark):
     from pyspark.sql import functions as F
 
     from crashlens.operators.profiles import profiles_with_rows
@@ -147,10 +149,8 @@ def test_candidate_profiles_both_paths(spark):
     cond = F.col("cssm") > 1
     wanted = {r[0] for r in rows if r[5] > 1}
     expected = sorted(r for r in rows if r[0] in wanted)
-    for limit in (10**6, 0):
-        got = sorted((r.cid, r.day.isoformat(), r.e10s, r.pcd, r.ssl, r.cssm, r.cdc, r.cdpgmp)
-                     for r in profiles_with_rows(pd, cond, broadcast_limit=limit).collect())
-        assert got == expected
+    got = sorted((r.cid, r.day.isoformat(), r.e10s, r.pcd, r.ssl, r.cssm, r.cdc, r.cdpgmp) for r in profiles_with_rows(pd, cond).collect())
+    assert got == expected
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402

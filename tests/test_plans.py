@@ -26,7 +26,7 @@ def _plan(df) -> str:
 
 def test_ping_scan_pushdown(spark):
     root = tempfile.mkdtemp(prefix="crashlens-ms-")
-    ms = events_as_main_summary(spark.read.parquet(f"{SF001}/events.parquet")).withColumn("unused", F.lit("x"))
+    ms = events_as_main_summary(spark.read.parquet(f"{SF001}/events.parquet")).withColumn("unused", F.lit("x")).withColumn("client_id", F.col("client_id").cast("string"))
     ms.write.partitionBy("submission_date_s3", "sample_id").parquet(os.path.join(root, "ms"))
     plan = _plan(profile_day(clean_pings(read_raw_pings(spark, os.path.join(root, "ms")), fixture_params())))
     assert "PartitionFilters: [isnotnull(sample_id" in plan and "(sample_id#" in plan

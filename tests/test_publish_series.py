@@ -3,6 +3,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from crashlens.operators.series import release_markers, summary_series
@@ -24,7 +26,7 @@ def test_job_publish_incremental(spark):
     assert last_published_date(spark, out) == d("2024-01-19")
     # next run continues after the last published report
     second = run_report_job(spark, fixture_pings(spark, SF01), out, fixture_params(), buckets=4)
-    assert second.first_report == d("2024-01-20")
+    assert second.first_report == d("2024-01-22")  # the 20th is a Saturday
     keys = summary_columns(fixture_params())
     merged = read_summaries(spark, out, keys)
     dates = [r.date for r in merged.collect()]
@@ -82,4 +84,67 @@ def test_job_with_no_data_in_window(spark):
     res = run_report_job(spark, fixture_pings(spark, SF001), out, p, buckets=4)
     assert (res.first_report, res.last_report) == (d("2024-02-11"), d("2024-02-29"))
     assert last_published_date(spark, out) is None
-    assert read_summaries(spark, out, summary_columns(p)).count() == 0
+    assert read_summaries(spark, out, summary_columns(p)) is None
+
+
+def _run(spark, out, **kw):
+    from crashlens.sources.fixtures import fixture_pings
+
+    return run_report_job(spark, fixture_pings(spark, SF01), out, fixture_params(**kw), buckets=4)
+
+
+def _dates(spark, out, what):
+    return sorted(p.split("=")[1] for p in os.listdir(f"{out}/{what}") if p.startswith("end_date="))
+
+
+def test_a_failure_between_the_writes_is_made_good(spark, monkeypatch):
+    import crashlens.plans.job as job
+
+    out = tempfile.mkdtemp(prefix="crashlens-fail-")
+
+    def broken(*a):
+        raise OSError("no space left")
+
+    monkeypatch.setattr(job, "publish_summaries", broken)
+    with pytest.raises(OSError):
+        _run(spark, out)
+    monkeypatch.undo()
+    assert _run(spark, out).reports == 17
+    assert len(_dates(spark, out, "summary")) == len(_dates(spark, out, "hours")) == 17
+    assert _run(spark, out).reports == 0
+
+
+def test_a_gap_is_filled(spark):
+    out = tempfile.mkdtemp(prefix="crashlens-gap-")
+    assert _run(spark, out).reports == 17
+    whole = {r.date: r for r in read_summaries(spark, out, summary_columns(fixture_params())).collect()}
+    for day in ("2024-01-10", "2024-01-22"):
+        os.rename(f"{out}/summary/end_date={day}", f"{out}-{day}")
+    assert _run(spark, out).reports == 2
+    again = {r.date: r for r in read_summaries(spark, out, summary_columns(fixture_params())).collect()}
+    assert again == whole
+
+
+def test_no_table_is_left_behind(spark):
+    from crashlens.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    left = lambda: {p for p in os.listdir(f"{base}/crashlens") if p.startswith("profile_day")} if os.path.isdir(f"{base}/crashlens") else set()
+    before = left()
+    _run(spark, tempfile.mkdtemp(prefix="crashlens-left-"))
+    assert left() == before
+
+
+def test_scan_has_a_given_schema(spark):
+    from crashlens.sources.pings import read_raw_pings
+
+    where = tempfile.mkdtemp(prefix="crashlens-scan-") + "/t"
+    spark.sql("""SELECT 'c' AS client_id, 'release' AS normalized_channel, 'Firefox' AS app_name, 5L AS subsession_length, 0L AS crash_submit_success_main,
+                 0L AS crashes_detected_content, 0L AS crashes_detected_gmplugin, 0L AS crashes_detected_plugin, 18000 AS profile_creation_date,
+                 true AS e10s_enabled, '20240101' AS submission_date_s3, '42' AS sample_id""").write.partitionBy("submission_date_s3", "sample_id").parquet(where)
+    df = read_raw_pings(spark, where)
+    row = df.first()
+    assert (row.sd, row.sid, row.sk) == ("20240101", "42", None)
+    plan = df.filter("sd >= '20240101' AND sid = '42' AND channel = 'release'").select("cid")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(" in plan and "PushedFilters: [IsNotNull(normalized_channel)" in plan
+    assert "ReadSchema: struct<client_id:string,normalized_channel:string>" in plan

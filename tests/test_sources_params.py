@@ -4,6 +4,8 @@ import tempfile
 import pytest
 from pyspark.errors import AnalysisException
 
+from pyspark.sql import functions as F
+
 from crashlens.operators.summary import summary_columns
 from crashlens.params import fixture_params
 from crashlens.plans.report import build_reports
@@ -15,7 +17,7 @@ from tests.conftest import SF001
 def test_read_raw_pings_falls_back_only_on_missing_path(spark):
     root = tempfile.mkdtemp(prefix="crashlens-pings-")
     older = os.path.join(root, "v3")
-    events_as_main_summary(spark.read.parquet(f"{SF001}/events.parquet")).write.parquet(older)
+    events_as_main_summary(spark.read.parquet(f"{SF001}/events.parquet")).withColumn("client_id", F.col("client_id").cast("string")).write.parquet(older)
     df = read_raw_pings(spark, [os.path.join(root, "v4"), older])
     assert df.columns == list(RAW_COLUMNS.values())
     assert df.count() == 1000
@@ -44,8 +46,6 @@ def test_extra_threshold_keys(spark):
 
 def test_string_client_ids(spark):
     """The original's client id is a string; any hashable key works the same."""
-    from pyspark.sql import functions as F
-
     p = fixture_params()
     pings = fixture_pings(spark, SF001)
     as_text = pings.withColumn("cid", F.concat(F.lit("client-"), F.col("cid").cast("string")))

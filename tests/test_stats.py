@@ -6,8 +6,8 @@ import pytest
 from crashlens.functions.stats import exact_percentiles, geometric_mean
 
 
-@pytest.mark.parametrize("limit,bits,bcast", [(1_000_000, 21, 10**6), (0, 21, 10**6), (0, 5, 10**6), (0, 21, 0)])
-def test_exact_percentiles_paths(spark, limit, bits, bcast):
+@pytest.mark.parametrize("bits", [21, 32, 11])
+def test_exact_percentiles_paths(spark, bits):
     rng = random.Random(11)
     rows = [("hot", rng.randrange(0, 10)) for _ in range(3000)]               # one group with a third+ of rows
     rows += [("wide", rng.randrange(0, 2 ** 40)) for _ in range(500)]
@@ -15,8 +15,7 @@ def test_exact_percentiles_paths(spark, limit, bits, bcast):
     rows += [("none", None)]
     df = spark.createDataFrame(rows, "g string, v bigint")
     probs = [0.1, 0.25, 0.5, 0.75, 0.9]
-    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, group_limit=limit, max_digit_bits=bits,
-                                                   broadcast_target_rows=bcast).collect()}
+    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, digit_bits=bits).collect()}
     assert "none" not in got
     for g in ("hot", "wide", "one"):
         vals = np.array([v for k, v in rows if k == g], dtype=float)
@@ -40,13 +39,12 @@ from hypothesis import strategies as st  # noqa: E402
         st.lists(st.one_of(st.integers(0, 50), st.integers(0, 2**45)), min_size=1, max_size=60),
         min_size=1,
     ),
-    radix=st.booleans(),
 )
-def test_exact_percentiles_property(spark, groups, radix):
+def test_exact_percentiles_property(spark, groups):
     rows = [(g, v) for g, vs in groups.items() for v in vs]
     df = spark.createDataFrame(rows, "g string, v bigint")
     probs = [0.0, 0.1, 0.5, 0.9, 1.0]
-    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, group_limit=0 if radix else 10**6).collect()}
+    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs).collect()}
     assert set(got) == set(groups)
     for g, vs in groups.items():
         want = np.percentile(np.array(vs, dtype=float), [p * 100 for p in probs])

@@ -40,3 +40,20 @@ def test_incremental_equals_batch(spark):
     a = {r.date: r for r in read_summaries(spark, out2, keys).collect()}
     b = {r.date: r for r in read_summaries(spark, batch_out, keys).collect()}
     assert len(b) == 17 and a == b
+
+
+def test_stream_equals_batch_when_today_moves(spark):
+    """Pings whose profile seems created after the day they came in count once that day has come."""
+    import datetime as dt
+
+    root = tempfile.mkdtemp(prefix="crashlens-moving-")
+    pings = events_as_main_summary(spark.read.parquet(f"{SF01}/events.parquet"))
+    landing, state, keys = os.path.join(root, "landing"), os.path.join(root, "state"), summary_columns(fixture_params())
+    for k, (upto, today) in enumerate((("20240114", dt.date(2024, 1, 15)), ("20240131", dt.date(2024, 1, 31)))):
+        pings.filter((F.col("submission_date_s3") <= upto) & ((F.col("submission_date_s3") > "20240114") | F.lit(k == 0))).write.parquet(f"{landing}/drop{k}")
+        out = os.path.join(root, f"out{k}")
+        run_incremental_reports(spark, os.path.join(landing, "*"), pings.schema, state, out, fixture_params(today=today), buckets=4)
+    batch = os.path.join(root, "batch")
+    run_report_job(spark, select_ping_columns(pings), batch, fixture_params(today=dt.date(2024, 1, 31)), buckets=4)
+    a, b = ({r.date: r for r in read_summaries(spark, x, keys).collect()} for x in (out, batch))
+    assert len(b) == 17 and a == b
