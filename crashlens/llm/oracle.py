@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from crashlens.llm.mixing import MAX_REPEATS, SLOPES, WEIGHTS
 from crashlens.llm.quality import RULES, STOP_WORDS, SYMBOLS
 
 _BREAKS = r"[\x20\x09-\x0D]"
@@ -37,5 +38,60 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM f"""
 
 
+def _suffix_sql() -> str:
+    """Every 50-byte string and the smallest document it starts in; bytes within 49 behind the start of one
+    that starts in a smaller document go."""
+    return """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, CAST(unnest(range(0, CAST(length(h) / 2 AS BIGINT))) AS BIGINT) AS i, h FROM d),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte, CASE WHEN 2 * i + 100 <= length(h) THEN substr(h, 2 * i + 1, 100) END AS s FROM b),
+m AS (SELECT *, coalesce(s IS NOT NULL AND doc_id > min(doc_id) OVER (PARTITION BY s), false) AS hit FROM w),
+c AS (SELECT doc_id, i, byte, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM m),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS span FROM c),
+k AS (SELECT doc_id, count_if(gone) AS n_removed, count_if(span) AS n_spans,
+             coalesce(string_agg(byte, '' ORDER BY i) FILTER (WHERE NOT gone), '') AS kept FROM e GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id"""
+
+
+def _join_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array({lower}, '{_BREAKS}+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])
+                                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 90 * (a.n + b.n - i)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT doc_id AS v, doc_id AS c FROM w UNION SELECT e.y, r.c FROM r JOIN e ON r.v = e.x)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, (SELECT min(c) FROM r WHERE r.v = w.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id"""
+
+
+def _pick(values: tuple[float, ...]) -> str:
+    return f"CASE place % {len(values)} " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(values)) + " END::DOUBLE"
+
+
+def _mix_sql() -> str:
+    earlier = "OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""
+WITH d AS (SELECT doc_id, source, md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+                  CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_BREAKS}+'), lambda x: x <> '')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+p AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place FROM s),
+q AS (SELECT *, {_pick(WEIGHTS)} AS weight, {_pick(SLOPES)} AS slope, source_size * {float(MAX_REPEATS)}::DOUBLE AS cap, CAST(sum(source_size) OVER () AS DOUBLE) AS total FROM p),
+l AS (SELECT *, (total - coalesce(sum(cap) {earlier}, 0)) / (sum(weight) OVER () - coalesce(sum(weight) {earlier}, 0)) AS level FROM q),
+t AS (SELECT *, least(cap, coalesce((SELECT level FROM l WHERE level * weight <= cap ORDER BY cap / weight, place LIMIT 1) * weight, cap)) AS target FROM l),
+b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d),
+j AS (SELECT b.*, source_size, target, slope, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM b JOIN t ON b.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, CASE WHEN size > 0 THEN CAST(least(whole + CASE WHEN before + size / 2.0 <= target - whole * source_size THEN 1 ELSE 0 END, {MAX_REPEATS}) AS BIGINT) ELSE 0 END AS copies,
+             CASE WHEN target > 0 THEN least(1.0, (before + size / 2.0) / target) ELSE 0.0 END AS share FROM j)
+SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(copies * size AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies,
+       round(CASE WHEN copies > 0 THEN CASE WHEN slope = 0 THEN share ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * share) - (1 - slope)) / (2 * slope) END END, 9) AS position
+FROM c"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": _quality_sql()}
+    return {"op1_suffix_dedup": _suffix_sql(), "op2_quality_rules": _quality_sql(), "op3_ngram_join": _join_sql(), "op10_mixing": _mix_sql()}

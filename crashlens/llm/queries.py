@@ -65,7 +65,8 @@ def op9_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "position")
+    return mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "copies", F.round("position", 9).alias("position"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
