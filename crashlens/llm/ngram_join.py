@@ -18,7 +18,8 @@ what is joined already need not be looked for.
    nothing in common, that makes both link with the hub, so the pair adds nothing. Else
    one of them isn't linked with the hub and they share at least
    ``t = (|D_x| + |D_y| - S / 19) / 2`` differences, hence one of the first
-   ``|D| - t + 1`` of each, rare first. Those pairs, few, are counted as in 4.
+   ``|D| - t + 1`` of each, rare first. What they share there bounds what they can share
+   at all; pairs that may reach t, few, are counted as in 4.
 6. Components of the links, by smallest label with pointer jumping.
 
 Fingerprints have 64 bits. Defined cases: null or empty text, or one without words: an
@@ -214,14 +215,18 @@ def links(sets: DataFrame) -> DataFrame:
     # Of each document: its differences, those that nobody shares or that only near ones share first.
     ranked = apart.join(rarity, ["a", "e"], "left").groupBy("a", "b", "near", "nb", "d", "t").agg(
         F.slice(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "e"))), F.lit(1), F.greatest(F.lit(0), (F.col("d") - F.col("t") + 1)).cast("int")).alias("first"))
-    ranked = ranked.select("a", "b", "near", "nb", "d", F.explode("first").alias("x")).where("x.f > 0").select("a", "b", "near", "nb", "d", F.col("x.e").alias("e"))
+    ranked = ranked.select("a", "b", "near", "nb", "d", "t", F.explode("first").alias("x")).where("x.f > 0").select("a", "b", "near", "nb", "d", "t", F.col("x.e").alias("e"))
     ranked = written(ranked, "first-differences")
-    left = ranked.where(~F.col("near")).select("a", "e", F.col("b").alias("x"), F.col("nb").alias("nx"), F.col("d").alias("dx"))
-    right = ranked.select("a", "e", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("d").alias("dy"), F.col("near").alias("y_near"))
+    left = ranked.where(~F.col("near")).select("a", "e", F.col("b").alias("x"), F.col("nb").alias("nx"), F.col("d").alias("dx"), F.col("t").alias("tx"))
+    right = ranked.select("a", "e", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("d").alias("dy"), F.col("t").alias("ty"), F.col("near").alias("y_near"))
     # Sizes within the limit, and few enough differences even if the smaller side is all shared.
     fits = (F.col("nx") * 10 >= F.col("ny") * 9) & (F.col("ny") * 10 >= F.col("nx") * 9) & (F.abs(F.col("dx") - F.col("dy")) * 19 <= F.col("nx") + F.col("ny"))
     once = F.col("y_near") | (F.col("x") < F.col("y"))
-    pairs = left.join(right, ["a", "e"]).where((F.col("x") != F.col("y")) & fits & once)
+    pairs = left.join(right, ["a", "e"]).where((F.col("x") != F.col("y")) & fits & once).groupBy("a", "x", "y").agg(
+        F.count(F.lit(1)).alias("seen"), *[F.first(c).alias(c) for c in ("nx", "ny", "dx", "dy", "tx", "ty")])
+    # Differences shared but not seen lie behind the first ones of that of the two whose first ones end earlier.
+    needed = (F.col("dx") + F.col("dy") - (F.col("nx") + F.col("ny")) / 19.0) / 2.0
+    pairs = pairs.where(F.col("seen") + F.greatest("tx", "ty") - 1 >= needed - 1e-9)
     pairs = written(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "difference-pairs")
     more = overlaps(pairs, segments).join(na, "a").join(nb, "b").where(_linked(F.col("overlap"), F.col("na"), F.col("nb"))).select("a", "b")
     return written(near.unionByName(more), "links")
