@@ -30,7 +30,7 @@ from crashlens.params import fixture_params  # noqa: E402
 from crashlens.plans.job import run_report_job  # noqa: E402
 from crashlens.plans.report import Reports, build_reports  # noqa: E402
 from crashlens.session import scratch_path  # noqa: E402
-from crashlens.sources.fixtures import events_as_main_summary, fixture_pings  # noqa: E402
+from crashlens.sources.fixtures import events_as_main_summary, fixture_pings, fixture_releases  # noqa: E402
 from crashlens.sources.pings import PING_SCHEMA, read_raw_pings  # noqa: E402
 from crashlens.sources.published import read_summaries  # noqa: E402
 
@@ -158,6 +158,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "weekly_summary": _r(_summary_cols),
         "population_estimates": _r(lambda r: r.population),
         "summary_series": _r(lambda r: series.summary_series(r.summary)),
+        "release_markers": lambda spark, d: series.release_markers(fixture_releases(spark, d), fixture_params().last_report),
         "weekly_summary_durable": lambda spark, d: _rounded(_summary_cols(_durable(spark, d))),
         "hours_histogram_durable": lambda spark, d: _rounded(_durable(spark, d).histogram),
         "publish_and_merge": lambda spark, d: _rounded(_merged(spark, d).drop("end_date")),

@@ -11,6 +11,8 @@ pcd in [14610, 19753], reports on weekdays 2024-01-08 .. 2024-01-30.
 
 from __future__ import annotations
 
+from crashlens.operators.series import SHUTDOWN_KILL_NOTE_DATE, SHUTDOWN_KILL_NOTE_LABEL
+
 FIRST_REPORT = "2024-01-08"
 LAST_REPORT = "2024-01-30"
 PCD_FLOOR = 14610
@@ -425,6 +427,16 @@ FROM stats WHERE has_multiple_crashes GROUP BY end_date, CAST(ceil(hours) AS INT
         for chart, legend, col, pct in SERIES
     ]
     q["summary_series"] = _summary_sql() + "\n" + "\nUNION ALL\n".join(parts)
+    q["release_markers"] = f"""
+WITH releases AS (
+  SELECT CAST(DATE '2022-07-01' + CAST(event_id % 600 AS INTEGER) AS DATE) AS date,
+         CASE event_id % 3 WHEN 0 THEN 'major' WHEN 1 THEN 'stability' ELSE 'dev' END AS category,
+         'v' || CAST(event_id AS VARCHAR) AS version
+  FROM events WHERE event_id % 40 = 0
+)
+SELECT date, version AS label, category FROM releases
+WHERE date >= DATE '{LAST_REPORT}' - INTERVAL 12 MONTH AND category = 'major'
+UNION ALL SELECT DATE '{SHUTDOWN_KILL_NOTE_DATE}', '{SHUTDOWN_KILL_NOTE_LABEL}', 'annotation'"""
     q["weekly_summary_durable"] = q["publish_and_merge"] = q["weekly_summary"]
     q["hours_histogram_durable"] = q["hours_histogram"]
     q["clean_pings_from_scan"] = q["clean_pings"]

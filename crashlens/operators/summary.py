@@ -126,11 +126,14 @@ def console_report(metrics: DataFrame, params: ReportParams) -> DataFrame:
         f"concat('Cohort created two weeks earlier: ', {est('cohort_profiles')})",
         f"concat('Cohort crashed within two weeks: ', {est('cohort_crashed')}, ' (', {pct('cohort_crashed', 'cohort_profiles')}, ')')",
         f"concat('Cohort first crash in week two: ', {est('cohort_crashed_second_week')}, ' (', "
-        f"{pct('cohort_crashed_second_week', 'cohort_profiles')}, ' of cohort)')",
+        f"{pct('cohort_crashed_second_week', 'cohort_profiles')}, ' of cohort, ', "
+        f"{pct('cohort_crashed_second_week', 'cohort_crashed')}, ' of those that crashed)')",
         f"concat('Days to first crash: mean ', {num('days_mean')}, ', median ', {num('days_p50')}, ', p90 ', {num('days_p90')})",
         f"concat('e10s enabled among crashed: ', {est('e10s_on_crashed')}, ' (', {pct('e10s_on_crashed', 'crashed_1')}, ')')",
         f"concat('e10s disabled among crashed: ', {est('e10s_off_crashed')}, ' (', {pct('e10s_off_crashed', 'crashed_1')}, ')')",
         *[f"concat('{k.capitalize()} crashes per 1000 hours: ', {num(f'{k}_per_hour * {PER_HOURS}D')})" for k in RATE_KINDS],
+        *[f"concat('{k.capitalize()} crashes per 1000 hours, e10s {word}: ', {num(f'{k}_per_hour_{state} * {PER_HOURS}D')})"
+          for state, word in (("on", "enabled"), ("off", "disabled")) for k in RATE_KINDS],
     ]
     arr = "array(" + ", ".join(f"named_struct('line', {i}, 'text', {t})" for i, t in enumerate(lines)) + ")"
     return metrics.selectExpr("end_date", f"explode({arr}) AS l").selectExpr("end_date", "l.line AS line", "l.text AS text")
