@@ -24,8 +24,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of linked documents (3-word
     shingles, a similarity of 0.9); rows that repeat a doc_id count as one document."""
-    kept = ngram_join.components_of(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+    kept = ngram_join.components_of(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id")
+    stay = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"])  # rows without an id can't be told apart by it
+    return stay.unionByName(nameless).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,7 +30,21 @@ def setting(spark: SparkSession, key: str, value: str):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables written within the block are deleted at its end, but those written to be kept."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in map(spark._jvm.org.apache.hadoop.fs.Path, _scratch.pop()):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write an intermediate table to the shared checkpoint folder and read it back.
 
     This cuts the lineage: a lost executor costs a re-read of the files, not the steps
@@ -38,6 +52,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
+    if _scratch and not keep:
+        _scratch[-1].append(path)
     with setting(spark, CLEANUP, "true"):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import parallelism, written
+from crashlens.llm.common import parallelism, scratch, written
 from crashlens.llm.suffix_dedup import BUCKET_BYTES, _buckets_of, _pack, _unpack, make_units
 
 N = 3
@@ -249,7 +249,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def components_of(docs: DataFrame, unit_bytes: int = UNIT_BYTES) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id."""
+    """Per document: doc_id, n_shingles, component_id. The result is written; what it was
+    made from is deleted."""
+    with scratch(docs.sparkSession):
+        return written(_components_of(docs, unit_bytes), "components", keep=True)
+
+
+def _components_of(docs: DataFrame, unit_bytes: int) -> DataFrame:
     units = make_units(docs, unit_bytes)
     size = 4 * (units.agg(F.sum(F.octet_length("payload"))).first()[0] or 0)
     buckets = max(parallelism(docs.sparkSession), size // BUCKET_BYTES + 1)
