@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval (operator 7).
 
 Passages are windows of ``2 * HALF`` words every ``HALF`` words, of documents and benchmark
-items alike. Their TF-IDF matrix A has a column per word of the benchmark (no other word
-can add to a cosine with an item). A randomised SVD finds its leading right singular
+items alike. Their TF-IDF matrix A has a column per word of the benchmark that isn't too common
+(no other word can add to a cosine with an item; see ``MAX_SHARE``). A randomised SVD finds its leading right singular
 space: each task adds up ``A_i^T (A_i W)`` for a random W over its passages, the sum of
 these small matrices is orthonormalised, and A's rows are projected onto it. Cosines there
 give the candidates; cosines do not depend on how the space is rotated, so the small SVD
@@ -20,7 +20,7 @@ All passages of all documents are counted, projected and compared; nothing is sh
 the partial sums and nothing is cut off.
 
 Defined cases: null or empty texts and items match nothing; words are compared in lower
-case without punctuation at their ends; an item of fewer than ``MIN_WORDS`` words is left
+case (A-Z) without signs; an item of fewer than ``MIN_WORDS`` words is left
 out (it says too little to be told from chance). Repeated items or documents each give
 their own rows; a benchmark item that repeats its id gives one row with the best figures.
 Empty tables give empty results; extra columns are ignored.
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,35 +44,28 @@ PIECE_WORDS, MIN_WORDS, BLOCK_ITEMS = 64, 6, 4096
 RANK, SEED, WINDOWS = 128, 7, 2048
 COVERED, PARAPHRASE_COVERED = 0.3, 0.6
 COSINE, LCS_SHARE, PARAPHRASE_SHARE, ANSWER_SHARE = 0.4, 0.6, 0.45, 0.8
-REMEMBERED, GROUP = 500_000, 40_000
-EDGE = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "«»“”‘’„…–—¿¡"
+GROUP = 40_000
+#: Columns of the latent space: words in at most this share of passages (commoner ones tell
+#: passages of one language alike), and the rarest words of each item whatever their share.
+MAX_SHARE, RAREST = 0.003, 8
+_SIGNS = bytes(c for c in range(128) if not chr(c).isalnum())
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _SIGNS, b"abcdefghijklmnopqrstuvwxyz" + b" " * len(_SIGNS))
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
-def plain_words(text: str) -> list[str]:
-    return [w for w in (x.strip(EDGE) for x in text.lower().split()) if w]
+def plain_words(text: str) -> list[bytes]:
+    """Words in UTF-8: A-Z in lower case, ASCII signs and white space between words."""
+    return text.encode().translate(_PLAIN).split()
 
 
-class _Ids(dict):
-    """Word as written to its column; the last column is that of all words outside the vocabulary."""
-
-    def __init__(self, vocabulary: dict[str, int]):
-        super().__init__()
-        self.vocabulary, self.other = vocabulary, len(vocabulary)
-
-    def __missing__(self, word: str) -> int:
-        i = self.vocabulary.get(word.lower().strip(EDGE), self.other)
-        if len(self) < REMEMBERED and len(word) <= 64:
-            self[word] = i
-        return i
-
-
-def _halves(ids: _Ids, found: list[str]):
-    """Columns of all words of some texts, the half-window each word lies in, the first
-    half-window of each text, and the number of half-windows."""
+def _halves(vocabulary: dict[bytes, int], found: list[str]):
+    """Columns of all words of some texts (the number of columns for a word outside), the
+    half-window each word lies in, the first half-window of each text, and their number."""
+    other = repeat(len(vocabulary))
     columns, half, first, n = [], [], [], 0
     for t in found:
-        own = np.fromiter(map(ids.__getitem__, t.split()), np.int32)
+        words = plain_words(t)
+        own = np.fromiter(map(vocabulary.get, words, other), np.int32, len(words))
         columns.append(own)
         first.append(n)
         half.append(n + np.arange(len(own)) // HALF)
@@ -91,8 +85,9 @@ def _groups(found: list[str]) -> Iterator[tuple[int, int]]:
 
 
 def _projected(columns: np.ndarray, half: np.ndarray, n: int, matrix: np.ndarray) -> np.ndarray:
-    """Sum of the matrix rows of each half-window's words; columns outside count nothing."""
-    use = columns < len(matrix)
+    """Sum of the matrix rows of each half-window's words; the matrix's first row is zero and
+    stands for all words that have none."""
+    use = columns > 0
     out = np.zeros((n, matrix.shape[1]), np.float32)
     if use.any():
         rows, at = matrix[columns[use]], half[use]
@@ -127,7 +122,7 @@ class Items:
     """A block of benchmark pieces: vocabulary, columns of the words, answers."""
 
     def __init__(self, rows: list[tuple[int, str]]):
-        self.vocabulary: dict[str, int] = {}
+        self.vocabulary: dict[bytes, int] = {}
         self.pieces, self.ids, self.answers = [], [], []
         for item, text in rows:
             words = plain_words(text)
@@ -195,13 +190,12 @@ def _block_matches(docs: DataFrame, items: Items, rank: int, cosine: float) -> D
     shared = sc.broadcast(items)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, total = _Ids(shared.value.vocabulary), np.zeros(size + 2)
+        words, total = shared.value.vocabulary, np.zeros(size + 2)
         for b in batches:
             found = b.column("text").to_pylist()
             for a, e in _groups(found):
-                columns, half, first, n = _halves(ids, found[a:e])
+                columns, half, first, n = _halves(words, found[a:e])
                 use = columns < size
-                # A word of a half-window counts for the passages that begin with it and before it.
                 pair = np.unique(half[use].astype(np.int64) * size + columns[use])
                 total[:size] += np.bincount(pair % size, minlength=size)[:size]
                 total[size + 1] += n
@@ -210,61 +204,72 @@ def _block_matches(docs: DataFrame, items: Items, rank: int, cosine: float) -> D
     counted = _sum_of(docs.mapInArrow(frequencies, "blob binary"), (size + 2,))
     own = items.counts()
     df = counted[:size] + (own > 0).sum(axis=0)
-    idf = np.log((1.0 + counted[size + 1] + len(own)) / (1.0 + df)).astype(np.float32) + np.float32(1e-3)
-    width = min(rank, size)
-    start = (np.random.default_rng(SEED).standard_normal((size, width)) * idf[:, None]).astype(np.float32)
-    sketch_start = sc.broadcast(start)
+    n_passages = counted[size + 1] + len(own)
+    idf = np.log((1.0 + n_passages) / (1.0 + df)).astype(np.float32) + np.float32(1e-3)
+    chosen = df <= MAX_SHARE * n_passages
+    for p in items.pieces:
+        words = np.unique(p)
+        chosen[words[np.argsort(df[words], kind="stable")[:RAREST]]] = True
+    latent_columns = np.flatnonzero(chosen)
+    row_of = np.zeros(size + 1, np.int32)  # 0: no column of the latent space
+    row_of[latent_columns] = 1 + np.arange(len(latent_columns))
+    weight = idf[latent_columns]
+    counts = own[:, latent_columns]
+    width = min(rank, len(latent_columns))
+    start = (np.random.default_rng(SEED).standard_normal((len(weight), width)) * weight[:, None]).astype(np.float32)
+    sketch_start = sc.broadcast((row_of, np.vstack([np.zeros((1, width), np.float32), start])))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, total, w = _Ids(shared.value.vocabulary), np.zeros((size, width)), sketch_start.value
+        words, (rows_of, w) = shared.value.vocabulary, sketch_start.value
+        total = np.zeros((len(w), width))
         for b in batches:
             found = b.column("text").to_pylist()
             for a, e in _groups(found):
-                columns, half, first, n = _halves(ids, found[a:e])
+                columns, half, first, n = _halves(words, found[a:e])
+                columns = rows_of[columns]
                 z = _windows(_projected(columns, half, n, w), first)
                 back = z.copy()  # a half-window's words are in the passage it starts and in the one before
                 if n > 1:
                     inner = np.setdiff1d(np.arange(1, n), first)
                     back[inner] += z[inner - 1]
-                use = columns < size
+                use = columns > 0
                 order = np.argsort(columns[use], kind="stable")
                 c, rows = columns[use][order], back[half[use][order]]
                 if len(c):
                     starts = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
                     total[c[starts]] += np.add.reduceat(rows, starts, axis=0)
-        yield pa.RecordBatch.from_pydict({"blob": [total.tobytes()]})
+        yield pa.RecordBatch.from_pydict({"blob": [total[1:].tobytes()]})
 
-    y = _sum_of(docs.mapInArrow(sketch, "blob binary"), (size, width)) + own.T @ (own @ start)
-    basis = np.linalg.qr(y * idf[:, None])[0].astype(np.float32)
-    projection = sc.broadcast(basis * idf[:, None])
-    latent = own @ (basis * idf[:, None])
+    y = _sum_of(docs.mapInArrow(sketch, "blob binary"), start.shape) + counts.T @ (counts @ start)
+    basis = np.linalg.qr(y * weight[:, None])[0].astype(np.float32) * weight[:, None]
+    latent = counts @ basis
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
+    projection = sc.broadcast(np.vstack([np.zeros((1, basis.shape[1]), np.float32), basis]))
     targets = sc.broadcast(latent)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, m, t = shared.value, projection.value, targets.value
-        ids = _Ids(own.vocabulary)
-        weight = np.zeros((len(own.pieces), size + 1), np.float32)  # of each word in each piece
+        held = np.zeros((len(own.pieces), size + 1), np.float32)  # weight of each word in each piece
         for k, p in enumerate(own.pieces):
-            weight[k, p] = idf[p]
+            held[k, p] = idf[p]
         least = np.array([COVERED * idf[p].sum() for p in own.pieces], np.float32)
 
         def covered(columns, lo, hi, k):
             """Whether the words lo to hi of a candidate hold enough of its piece, by TF-IDF weight."""
             place = lo[:, None] + np.arange(4 * HALF)
             inside = place < hi[:, None]
-            hits = weight[k[:, None], columns[np.minimum(place, len(columns) - 1)]]
+            hits = held[k[:, None], columns[np.minimum(place, len(columns) - 1)]]
             return (hits * inside).sum(axis=1) >= least[k]
 
         for b in batches:
             doc_ids, found = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
             best: dict[tuple, tuple] = {}
             for a, e in _groups(found):
-                columns, half, first, n = _halves(ids, found[a:e])
+                columns, half, first, n = _halves(own.vocabulary, found[a:e])
                 if not n:
                     continue
                 word_at = np.searchsorted(half, np.arange(n + 1))
-                z = _windows(_projected(columns, half, n, m), first)
+                z = _windows(_projected(row_of[columns], half, n, m), first)
                 z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
                 for s in range(0, n, WINDOWS):
                     near = z[s:s + WINDOWS] @ t.T
