@@ -151,7 +151,8 @@ def fit(toxic: list[str], clean: list[str]) -> Model:
     neutral = sorted(df_bad, key=lambda w: (-df_bad[w], w))[:NEGATIVES]
     model, hard, flat = None, [], sorted({w for d in docs for w in d})
     for _ in range(ROUNDS):
-        votes, confused = Counter(witness), set(hard)
+        # A document whose worst word is common in clean ones too has no witness to learn from.
+        votes, confused = Counter([w for w in witness if odds[w] >= SURE] or witness), set(hard)
         positive = sorted(w for w in votes if votes[w] > 1 or len(votes) < 20) or sorted(votes)
         landmarks = sorted(positive, key=lambda w: (-votes[w], w))[: LANDMARKS * 3 // 4]
         landmarks += [w for w in neutral if w not in votes][: LANDMARKS - len(landmarks)]

@@ -45,8 +45,8 @@ def test_probabilities_add_up(monkeypatch):
     tables = np.zeros((2, int(C.FIRST[-1])), np.float32)
     C._count(tables, chunks, counts, slice(0, C.ORDERS - 1))
     mixer = C.Mixer.fresh()
-    mixer.learn(tables, chunks, counts)
     own = C._local(chunks, counts)
+    mixer.learn(tables, own, chunks, counts)
     monkeypatch.setattr(C, "_local", lambda *a: own)
     bits = lambda chunk: mixer.bits(tables, [chunk], np.ones(1, np.int64))[0]
     for prefix in (b"", b"c", b"xq"):
@@ -66,7 +66,7 @@ def _toxic_rows(seed, n):
     for _ in range(n):
         w, toxic = [word() for _ in range(40)], rng.random() < 0.4
         if toxic:
-            w[rng.randrange(40)] = rng.choice(("idiot", "scumbag", "worthless", "krz" + word()))
+            w[rng.randrange(40)] = rng.choice(("idiot", "scumbag", "worthless", "krzdum"))
         rows.append((" ".join(w) + ".", int(toxic)))
     return rows
 
@@ -145,8 +145,8 @@ def test_leaks_are_found_and_clean_documents_left(spark):
 
 def test_planted_benchmark_passages(spark, small):
     bench = spark.read.parquet(f"{SF001}/benchmark.parquet")
-    items = {r.item_id: " ".join(L.plain_words(r.text)) for r in bench.collect()}
-    want = {(i, k) for i, t in pairs(small) for k, x in items.items() if x in " ".join(L.plain_words(t))}
+    items = {r.item_id: b" ".join(L.plain_words(r.text)) for r in bench.collect()}
+    want = {(i, k) for i, t in pairs(small) for k, x in items.items() if x in b" ".join(L.plain_words(t))}
     assert want and {(r.doc_id, r.item_id) for r in L.leaks(small, bench).collect()} == want
 
 
