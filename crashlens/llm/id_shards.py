@@ -38,7 +38,7 @@ END_ID = 2
 SHARD_IDS = 1 << 19
 BUCKET_KEYS = 1 << 15
 #: A worker remembers the ids of so many words of at most so many characters.
-REMEMBERED, LONGEST = 1_000_000, 64
+REMEMBERED, LONGEST = 300_000, 64
 NULL_KEY = -(2**63)
 SLOT = np.dtype([("fingerprint", "<u4"), ("part", "<i4"), ("seq", "<i4"), ("record", "<i4"), ("offset", "<i8")])
 

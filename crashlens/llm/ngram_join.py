@@ -48,7 +48,7 @@ N = 3
 FRAGMENTS = 8
 UNIT_BYTES = 2 << 20
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 NULL_ID = -(2**63)
 
 

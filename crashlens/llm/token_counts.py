@@ -28,7 +28,7 @@ SPACE = "▁"  # how the model writes a space
 #: A line feed, a run of spaces with what follows, or what follows a line feed.
 PRETOKEN = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 #: A worker forgets merged pre-tokens beyond this many; longer ones than LONGEST are not kept.
-REMEMBERED, LONGEST = 1_000_000, 64
+REMEMBERED, LONGEST = 500_000, 64
 LIMIT = 4096
 
 

@@ -46,7 +46,7 @@ WINDOW = 32
 MAX_POSITIVE, MAX_NEGATIVE, MAX_CHARS = 1000, 2000, 20_000
 LANDMARKS, NEGATIVES, ROUNDS = 96, 6000, 3
 RIDGE, FLOOR, SURE, HARD = 0.1, -1.5, 1.5, 20.0
-REMEMBERED, LONGEST = 1_000_000, 64
+REMEMBERED, TEXTS = 250_000, 256
 SENTENCE = re.compile(r"[.!?\n|]+\s*")
 EDGE = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "«»“”‘’„…–—¿¡"
 
@@ -243,12 +243,17 @@ class Scorer:
         self.model, self.known = model, {}
 
     def __call__(self, found: list[str]) -> np.ndarray:
+        """A few texts at a time: their words are held at once."""
+        parts = [self._score(found[at:at + TEXTS]) for at in range(0, len(found), TEXTS)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+    def _score(self, found: list[str]) -> np.ndarray:
         per_doc = [_words(t) for t in found]
         if len(self.known) > REMEMBERED:
             self.known = {}
         unseen = list({w for d in per_doc for w in d if w not in self.known})
-        for at in range(0, len(unseen), 65536):
-            part = unseen[at:at + 65536]
+        for at in range(0, len(unseen), 16384):
+            part = unseen[at:at + 16384]
             self.known.update(zip(part, self.model.margins(part).tolist()))
         return self.model.score(np.array([max(map(self.known.__getitem__, d), default=FLOOR) for d in per_doc]))
 
