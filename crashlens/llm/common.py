@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from contextlib import contextmanager
 from zlib import crc32
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,5 +86,14 @@ def fold_of(doc_id: int, of: int) -> int:
     return crc32(str(doc_id).encode()) % of
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system. Spark goes on with a Python worker in the next
+    stage, and what its allocators keep from the last one counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), spark.sparkContext.defaultParallelism)

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import parallelism, texts, written
+from crashlens.llm.common import parallelism, release_memory, texts, written
 
 END_ID = 2
 SHARD_IDS = 1 << 19
@@ -152,6 +152,8 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
                 held += len(payloads[-1]) // size
         if keys:
             yield shard()
+        keys, payloads = [], []
+        release_memory()
 
     ids_schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()),
                             ("keys", pa.binary()), ("lengths", pa.binary()), ("payload", pa.binary())])

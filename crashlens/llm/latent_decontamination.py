@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import texts
+from crashlens.llm.common import release_memory, texts
 
 HALF = 20
 PIECE_WORDS, MIN_WORDS, BLOCK_ITEMS = 64, 6, 4096
@@ -294,6 +294,7 @@ def _block_matches(docs: DataFrame, items: Items, rank: int, cosine: float) -> D
                 "doc_id": pa.array([doc_ids[d] for d, _ in keys], pa.int64()), "item_id": pa.array([i for _, i in keys], pa.int64()),
                 "cosine": pa.array([best[k][1] for k in keys], pa.float64()), "lcs_share": pa.array([best[k][0] for k in keys], pa.float64()),
                 "answer": pa.array([best[k][2] for k in keys], pa.bool_())})
+        release_memory()
 
     return docs.mapInArrow(search, "doc_id long, item_id long, cosine double, lcs_share double, answer boolean")
 

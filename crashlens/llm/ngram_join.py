@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import parallelism, scratch, written
+from crashlens.llm.common import parallelism, release_memory, scratch, written
 from crashlens.llm.suffix_dedup import BUCKET_BYTES, _buckets_of, _pack, _unpack, make_units
 
 N = 3
@@ -72,6 +72,7 @@ class Shingles:
     """Distinct shingles of a unit's documents: ``doc`` (its number) and ``key``, sorted by both."""
 
     def __init__(self, row: pa.Table):
+        release_memory()
         self.unit = row.column("unit")[0].as_py()
         self.ids = np.frombuffer(row.column("ids")[0].as_py(), "<i8")
         lengths = np.frombuffer(row.column("lengths")[0].as_py(), "<i8")

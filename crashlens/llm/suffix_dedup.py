@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import parallelism, texts, written
+from crashlens.llm.common import parallelism, release_memory, texts, written
 
 LENGTH = 50
 UNIT_BYTES = 2 << 20
@@ -202,6 +202,8 @@ def make_units(docs: DataFrame, unit_bytes: int = UNIT_BYTES) -> DataFrame:
                 held += len(raw) + LENGTH
         if ids:
             yield unit()
+        ids, found = [], []
+        release_memory()
 
     rows = texts(docs).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), F.encode("text", "UTF-8").alias("raw"))
     rows = rows.repartitionByRange(parallelism(docs.sparkSession), "id").sortWithinPartitions("id")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import fold, texts
+from crashlens.llm.common import fold, release_memory, texts
 
 DECAY, GAP = 0.6, 3
 SHAPES = [(a, b, DECAY ** (b - 2)) for a, b in combinations(range(1, 3 + GAP), 2)]
@@ -236,6 +236,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit(labelled_sample(docs, labels, 1, MAX_POSITIVE), labelled_sample(docs, labels, 0, MAX_NEGATIVE))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that few texts are Python strings at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+    release_memory()
+
+
 class Scorer:
     """Scores of texts; a word is scored once per task."""
 
@@ -265,7 +273,7 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(shared.value)
-        for b in batches:
+        for b in _slices(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score(b.column("text").to_pylist()))], names=["doc_id", "score"])
 
     return texts(docs).mapInArrow(run, "doc_id long, score double")
@@ -277,7 +285,7 @@ def accepted(docs: DataFrame, model: Model, reject_from: float = 0.5) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(shared.value)
-        for b in batches:
+        for b in _slices(batches):
             found = b.column(b.schema.get_field_index("text")).to_pylist()
             yield b.filter(pa.array(score([t or "" for t in found]) < reject_from))
 
