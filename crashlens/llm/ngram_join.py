@@ -1,29 +1,30 @@
 """Jaccard join of word n-gram sets by vertical partitioning, and its groups (operator 3).
 
-Two documents link if ``100 * |A and B| >= 90 * |A or B|`` for their sets of distinct 3-word
-shingles; the answer is a class per document, so equal sets count once and links that join
-what is joined already need not be looked for.
+Two documents link if ``100 * |A and B| >= similarity * |A or B|`` for their sets of distinct
+shingles of ``words`` words (op3: 3 words, 90); the answer is a class per document, so equal
+sets count once and links that join what is joined already need not be looked for. Below, q
+is similarity / 100.
 
 1. Order. Every shingle gets its frequency (units of documents send their distinct shingle
    fingerprints once, buckets count, see ``suffix_dedup``); the global order is rare first.
-   A document with more than a tenth of its shingles found nowhere else links with nothing.
+   A document with less than q of its shingles found elsewhere too links with nothing.
 2. Classes. Equal sets collapse to the smallest doc_id.
-3. Stars. Linked sets share one of their first ``n - ceil(0.9 n) + 1`` shingles. All
+3. Stars. Linked sets share one of their first ``n - ceil(q n) + 1`` shingles. All
    that share one make a group; its hub is the set with the most common shingles. Only
    pairs with the hub are counted: a group of m sets gives m pairs, not m^2.
 4. Overlaps. The order of fingerprints is cut into ``FRAGMENTS``; a pair's overlap is
    counted in each fragment apart and summed per pair.
 5. Differences. Let D_x be the shingles in which x and the hub differ. With S = |x| + |y|,
-   x and y link just if |D_x| + |D_y| - 2 |D_x and D_y| <= S / 19. If D_x and D_y have
-   nothing in common, that makes both link with the hub, so the pair adds nothing. Else
-   one of them isn't linked with the hub and they share at least
-   ``t = (|D_x| + |D_y| - S / 19) / 2`` differences, hence one of the first
+   x and y link just if |D_x| + |D_y| - 2 |D_x and D_y| <= r S, r = (1 - q) / (1 + q). If D_x
+   and D_y have nothing in common, that makes both link with the hub, so the pair adds
+   nothing. Else one of them isn't linked with the hub and they share at least
+   ``t = (|D_x| + |D_y| - r S) / 2`` differences, hence one of the first
    ``|D| - t + 1`` of each, rare first. What they share there bounds what they can share
    at all; pairs that may reach t, few, are counted as in 4.
 6. Components of the links, by smallest label with pointer jumping.
 
 Fingerprints have 64 bits. Defined cases: null or empty text, or one without words: an
-empty set that links with nothing; fewer than three words: the whole sequence as one
+empty set that links with nothing; fewer than ``words`` words: the whole sequence as one
 shingle. Rows that repeat a doc_id are one document each, in the same class if equal. A
 null doc_id is taken as the smallest. An empty table gives an empty result; extra columns
 are ignored.
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from crashlens.llm.common import parallelism, release_memory, scratch, written
 from crashlens.llm.suffix_dedup import BUCKET_BYTES, _buckets_of, _pack, _unpack, make_units
 
-N = 3
+WORDS, SIMILARITY = 3, 90  # of op3
 FRAGMENTS = 8
 UNIT_BYTES = 2 << 20
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -71,28 +72,28 @@ def _finish(h: np.ndarray) -> np.ndarray:
 class Shingles:
     """Distinct shingles of a unit's documents: ``doc`` (its number) and ``key``, sorted by both."""
 
-    def __init__(self, row: pa.Table):
+    def __init__(self, row: pa.Table, n: int):
         release_memory()
         self.unit = row.column("unit")[0].as_py()
         self.ids = np.frombuffer(row.column("ids")[0].as_py(), "<i8")
         lengths = np.frombuffer(row.column("lengths")[0].as_py(), "<i8")
         text = zstandard.ZstdDecompressor().decompress(row.column("payload")[0].as_py(), max_output_size=max(1, int(lengths.sum()))).lower()
         at, words, counts = 0, [], []
-        for n in lengths.tolist():
-            own = text[at:at + n].split()
+        for size in lengths.tolist():
+            own = text[at:at + size].split()
             counts.append(len(own))
             words += own
-            at += n
+            at += size
         counts = np.array(counts)
         h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
         doc = np.repeat(np.arange(len(counts)), counts)
-        h = np.concatenate([h, np.zeros(N, np.uint64)])
-        key = h[:-N] * _MUL[0]
-        for k in range(1, N):
-            key = _finish(key) * _MUL[k] + h[k:len(h) - N + k]
+        h = np.concatenate([h, np.zeros(n, np.uint64)])
+        key = h[:-n] * _MUL[0]
+        for k in range(1, n):
+            key = _finish(key) * _MUL[k % len(_MUL)] + h[k:len(h) - n + k]
         left = np.repeat(np.cumsum(counts), counts) - np.arange(len(doc))
-        whole = left >= N
-        for d in np.flatnonzero((counts > 0) & (counts < N)):  # few words: all of them as one
+        whole = left >= n
+        for d in np.flatnonzero((counts > 0) & (counts < n)):  # few words: all of them as one
             first = int(counts[:d].sum())
             key[first] = np.uint64(xxhash.xxh64_intdigest(b" ".join(words[first:first + counts[d]])))
             whole[first] = True
@@ -105,13 +106,13 @@ class Shingles:
         self.n = np.bincount(self.doc, minlength=len(counts))
 
 
-def _frequencies(units: DataFrame, bits: int, buckets: int) -> DataFrame:
+def _frequencies(units: DataFrame, bits: int, buckets: int, words: int) -> DataFrame:
     """For every unit, the frequency class (bits of the number of units) of its distinct shingles."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                s = Shingles(pa.Table.from_batches([b.slice(i, 1)]))
+                s = Shingles(pa.Table.from_batches([b.slice(i, 1)]), words)
                 keys = np.unique(s.key >> np.uint64(64 - bits))
                 edges = _buckets_of(keys, bits, buckets)
                 full = np.flatnonzero(np.diff(edges))
@@ -131,12 +132,12 @@ def _frequencies(units: DataFrame, bits: int, buckets: int) -> DataFrame:
     return written(sent.groupBy("bucket").applyInArrow(answer, "unit long, bucket int, blob binary"), "shingle-classes")
 
 
-def _sets(units: DataFrame, classes: DataFrame, bits: int) -> DataFrame:
+def _sets(units: DataFrame, classes: DataFrame, bits: int, words: int, similarity: int) -> DataFrame:
     """One row per document: id, n, digest of its set and, where it may link at all, its
     fragments, its first shared shingles and how common its shingles are."""
 
     def build(unit: pa.Table, answers: pa.Table) -> pa.Table:
-        s = Shingles(unit)
+        s = Shingles(unit, words)
         short = s.key >> np.uint64(64 - bits)
         keys, inverse, counts = np.unique(short, return_inverse=True, return_counts=True)
         parts = answers.sort_by("bucket").column("blob").to_pylist()
@@ -146,7 +147,7 @@ def _sets(units: DataFrame, classes: DataFrame, bits: int) -> DataFrame:
         rank = found[inverse]
         shared = (rank > 1) | (counts[inverse] > 1)
         bounds = np.searchsorted(s.doc, np.arange(len(s.ids) + 1))
-        enough = 10 * np.bincount(s.doc, weights=shared, minlength=len(s.ids)) >= 9 * s.n
+        enough = 100 * np.bincount(s.doc, weights=shared, minlength=len(s.ids)) >= similarity * s.n
         signed = s.key.view(np.int64)
         out: dict[str, list] = {k: [] for k in ("id", "n", "digest", "fragments", "prefix", "common")}
         for d in range(len(s.ids)):
@@ -159,7 +160,7 @@ def _sets(units: DataFrame, classes: DataFrame, bits: int) -> DataFrame:
                     out[k].append(None)
                 continue
             k, r = s.key[own], rank[own]
-            order = np.lexsort((k, r))[: n - -(-9 * n // 10) + 1]
+            order = np.lexsort((k, r))[: n - -(-similarity * n // 100) + 1]
             order = order[shared[own][order]]
             cuts = np.searchsorted(k >> np.uint64(61), np.arange(1, FRAGMENTS))
             out["digest"].append(xxhash.xxh3_128_digest(k.tobytes()))
@@ -182,13 +183,14 @@ def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     return both.select("a", "b", F.size(F.array_intersect("ka", "kb")).alias("part")).groupBy("a", "b").agg(F.sum("part").alias("overlap"))
 
 
-def _linked(overlap: Column, na: Column, nb: Column) -> Column:
-    return overlap * 100 >= (na + nb - overlap) * 90
+def _linked(overlap: Column, na: Column, nb: Column, similarity: int) -> Column:
+    return overlap * 100 >= (na + nb - overlap) * similarity
 
 
-def links(sets: DataFrame) -> DataFrame:
+def links(sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Links (a, b) between classes that join all that any links join. ``sets``: one row per
     class with id, n, fragments, prefix, common."""
+    share = (100 - similarity) / (100 + similarity)  # of both sizes: most shingles that linked sets differ in
     sizes = sets.select("id", "n")
     segments = sets.select("id", F.posexplode("fragments").alias("fragment", "keys"))
     members = sets.select("id", "common", F.explode("prefix").alias("g"))
@@ -197,7 +199,7 @@ def links(sets: DataFrame) -> DataFrame:
     na, nb = sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), sizes.select(F.col("id").alias("b"), F.col("n").alias("nb"))
     stars = written(stars, "stars")
     counted = stars.join(overlaps(stars, segments), ["a", "b"], "left").na.fill(0, ["overlap"]).join(na, "a").join(nb, "b")
-    counted = written(counted.withColumn("near", _linked(F.col("overlap"), F.col("na"), F.col("nb"))), "star-overlaps")
+    counted = written(counted.withColumn("near", _linked(F.col("overlap"), F.col("na"), F.col("nb"), similarity)), "star-overlaps")
     near = counted.where("near").select("a", "b")
 
     # Differences from the hub; a difference is a shingle that just one of the two has.
@@ -209,8 +211,8 @@ def links(sets: DataFrame) -> DataFrame:
         "a", "b", "na", "nb", "near", (F.col("na") + F.col("nb") - 2 * F.col("overlap")).alias("d"),
         F.explode(F.concat(F.array_except("ka", "kb"), F.array_except("kb", "ka"))).alias("e"))
     # Fewest differences to share with any partner that matters (see above), at least one.
-    least = F.when(F.col("near"), (F.col("d") + (F.col("na") - F.col("nb")) / 19.0) / 2.0).otherwise(
-        (F.col("d") + 1 - (F.col("nb") + F.floor(F.col("nb") * 10 / 9)) / 19.0) / 2.0)
+    least = F.when(F.col("near"), (F.col("d") + (F.col("na") - F.col("nb")) * share) / 2.0).otherwise(
+        (F.col("d") + 1 - (F.col("nb") + F.floor(F.col("nb") * 100 / similarity)) * share) / 2.0)
     apart = written(apart.withColumn("t", F.greatest(F.lit(1), F.ceil(least - 1e-9))), "differences")
     rarity = apart.groupBy("a", "e").agg(F.count(F.lit(1)).alias("f"), F.max((~F.col("near")).cast("int")).alias("open")).where("f > 1 and open = 1")
     # Of each document: its differences, those that nobody shares or that only near ones share first.
@@ -221,15 +223,15 @@ def links(sets: DataFrame) -> DataFrame:
     left = ranked.where(~F.col("near")).select("a", "e", F.col("b").alias("x"), F.col("nb").alias("nx"), F.col("d").alias("dx"), F.col("t").alias("tx"))
     right = ranked.select("a", "e", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("d").alias("dy"), F.col("t").alias("ty"), F.col("near").alias("y_near"))
     # Sizes within the limit, and few enough differences even if the smaller side is all shared.
-    fits = (F.col("nx") * 10 >= F.col("ny") * 9) & (F.col("ny") * 10 >= F.col("nx") * 9) & (F.abs(F.col("dx") - F.col("dy")) * 19 <= F.col("nx") + F.col("ny"))
+    fits = (F.col("nx") * 100 >= F.col("ny") * similarity) & (F.col("ny") * 100 >= F.col("nx") * similarity) & (F.abs(F.col("dx") - F.col("dy")) * (100 + similarity) <= (F.col("nx") + F.col("ny")) * (100 - similarity))
     once = F.col("y_near") | (F.col("x") < F.col("y"))
     pairs = left.join(right, ["a", "e"]).where((F.col("x") != F.col("y")) & fits & once).groupBy("a", "x", "y").agg(
         F.count(F.lit(1)).alias("seen"), *[F.first(c).alias(c) for c in ("nx", "ny", "dx", "dy", "tx", "ty")])
     # Differences shared but not seen lie behind the first ones of that of the two whose first ones end earlier.
-    needed = (F.col("dx") + F.col("dy") - (F.col("nx") + F.col("ny")) / 19.0) / 2.0
+    needed = (F.col("dx") + F.col("dy") - (F.col("nx") + F.col("ny")) * share) / 2.0
     pairs = pairs.where(F.col("seen") + F.greatest("tx", "ty") - 1 >= needed - 1e-9)
     pairs = written(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "difference-pairs")
-    more = overlaps(pairs, segments).join(na, "a").join(nb, "b").where(_linked(F.col("overlap"), F.col("na"), F.col("nb"))).select("a", "b")
+    more = overlaps(pairs, segments).join(na, "a").join(nb, "b").where(_linked(F.col("overlap"), F.col("na"), F.col("nb"), similarity)).select("a", "b")
     return written(near.unionByName(more), "links")
 
 
@@ -249,23 +251,24 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def components_of(docs: DataFrame, unit_bytes: int = UNIT_BYTES) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id. The result is written; what it was
+def components_of(docs: DataFrame, unit_bytes: int = UNIT_BYTES, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id, by shingles of so many words and a
+    similarity of so many hundredths. The result is written; what it was
     made from is deleted."""
     with scratch(docs.sparkSession):
-        return written(_components_of(docs, unit_bytes), "components", keep=True)
+        return written(_components_of(docs, unit_bytes, words, similarity), "components", keep=True)
 
 
-def _components_of(docs: DataFrame, unit_bytes: int) -> DataFrame:
+def _components_of(docs: DataFrame, unit_bytes: int, words: int, similarity: int) -> DataFrame:
     units = make_units(docs, unit_bytes)
     size = 4 * (units.agg(F.sum(F.octet_length("payload"))).first()[0] or 0)
     buckets = max(parallelism(docs.sparkSession), size // BUCKET_BYTES + 1)
     bits = min(64, max(34, math.ceil(math.log2(size / 6 + 1)) + 10))
-    sets = written(_sets(units, _frequencies(units, bits, buckets), bits), "sets")
+    sets = written(_sets(units, _frequencies(units, bits, buckets, words), bits, words, similarity), "sets")
     classes = sets.where(F.col("digest").isNotNull()).groupBy("digest", "n").agg(F.min("id").alias("class"))
     leaders = sets.where(F.col("digest").isNotNull()).join(classes.select("digest", F.col("class").alias("id")), ["digest", "id"], "left_semi")
     leaders = written(leaders.dropDuplicates(["id"]).select("id", "n", "fragments", "prefix", "common"), "classes")
-    labels = components(links(leaders))
+    labels = components(links(leaders, similarity))
     rows = sets.select("id", "n", "digest").join(classes.select("digest", "class"), "digest", "left")
     rows = rows.withColumn("class", F.coalesce("class", "id")).join(labels, F.col("class") == F.col("v"), "left")
     return rows.select(F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(F.coalesce("c", "class"), F.lit(NULL_ID)).alias("component_id"))

@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from crashlens.llm import ngram_join as J
 from crashlens.llm import suffix_dedup as S
 from tests.llm.conftest import frame, pairs
@@ -110,6 +111,42 @@ def test_a_passage_that_many_share_links_nothing(spark):
     assert _joined(docs) == _components(pairs(docs))
 
 
+def _groups(rows, words, similarity):
+    """Per row its id, its number of shingles and its component, by brute force."""
+    ids, sets = [], []
+    for i, t in rows:
+        w = t.encode().lower().split()
+        ids.append(i)
+        sets.append(frozenset(tuple(w[k:k + words]) for k in range(len(w) - words + 1)) if len(w) >= words else frozenset([tuple(w)] if w else []))
+    label = list(range(len(sets)))
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        x, y = sets[a], sets[b]
+        if x and y and 100 * len(x & y) >= similarity * len(x | y) and label[a] != label[b]:
+            low, high = sorted((label[a], label[b]))
+            label = [low if c == high else c for c in label]
+    return sorted(((i, len(s), ids[c]) for i, s, c in zip(ids, sets, label)), key=str)
+
+
+@pytest.mark.parametrize("words, similarity", [(5, 80), (2, 70)])
+def test_words_and_similarity_are_parameters(spark, odd, small, words, similarity):
+    rng = random.Random(3)
+    base, rows = [f"w{k}" for k in range(150)], []
+    for i in range(120):
+        w = list(base) if i % 3 or not rows else rows[rng.randrange(len(rows))][1].split()
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(len(w))] = f"e{rng.randint(0, 25)}"
+        rows.append((i, " ".join(w), "a"))
+    for docs in (frame(spark, rows), odd, small):
+        assert _joined(docs, unit_bytes=20_000, words=words, similarity=similarity) == _groups(pairs(docs), words, similarity)
+
+
+def test_the_pipeline_drops_near_copies_of_five_words_and_eight_tenths(spark):
+    text = [f"w{k}" for k in range(100)]
+    twice = [*text[:30], "one", *text[31:70], "two", *text[71:]]  # 86 of 106 shingles of five words; 92 of 104 of three
+    docs = frame(spark, [(1, " ".join(text), "a"), (2, " ".join(twice), "a"), (3, " ".join(f"x{k}" for k in range(100)), "a")])
+    assert [i for i, _ in pairs(corpus_pipeline.drop_near_duplicates(spark, docs, ""))] == [1, 3]
+
+
 def test_components_empty(empty):
     assert _joined(empty) == []
 
