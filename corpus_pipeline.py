@@ -22,12 +22,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of linked documents (5-word
-    shingles, a similarity of 0.8); rows that repeat a doc_id count as one document."""
-    kept = ngram_join.components_of(docs, words=5, similarity=80).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id")
-    stay = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"])  # rows without an id can't be told apart by it
-    return stay.unionByName(nameless).select(*docs.columns)
+    """Keeps one document of each group of linked documents (5-word shingles, a similarity of
+    0.8), that with the smallest id; rows of equal doc_id and text count as one document."""
+    kept = ngram_join.representatives(docs, words=5, similarity=80).select(F.col("doc_id").alias("kept_id"), "text_key")
+    same = docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (ngram_join.text_key(docs["text"]) == kept["text_key"])
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ is similarity / 100.
 1. Order. Every shingle gets its frequency (units of documents send their distinct shingle
    fingerprints once, buckets count, see ``suffix_dedup``); the global order is rare first.
    A document with less than q of its shingles found elsewhere too links with nothing.
-2. Classes. Equal sets collapse to the smallest doc_id.
+2. Classes. Equal sets collapse; a class goes by its set's fingerprint, not by a doc_id.
 3. Stars. Linked sets share one of their first ``n - ceil(q n) + 1`` shingles. All
    that share one make a group; its hub is the set with the most common shingles. Only
    pairs with the hub are counted: a group of m sets gives m pairs, not m^2.
@@ -25,9 +25,9 @@ is similarity / 100.
 
 Fingerprints have 64 bits. Defined cases: null or empty text, or one without words: an
 empty set that links with nothing; fewer than ``words`` words: the whole sequence as one
-shingle. Rows that repeat a doc_id are one document each, in the same class if equal. A
-null doc_id is taken as the smallest. An empty table gives an empty result; extra columns
-are ignored.
+shingle. Rows that repeat a doc_id, or have none, are one document each, linked by their
+texts alone; component_id is the smallest doc_id of a component, a null one counts as the
+smallest. An empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -64,6 +64,11 @@ class _Words(dict):
 _WORDS = _Words()  # one per Python worker
 
 
+def text_key(text: Column) -> Column:
+    """A fingerprint that tells rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def _finish(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
@@ -77,10 +82,12 @@ class Shingles:
         self.unit = row.column("unit")[0].as_py()
         self.ids = np.frombuffer(row.column("ids")[0].as_py(), "<i8")
         lengths = np.frombuffer(row.column("lengths")[0].as_py(), "<i8")
-        text = zstandard.ZstdDecompressor().decompress(row.column("payload")[0].as_py(), max_output_size=max(1, int(lengths.sum()))).lower()
-        at, words, counts = 0, [], []
+        text = zstandard.ZstdDecompressor().decompress(row.column("payload")[0].as_py(), max_output_size=max(1, int(lengths.sum())))
+        at, words, counts, self.text_key = 0, [], [], []
         for size in lengths.tolist():
-            own = text[at:at + size].split()
+            raw = text[at:at + size]
+            self.text_key.append(int(np.uint64(xxhash.xxh64_intdigest(raw, 42)).astype(np.int64)))  # as text_key() has it
+            own = raw.lower().split()
             counts.append(len(own))
             words += own
             at += size
@@ -133,7 +140,7 @@ def _frequencies(units: DataFrame, bits: int, buckets: int, words: int) -> DataF
 
 
 def _sets(units: DataFrame, classes: DataFrame, bits: int, words: int, similarity: int) -> DataFrame:
-    """One row per document: id, n, digest of its set and, where it may link at all, its
+    """One row per document: id, text_key, n, fingerprint of its set (class) and, where it may link at all, its
     fragments, its first shared shingles and how common its shingles are."""
 
     def build(unit: pa.Table, answers: pa.Table) -> pa.Table:
@@ -149,30 +156,31 @@ def _sets(units: DataFrame, classes: DataFrame, bits: int, words: int, similarit
         bounds = np.searchsorted(s.doc, np.arange(len(s.ids) + 1))
         enough = 100 * np.bincount(s.doc, weights=shared, minlength=len(s.ids)) >= similarity * s.n
         signed = s.key.view(np.int64)
-        out: dict[str, list] = {k: [] for k in ("id", "n", "digest", "fragments", "prefix", "common")}
+        out: dict[str, list] = {k: [] for k in ("id", "text_key", "n", "class", "fragments", "prefix", "common")}
         for d in range(len(s.ids)):
             own = slice(bounds[d], bounds[d + 1])
             n = int(s.n[d])
             out["id"].append(int(s.ids[d]))
+            out["text_key"].append(s.text_key[d])
             out["n"].append(n)
             if not n or not enough[d]:
-                for k in ("digest", "fragments", "prefix", "common"):
+                for k in ("class", "fragments", "prefix", "common"):
                     out[k].append(None)
                 continue
             k, r = s.key[own], rank[own]
             order = np.lexsort((k, r))[: n - -(-similarity * n // 100) + 1]
             order = order[shared[own][order]]
             cuts = np.searchsorted(k >> np.uint64(61), np.arange(1, FRAGMENTS))
-            out["digest"].append(xxhash.xxh3_128_digest(k.tobytes()))
+            out["class"].append(xxhash.xxh3_64_intdigest(k.tobytes()) >> 1)
             out["fragments"].append(np.split(signed[own], cuts))
             out["prefix"].append(signed[own][order])
             out["common"].append(float(r.astype(float).mean()))
-        return pa.table(out, schema=pa.schema([("id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("fragments", pa.list_(pa.list_(pa.int64()))),
+        return pa.table(out, schema=pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("fragments", pa.list_(pa.list_(pa.int64()))),
                                                ("prefix", pa.list_(pa.int64())), ("common", pa.float64())]))
 
     assert FRAGMENTS == 8  # the upper three bits of a fingerprint
     return units.groupBy("unit").cogroup(classes.groupBy("unit")).applyInArrow(
-        build, "id long, n long, digest binary, fragments array<array<long>>, prefix array<long>, common double")
+        build, "id long, text_key long, n long, class long, fragments array<array<long>>, prefix array<long>, common double")
 
 
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
@@ -256,19 +264,35 @@ def components_of(docs: DataFrame, unit_bytes: int = UNIT_BYTES, words: int = WO
     similarity of so many hundredths. The result is written; what it was
     made from is deleted."""
     with scratch(docs.sparkSession):
-        return written(_components_of(docs, unit_bytes, words, similarity), "components", keep=True)
+        rows = _components_of(docs, unit_bytes, words, similarity)
+        return written(rows.select(F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif("component_id", F.lit(NULL_ID)).alias("component_id")),
+                       "components", keep=True)
+
+
+def representatives(docs: DataFrame, unit_bytes: int = UNIT_BYTES, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
+    """doc_id and text_key of one document of each component: that of the smallest doc_id.
+    Documents that link with nothing are all there."""
+    with scratch(docs.sparkSession):
+        rows = _components_of(docs, unit_bytes, words, similarity).where("stays")
+        return written(rows.select(F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), "text_key").distinct(), "representatives", keep=True)
 
 
 def _components_of(docs: DataFrame, unit_bytes: int, words: int, similarity: int) -> DataFrame:
+    """Per document: id, text_key, n, component_id, and whether it is its component's representative."""
     units = make_units(docs, unit_bytes)
     size = 4 * (units.agg(F.sum(F.octet_length("payload"))).first()[0] or 0)
     buckets = max(parallelism(docs.sparkSession), size // BUCKET_BYTES + 1)
     bits = min(64, max(34, math.ceil(math.log2(size / 6 + 1)) + 10))
     sets = written(_sets(units, _frequencies(units, bits, buckets, words), bits, words, similarity), "sets")
-    classes = sets.where(F.col("digest").isNotNull()).groupBy("digest", "n").agg(F.min("id").alias("class"))
-    leaders = sets.where(F.col("digest").isNotNull()).join(classes.select("digest", F.col("class").alias("id")), ["digest", "id"], "left_semi")
-    leaders = written(leaders.dropDuplicates(["id"]).select("id", "n", "fragments", "prefix", "common"), "classes")
+    rows = sets.select("id", "text_key", "n", "class")
+    first = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min(F.struct("id", "text_key")).alias("first"))
+    classes = written(first.select("class", F.col("first.id").alias("id"), F.col("first.text_key").alias("text_key")), "class-firsts")
+    leaders = sets.join(classes, ["class", "id", "text_key"], "left_semi").dropDuplicates(["class"])
+    leaders = written(leaders.select(F.col("class").alias("id"), "n", "fragments", "prefix", "common"), "classes")
     labels = components(links(leaders, similarity))
-    rows = sets.select("id", "n", "digest").join(classes.select("digest", "class"), "digest", "left")
-    rows = rows.withColumn("class", F.coalesce("class", "id")).join(labels, F.col("class") == F.col("v"), "left")
-    return rows.select(F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(F.coalesce("c", "class"), F.lit(NULL_ID)).alias("component_id"))
+    labelled = classes.join(labels, F.col("class") == F.col("v"), "left").select("class", F.coalesce("c", "class").alias("c"), F.struct("id", "text_key").alias("first"))
+    tops = labelled.groupBy("c").agg(F.min("first").alias("top"))
+    tops = written(labelled.select("class", "c").join(tops, "c").select("class", "top"), "tops")
+    rows = rows.join(tops, "class", "left")
+    return rows.select("id", "text_key", "n", F.coalesce("top.id", "id").alias("component_id"),
+                       (F.col("top").isNull() | ((F.col("top.id") == F.col("id")) & (F.col("top.text_key") == F.col("text_key")))).alias("stays"))

@@ -147,6 +147,19 @@ def test_the_pipeline_drops_near_copies_of_five_words_and_eight_tenths(spark):
     assert [i for i, _ in pairs(corpus_pipeline.drop_near_duplicates(spark, docs, ""))] == [1, 3]
 
 
+def test_rows_without_an_id_or_with_a_repeated_one_are_told_apart_by_text(spark):
+    texts = {k: [f"{k}{j}" for j in range(100)] for k in "abcde"}
+    near = lambda k: " ".join([*texts[k][:50], "other", *texts[k][51:]])
+    a, b, c, d, e = (" ".join(texts[k]) for k in "abcde")
+    rows = [(None, a), (None, near("a")), (None, b), (None, b), (5, c), (5, d), (6, near("d")), (7, near("c")), (8, e), (8, e), (9, None), (None, "")]
+    docs = frame(spark, [(i, t, "a") for i, t in rows])
+    for words, similarity in ((3, 90), (5, 80)):
+        assert _joined(docs, words=words, similarity=similarity) == _groups(pairs(docs), words, similarity)
+    stay = pairs(corpus_pipeline.drop_near_duplicates(spark, docs, ""))
+    assert len(stay) == 7 and [x for x in stay if x[0] is not None] == [(5, c), (5, d), (8, e), (9, "")]
+    assert [t for i, t in stay if i is None if t != ""] in ([a, b], [near("a"), b])
+
+
 def test_components_empty(empty):
     assert _joined(empty) == []
 
