@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
+from crashlens.llm.bpe_codec import encoded
 from crashlens.llm.common import fold, table
 from crashlens.llm.context_mixing import scores
 from crashlens.llm.html_mincut import extract
@@ -18,6 +19,7 @@ from crashlens.llm.latent_decontamination import leaks
 from crashlens.llm.mixing import mix
 from crashlens.llm.ngram_join import components_of
 from crashlens.llm.quality import quality_flags
+from crashlens.llm.spelling_variants import variant_groups
 from crashlens.llm.suffix_dedup import removed_bytes
 from crashlens.llm.token_counts import LIMIT, token_counts
 from crashlens.llm.toxicity import toxicity, train
@@ -69,5 +71,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "copies", F.round("position", 9).alias("position"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    there_and_back = encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), decode=True)
+    return there_and_back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                                 F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                                 F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_ngram_join, op4_token_counts, op5_context_mixing, op6_html_mincut, op7_latent_decontamination, op8_toxicity, op9_id_shards, op10_mixing)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_ngram_join, op4_token_counts, op5_context_mixing, op6_html_mincut, op7_latent_decontamination, op8_toxicity, op9_id_shards, op10_mixing,
+                                      op11_spelling_variants, op12_bpe_codec)}
