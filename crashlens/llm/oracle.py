@@ -93,5 +93,22 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(copies * size
 FROM c"""
 
 
+def _search_sql() -> str:
+    found = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {found} AS t FROM documents),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM d WHERE len(t) > 0),
+p AS (SELECT r, doc_id, m, term, CAST(count(*) AS BIGINT) AS tf
+      FROM (SELECT r, doc_id, 100 - 25 + (25 * len(t) * s.n) // s.l AS m, unnest(t) AS term FROM d, s) GROUP BY ALL),
+q AS (SELECT i, item_id, term, CAST(count(*) AS BIGINT) AS k
+      FROM (SELECT row_number() OVER () AS i, item_id, unnest({found}) AS term FROM benchmark) GROUP BY ALL),
+f AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(s.n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, s GROUP BY term),
+x AS (SELECT i, item_id, doc_id, r, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN f USING (term) GROUP BY i, item_id, doc_id, r),
+y AS (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM y WHERE rank <= 20"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_suffix_dedup": _suffix_sql(), "op2_quality_rules": _quality_sql(), "op3_ngram_join": _join_sql(), "op10_mixing": _mix_sql()}
+    return {"op1_suffix_dedup": _suffix_sql(), "op2_quality_rules": _quality_sql(), "op3_ngram_join": _join_sql(), "op10_mixing": _mix_sql(),
+            "op13_lexical_treap": _search_sql()}

@@ -16,6 +16,7 @@ from crashlens.llm.context_mixing import scores
 from crashlens.llm.html_mincut import extract
 from crashlens.llm.id_shards import stored_digests
 from crashlens.llm.latent_decontamination import leaks
+from crashlens.llm.lexical_treap import search
 from crashlens.llm.mixing import mix
 from crashlens.llm.ngram_join import components_of
 from crashlens.llm.quality import quality_flags
@@ -82,6 +83,10 @@ def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op13_lexical_treap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_ngram_join, op4_token_counts, op5_context_mixing, op6_html_mincut, op7_latent_decontamination, op8_toxicity, op9_id_shards, op10_mixing,
-                                      op11_spelling_variants, op12_bpe_codec)}
+                                      op11_spelling_variants, op12_bpe_codec, op13_lexical_treap)}

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import release_memory, texts, written
+from crashlens.llm.common import release_memory, scratch, texts, written
 
 MIN_LENGTH, MIN_COUNT = 5, 3
 #: One of so many (document, run) hashes loses a code point.
@@ -165,6 +165,8 @@ def roots(forms: DataFrame) -> DataFrame:
 
 def variant_groups(docs: DataFrame) -> DataFrame:
     """word, n, n_near, form, form_n, root of every word of the texts."""
-    words = written(word_counts(docs), "words")
-    with_form = written(forms(words), "forms")
-    return with_form.join(roots(with_form), "word", "left").withColumn("root", F.coalesce("root", "word"))
+    with scratch(docs.sparkSession):
+        words = written(word_counts(docs), "words")
+        with_form = written(forms(words), "forms")
+        groups = with_form.join(roots(with_form), "word", "left").withColumn("root", F.coalesce("root", "word"))
+        return written(groups, "variants", keep=True)

@@ -12,6 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from crashlens.llm import bpe_codec as B
+from crashlens.llm import lexical_treap as L
 from crashlens.llm import queries as Q
 from crashlens.llm import spelling_variants as S
 from tests.conftest import SF001
@@ -159,3 +160,70 @@ def test_ids_decode_as_the_library(spark, codec):
 def test_other_tokenizers_are_refused():
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f, pytest.raises(ValueError):
         B.Codec(f.read())
+
+
+# --- ranked search --------------------------------------------------------------------------
+
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def _lower(t):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+
+
+def _ranks(docs, items):
+    docs = [(i, Counter(TERM.findall(_lower(t)))) for i, t in docs]
+    docs = [(i, c) for i, c in docs if c]
+    n, length, df = len(docs), sum(sum(c.values()) for _, c in docs), Counter(t for _, c in docs for t in c)
+    out = []
+    for item, text in items:
+        found, scores = Counter(TERM.findall(_lower(text))), []
+        for i, c in docs:
+            m = 75 + 25 * sum(c.values()) * n // length
+            score = sum(k * L.weight(n, df[t]) * (1000000000 * c[t] // (1000 * c[t] + 12 * m)) for t, k in found.items() if t in c)
+            if score > 0:
+                scores.append((-score, i is None, i or 0, i))
+        out += [(item, rank, i, -score) for rank, (score, _, _, i) in enumerate(sorted(scores, key=lambda x: x[:3])[:20], 1)]
+    return sorted(out, key=str)
+
+
+def _items(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+def test_ranks_by_brute_force(spark, monkeypatch, odd, small, empty):
+    for name, value in (("BLOCK_TERMS", 1500), ("BLOCK_DOCS", 30), ("SENT_TERMS", 60), ("JOINT_TERMS", 25), ("WIDTH", 2)):
+        monkeypatch.setattr(L, name, value)  # many blocks of documents and of items
+    items = [r for r in spark.read.parquet(f"{SF001}/benchmark.parquet").select("item_id", "text").limit(12).collect()]
+    items = [tuple(r) for r in items] + [(None, "the THE the"), (3, None), (3, ""), (4, "漢字 größe x3000 alpha alpha, one!"), (5, "unheard-of-zz")]
+    for docs in (odd, small, odd.union(odd.limit(5)), empty):
+        got = L.search(docs, _items(spark, items))
+        assert got.columns == ["item_id", "rank", "doc_id", "score"]
+        assert sorted((tuple(r) for r in got.collect()), key=str) == _ranks(pairs(docs), [(i, t or "") for i, t in items])
+    assert L.search(small, _items(spark, [])).collect() == []
+
+
+def test_equal_scores_go_by_doc_id(spark, monkeypatch):
+    monkeypatch.setattr(L, "WIDTH", 1)
+    docs = frame(spark, [(k * 37 % 101, "one and the same words", "a") for k in range(90)] + [(None, "one and the same words", "a"), (500, "other terms", "b")])
+    got = sorted((r.rank, r.doc_id) for r in L.search(docs, _items(spark, [(1, "same words")])).collect())
+    assert got == [(k + 1, i) for k, i in enumerate(sorted(k * 37 % 101 for k in range(90))[:20])]
+
+
+def test_tree_holds_every_cell():
+    rng = np.random.default_rng(5)
+    for rows, cols, n in ((1, 1, 1), (300, 17, 900), (5, 4000, 2000), (1 << 20, 3, 50)):
+        cell = np.unique(rng.integers(0, rows * cols, n))
+        r, c = np.divmod(cell, cols)
+        v = rng.integers(1, 1_000_000, len(cell))
+        tree = L.Tree.load(**L.build_tree(r, c, v))
+        assert tree.top[0] == v.max()
+        for k in rng.integers(0, len(cell), 60):
+            at = 0
+            for level in reversed(range(tree.depth)):
+                q = int(r[k] >> level & 1) * 2 + int(c[k] >> level & 1)
+                assert tree.mask[at] >> q & 1
+                below = int(tree.first[at] + L._BELOW[tree.mask[at], q])
+                assert tree.top[below] <= tree.top[at]
+                at = below
+            assert tree.top[at] == v[k]
