@@ -1,12 +1,11 @@
 """A15, A16 and exact quantiles that never gather a group into one task.
 
-``exact_percentiles`` selects order statistics by radix: each pass counts the
-values per (target rank, digit) for only the values that share the prefix
-already fixed, takes a running count over the digits and keeps the digit that
-holds the wanted rank. With digits of at most 21 bits a group contributes at
-most 2^21 digit counts per pass, whatever its size; three passes cover any
-non-negative 63-bit value. Equal values of a group are counted once, map-side, before
-the first pass, so a group holding a third of all rows travels as its distinct values.
+``exact_percentiles`` brackets each wanted rank before it sorts anything: a quantile sketch
+per group (bounded, combined map-side) yields two values that enclose the rank. One pass then
+counts, also map-side, the values below, between and above the brackets; only those inside a
+bracket are counted value by value. Running counts over these few rows find the exact order
+statistics. No value is shuffled as a row: what moves is a sketch per task and group, and the
+distinct values of brackets that hold a few ten-thousandths of a group each.
 """
 
 from __future__ import annotations
@@ -29,77 +28,51 @@ def exact_percentiles(
     probs: Sequence[float],
     names: Sequence[str] | None = None,
     *,
-    digit_bits: int = 21,
+    accuracy: int = 10_000,
 ) -> DataFrame:
-    """Exact linear-interpolated percentiles of a non-negative integer column per group.
+    """Exact linear-interpolated percentiles of an integer column per group.
 
     Matches ``percentile`` / pandas / ``quantile_cont``: for n values and
     probability p, the result interpolates between the values at 0-based ranks
     floor((n-1)p) and ceil((n-1)p). NULL values are ignored; groups without values
     are absent from the result. Returns ``keys`` + one double column per probability.
 
+    ``accuracy`` sets the sketch: its rank error is n / accuracy, a bracket reaches four
+    times that far to either side. Up to 4 * accuracy values a group is one bracket. Should
+    a rank lie outside its bracket after all, the query fails; it never yields another value.
+
     One lazy plan whatever the data: nothing runs while it is built.
     """
     keys = list(keys)
     names = list(names) if names else [f"p{int(round(p * 100))}" for p in probs]
-    bits = digit_bits
-    levels = -(-63 // bits)
-    vals = df.select(*keys, F.col(value).cast("long").alias("_v")).filter(F.col("_v").isNotNull())
-    vals = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m"))
+    k, reach = len(probs), 4.0 / accuracy
+    vals = df.select(*keys, F.col(value).cast("long").alias("_v")).filter("_v IS NOT NULL")
+    edges = [max(0.0, p - reach) for p in probs] + [min(1.0, p + reach) for p in probs]
+    bracket = vals.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_e"))
+    bracket = bracket.select(*keys, "_n", F.expr(f"CASE WHEN _n > {4 * accuracy} THEN _e END").alias("_e"))
 
-    counts = vals.groupBy(*keys).agg(F.sum("_m").alias("_n"))
-    spec = F.array(*[F.struct(F.lit(i).alias("q"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    t = counts.select(*keys, "_n", F.explode(spec).alias("_s")).select(
-        *keys, F.col("_s.q").alias("_q"), ((F.col("_n") - 1) * F.col("_s.p")).alias("_pos")
-    )
-    sides = F.array(
-        F.struct(F.lit(0).alias("side"), F.floor("_pos").cast("long").alias("rank")),
-        F.struct(F.lit(1).alias("side"), F.ceil("_pos").cast("long").alias("rank")),
+    # a zone lies below, in or above each bracket; zones ascend with the values, and those in
+    # a bracket keep the values apart
+    above = [f"(_v > _e[{k + i}])" for i in range(k)]
+    inside = [f"(_v BETWEEN _e[{i}] AND _e[{k + i}])" for i in range(k)]
+    zone = " + ".join(f"2 * int({a}) + int({b})" for a, b in zip(above, inside))
+    counted = (
+        vals.join(bracket, keys)
+        .selectExpr(*keys, "_n", f"coalesce({zone}, 0) AS _zone", f"CASE WHEN _e IS NULL OR {' OR '.join(inside)} THEN _v END AS _v")
+        .groupBy(*keys, "_n", "_zone", "_v").agg(F.count(F.lit(1)).alias("_c"))
     )
-    target = [*keys, "_q", "_pos", "_side"]
-    t = t.select(*keys, "_q", "_pos", F.explode(sides).alias("_t")).select(
-        *keys, "_q", "_pos", F.col("_t.side").alias("_side"), F.col("_t.rank").alias("_rank"),
-        F.lit(0).cast("long").alias("_prefix"),
-    )
-
-    mask = (1 << bits) - 1
-    for level in reversed(range(levels)):
-        shift = level * bits
-        # each value joins the targets whose fixed prefix it shares (at most 2 per
-        # probability), and is counted per (target, next digit)
-        cand = vals.select(
-            *keys,
-            "_m",
-            F.shiftright("_v", min(shift + bits, 63)).alias("_prefix"),
-            F.shiftright("_v", shift).bitwiseAND(F.lit(mask)).alias("_digit"),
-        )
-        hist = (
-            cand.join(t, [*keys, "_prefix"])
-            .groupBy(*target, "_rank", "_prefix", "_digit")
-            .agg(F.sum("_m").alias("_c"))
-        )
-        w = Window.partitionBy(*target).orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)
-        below = F.col("_cum") - F.col("_c")
-        t = (
-            hist.withColumn("_cum", F.sum("_c").over(w))
-            .filter((below <= F.col("_rank")) & (F.col("_rank") < F.col("_cum")))
-            .select(
-                *target,
-                (F.col("_rank") - below).alias("_rank"),
-                F.shiftleft("_prefix", bits).bitwiseOR(F.col("_digit")).alias("_prefix"),
-            )
-        )
+    up_to = Window.partitionBy(*keys, "_n").orderBy("_zone", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_upto", F.sum("_c").over(up_to))
 
-    picked = t.groupBy(*keys, "_q", "_pos").agg(
-        F.max(F.when(F.col("_side") == 0, F.col("_prefix"))).cast("double").alias("_lo"),
-        F.max(F.when(F.col("_side") == 1, F.col("_prefix"))).cast("double").alias("_hi"),
-    )
-    # the interpolation arithmetic of Spark's percentile, bit for bit
-    pos, lo_pos, hi_pos = F.col("_pos"), F.floor("_pos"), F.ceil("_pos")
-    value = F.when(lo_pos == hi_pos, F.col("_lo")).otherwise(
-        (hi_pos - pos) * F.col("_lo") + (pos - lo_pos) * F.col("_hi")
-    )
-    picked = picked.select(*keys, "_q", value.alias("_val"))
-    return picked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_q") == i, F.col("_val"))).alias(name) for i, name in enumerate(names)]
-    )
+    aggs, out = [], []
+    for i, p in enumerate(probs):
+        pos = f"((_n - 1) * {float(p)!r}D)"
+        for side in ("floor", "ceil"):
+            hit = f"{side}({pos}) >= _upto - _c AND {side}({pos}) < _upto"
+            found = "coalesce(_v, raise_error('a rank lies outside its bracket'))"
+            aggs.append(F.expr(f"max(CASE WHEN {hit} THEN {found} END)").cast("double").alias(f"_{side}{i}"))
+        # the interpolation arithmetic of Spark's percentile, bit for bit
+        out.append(F.expr(f"CASE WHEN floor({pos}) = ceil({pos}) THEN _floor{i} "
+                          f"ELSE (ceil({pos}) - {pos}) * _floor{i} + ({pos} - floor({pos})) * _ceil{i} END").alias(names[i]))
+    return ranked.groupBy(*keys, "_n").agg(*aggs).select(*keys, *out)
