@@ -47,12 +47,13 @@ def partial_profile_day(clean: DataFrame) -> DataFrame:
     )
 
 
-def combine_profile_days(partials: DataFrame) -> DataFrame:
+def combine_profile_days(partials: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Merge partial profile-day rows of the same (cid, sd, e10s), e.g. rollups of
     separately arriving ping batches. Sums and min are associative, so rolling up
-    each batch and combining equals rolling up everything at once."""
+    each batch and combining equals rolling up everything at once. ``by`` names columns
+    that follow from the day (its month) and are kept, so that filters on them go through."""
     return (
-        partials.groupBy("cid", "sd", "e10s")
+        partials.groupBy("cid", "sd", "e10s", *by)
         .agg(
             F.min("pcd").alias("pcd"),
             F.sum("ssl").alias("ssl"),
@@ -61,5 +62,5 @@ def combine_profile_days(partials: DataFrame) -> DataFrame:
             F.sum("cdpgmp").alias("cdpgmp"),
         )
         .withColumn("day", F.try_to_date("sd", "yyyyMMdd"))
-        .select(*PROFILE_DAY_COLUMNS)
+        .select(*PROFILE_DAY_COLUMNS, *by)
     )

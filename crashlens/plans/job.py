@@ -18,12 +18,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from crashlens.params import ReportParams
 from crashlens.operators.calendar import only_these, report_window
 from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import profile_day as rollup
+from crashlens.plans.history_store import open_store
 from crashlens.plans.report import reports_from_profile_day
+from crashlens.sources.pings import PING_SCHEMA
 from crashlens.sources.published import publish_histograms, publish_summaries, published_dates
 
 
@@ -46,15 +49,27 @@ def run_report_job(spark: SparkSession, raw_pings: DataFrame, out_dir: str, para
                                    buckets=buckets, echo=echo)
 
 
+def run_stored_report_job(spark: SparkSession, ping_dir: str, store_dir: str, out_dir: str, params: ReportParams, *,
+                          schema: StructType = PING_SCHEMA, buckets: int | None = None, echo: bool = False) -> JobResult:
+    """The daily job over a store (plans/history_store.py): take in the ping files that arrived
+    since the last run, then publish what is due. Nothing taken in before is read as pings again."""
+    store = open_store(spark, store_dir, cid_type=schema["client_id"].dataType.simpleString(), buckets=buckets)
+    try:
+        store.take_in(ping_dir, params, schema)
+        return publish_pending_reports(spark, store.profile_days(params), out_dir, params, echo=echo, stored=True)
+    finally:
+        store.close()
+
+
 def publish_pending_reports(spark: SparkSession, profile_day: DataFrame, out_dir: str, params: ReportParams, *,
-                            buckets: int | None = None, echo: bool = False) -> JobResult:
+                            buckets: int | None = None, echo: bool = False, stored: bool = False) -> JobResult:
     """Compute and publish every report that has data and no published summary."""
     win = report_window(params)
     done = published_dates(spark, out_dir)
     todo = [d for d in possible_dates(win) if d not in done]
     if not todo:  # nothing due: do not even roll up
         return JobResult(win.first, win.last, 0)
-    reports = reports_from_profile_day(spark, profile_day, params, durable=True, buckets=buckets, win=only_these(win, todo))
+    reports = reports_from_profile_day(spark, profile_day, params, durable=True, buckets=buckets, win=only_these(win, todo), stored=stored)
     try:
         # one row per report date; dates without any data never become reports
         pending = [r["end_date"] for r in reports.calendar().select("end_date").collect()]

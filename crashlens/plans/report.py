@@ -22,7 +22,7 @@ from crashlens.operators import calendar, cohort, history, summary, weekly
 from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import profile_day as rollup
 from crashlens.params import ReportParams
-from crashlens.plans.storage import drop_table, write_intermediate, write_profile_day
+from crashlens.plans.storage import drop_files, drop_table, write_intermediate, write_profile_day
 
 
 @dataclass
@@ -34,11 +34,17 @@ class Reports:
     durable: bool = False
     table: str | None = None
     _memo: dict = field(default_factory=dict, repr=False)
+    _written: list[str] = field(default_factory=list, repr=False)
 
     def release(self) -> None:
-        """Drop the catalog entry of the durable profile-day table, if any."""
+        """Drop what a durable run has written for itself: its profile-day table and crash statistics."""
+        spark = self.profile_day.sparkSession
+        for path in self._written:
+            drop_files(spark, path)
+        self._written.clear()
+        self._memo.clear()
         if self.table:
-            drop_table(self.profile_day.sparkSession, self.table)
+            drop_table(spark, self.table)
             self.table = None
 
     def calendar(self) -> DataFrame:
@@ -57,7 +63,8 @@ class Reports:
                 # durable run: one small table per (report, crashed profile), read by the
                 # median passes, the geometric mean and the histogram; written once to the
                 # shared checkpoint folder, which also cuts the lineage.
-                stats = write_intermediate(stats, self.profile_day.sparkSession, "crash_stats")
+                stats, path = write_intermediate(stats, self.profile_day.sparkSession, "crash_stats")
+                self._written.append(path)
             self._memo[key] = stats
         return self._memo[key]
 
@@ -116,10 +123,14 @@ def build_reports(spark: SparkSession, raw_pings: DataFrame, params: ReportParam
 
 def reports_from_profile_day(spark: SparkSession, pd: DataFrame, params: ReportParams, *,
                              last_published: _dt.date | None = None, durable: bool = False,
-                             buckets: int | None = None, win: calendar.ReportWindow | None = None) -> Reports:
+                             buckets: int | None = None, win: calendar.ReportWindow | None = None,
+                             stored: bool = False) -> Reports:
+    """``stored``: ``pd`` reads a table bucketed by cid (plans/history_store.py), which is used as it is."""
     win = win or calendar.report_window(params, last_published)
     table = None
-    if durable:
+    if stored:
+        pass
+    elif durable:
         table = f"crashlens_profile_day_{uuid.uuid4().hex[:10]}"
         pd = write_profile_day(pd, spark, buckets=buckets, table=table)
     else:

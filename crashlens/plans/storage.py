@@ -58,13 +58,23 @@ def write_profile_day(profile_day: DataFrame, spark: SparkSession, *, buckets: i
     return spark.table(table)
 
 
-def write_intermediate(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+def write_intermediate(df: DataFrame, spark: SparkSession, name: str) -> tuple[DataFrame, str]:
     """Write a small intermediate table to the shared checkpoint folder and read it
     back: one job (a reliable ``checkpoint()`` computes its input twice unless cached),
-    lineage cut, and the file survives the loss of any executor."""
+    lineage cut, and the file survives the loss of any executor. Also returns its path."""
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def make_folder(spark: SparkSession, where: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+
+def drop_files(spark: SparkSession, where: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
@@ -72,5 +82,4 @@ def drop_table(spark: SparkSession, table: str) -> None:
     where = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     if where:
-        path = spark._jvm.org.apache.hadoop.fs.Path(where["data_type"])
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_files(spark, where["data_type"])

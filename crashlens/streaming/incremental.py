@@ -9,9 +9,9 @@ the stream does not hold report state. Instead:
   replaces its own output: idempotent; the query's id lives in the checkpoint, so if the
   checkpoint is lost the files are read anew into a folder of their own and none counts
   twice). Rows stay apart by creation day: its ceiling moves with the day of the report;
-* once the stream has consumed everything available, the report job combines all
-  partials (sums and min are associative), writes the bucketed profile-day table and
-  publishes every pending report.
+* once the stream has consumed everything available, the batches that came in since the last
+  run are folded into the profile-day store (plans/history_store.py): only the months they
+  touch are rewritten, and a batch is never read again; then every pending report is published.
 
 Run from a daily scheduler: the available-now trigger consumes what arrived since
 the last run and stops.
@@ -20,13 +20,13 @@ the last run and stops.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from crashlens.operators.clean import clean_pings
-from crashlens.operators.daily import combine_profile_days, partial_profile_day
+from crashlens.operators.daily import partial_profile_day
 from crashlens.params import ReportParams
+from crashlens.plans.history_store import FILES, open_store
 from crashlens.plans.job import JobResult, publish_pending_reports
 from crashlens.sources.pings import select_ping_columns
 
@@ -61,6 +61,11 @@ def run_incremental_reports(spark: SparkSession, ping_dir: str, ping_schema: Str
         .start()
     )
     query.awaitTermination()
-    partials = spark.read.parquet(f"{partials_dir}/query={query.id}").filter(F.col("pcd") <= params.pcd_ceiling)
-    everything = combine_profile_days(partials.drop("batch"))
-    return publish_pending_reports(spark, everything, out_dir, params, buckets=buckets)
+    store = open_store(spark, f"{state_dir}/store/query={query.id}", cid_type=ping_schema["client_id"].dataType.simpleString(), buckets=buckets)
+    try:
+        new = store.new_files(f"{partials_dir}/query={query.id}").collect()
+        if new:
+            store.fold_in(spark.read.parquet(*[r["path"] for r in new]), spark.createDataFrame(new, FILES))
+        return publish_pending_reports(spark, store.profile_days(params), out_dir, params, stored=True)
+    finally:
+        store.close()
