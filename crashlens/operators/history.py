@@ -27,9 +27,9 @@ from crashlens.operators.profiles import by_profile, profiles_with_rows
 SORT_KEYS = ("sd", "cdc", "cssm", "cdpgmp", "ssl")
 
 
-def crash_gaps(profile_day: DataFrame, *, prepartitioned: bool = False) -> DataFrame:
-    """One row per crash row: cid, day, g (crash ordinal, oldest = 0), crashes on the
-    row, session seconds since the previous crash row (exclusive) up to this one."""
+def crash_islands(profile_day: DataFrame, *, prepartitioned: bool = False) -> DataFrame:
+    """One row per profile and island: cid, g (crash rows before it), whether a crash row ends
+    it, its session seconds, and that row's day and crashes."""
     order = ", ".join(SORT_KEYS)
     x = by_profile(profile_day, prepartitioned).selectExpr(
         "cid", *SORT_KEYS, "day", "cssm + cdc > 0 AS crash", "cssm + cdc AS t",
@@ -37,12 +37,18 @@ def crash_gaps(profile_day: DataFrame, *, prepartitioned: bool = False) -> DataF
         "coalesce(sum(CAST(crash AS BIGINT)) OVER (PARTITION BY cid ORDER BY "
         f"{order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
     ))
-    islands = x.groupBy("cid", "g").agg(*[F.expr(e) for e in (
+    return x.groupBy("cid", "g").agg(*[F.expr(e) for e in (
         "bool_or(crash) AS ends_in_crash",
         "sum(ssl) AS island_seconds",
         "max(CASE WHEN crash THEN day END) AS day",
         "max(CASE WHEN crash THEN t END) AS t",
     )])
+
+
+def crash_gaps(profile_day: DataFrame, *, prepartitioned: bool = False) -> DataFrame:
+    """One row per crash row: cid, day, g (crash ordinal, oldest = 0), crashes on the
+    row, session seconds since the previous crash row (exclusive) up to this one."""
+    islands = crash_islands(profile_day, prepartitioned=prepartitioned)
     return islands.where("ends_in_crash").selectExpr(
         "cid", "day", "g", "t",
         "t > 1 OR g > 0 AS has_multiple_crashes",
