@@ -11,10 +11,10 @@ that summation order cannot flip a comparison.
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
 import sys
 from collections.abc import Callable
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,30 +22,35 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks.duckdb_oracle import oracle_queries  # noqa: E402
-from crashlens.operators import cohort, history, series  # noqa: E402
+from checks.duckdb_oracle import ASKED_WEEKS, PUBLISHED_GAPS, oracle_queries  # noqa: E402
+from crashlens.operators import cohort, crash_state, history, series, sweep  # noqa: E402
+from crashlens.operators.calendar import pending_reports  # noqa: E402
 from crashlens.operators.clean import clean_pings  # noqa: E402
 from crashlens.operators.summary import summary_columns  # noqa: E402
 from crashlens.params import fixture_params  # noqa: E402
+from crashlens.plans.history_store import ProfileDayStore, open_store  # noqa: E402
 from crashlens.plans.job import run_report_job  # noqa: E402
-from crashlens.plans.report import Reports, build_reports  # noqa: E402
+from crashlens.plans.report import Reports, build_reports, reports_from_profile_day  # noqa: E402
+from crashlens.plans.storage import write_intermediate  # noqa: E402
 from crashlens.session import scratch_path  # noqa: E402
+from crashlens.sources.dated_files import read_dated, write_dated  # noqa: E402
 from crashlens.sources.fixtures import events_as_main_summary, fixture_pings, fixture_releases  # noqa: E402
 from crashlens.sources.pings import PING_SCHEMA, read_raw_pings  # noqa: E402
-from crashlens.sources.published import read_summaries  # noqa: E402
+from crashlens.sources.published import (HOURS_SCHEMA, export_merged, lookup_weeks, publish_histograms,  # noqa: E402
+                                         publish_summaries, published_partitions, read_summaries, summary_schema)
 
 SF_SMOKE = "/root/testdata/sf0.001"
 DIGITS = 6
 
 
 def _llm():
-    """The training-data operators and pipeline, if they are there; errors inside them are not hidden."""
-    if find_spec("crashlens.llm") is None or find_spec("corpus_pipeline") is None:
-        return {}, {}
-    from crashlens.llm import oracle, queries as llm_queries
-
-    import corpus_pipeline
+    """The training-data operators and pipeline, if they and what they need can be imported."""
+    try:
+        from crashlens.llm import oracle, queries as llm_queries
 
+        import corpus_pipeline
+    except ImportError:
+        return {}, {}
     return ({**llm_queries.queries(), "pipeline": corpus_pipeline.run},
             {**oracle.oracle_sql(), **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})})
 
@@ -99,8 +104,76 @@ def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = scratch_path(spark, "main_summary")
     pings = events_as_main_summary(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
     pings.write.partitionBy("submission_date_s3", "sample_id").parquet(where)
-    schema = StructType([StructField(f.name, LongType() if f.name == "client_id" else f.dataType) for f in PING_SCHEMA])
-    return read_raw_pings(spark, [where + "-older", where], schema)
+    return read_raw_pings(spark, [where + "-older", where], _fixture_schema())
+
+
+def _fixture_schema() -> StructType:
+    """The ping table's schema with the fixture's numeric profile ids."""
+    return StructType([StructField(f.name, LongType() if f.name == "client_id" else f.dataType) for f in PING_SCHEMA])
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> ProfileDayStore:
+    """A store that took in the fixture in two drops of files; the second also brings a share of
+    the pings of the first one's days."""
+    where, schema = scratch_path(spark, "landing"), _fixture_schema()
+    pings = events_as_main_summary(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    first = (F.col("submission_date_s3") <= "20240115") & (F.xxhash64(*pings.columns) % 5 != 0)
+    store = open_store(spark, scratch_path(spark, "store"), cid_type="bigint")
+    for drop in (first, ~first):
+        pings.where(drop).repartition("submission_date_s3").write.mode("append").partitionBy("submission_date_s3", "sample_id").parquet(where)
+        store.take_in(where, fixture_params(), schema)
+    return store
+
+
+def _stored_reports(spark: SparkSession, sf_dir: str) -> Reports:
+    p = fixture_params()
+    return reports_from_profile_day(spark, _stored(spark, sf_dir).profile_days(p), p, stored=True)
+
+
+def _sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _reports(spark, sf_dir)
+    counts = sweep.weekly_counts(r.profile_day, r.win, r.params, prepartitioned=True)
+    return counts.withColumnsRenamed({"e10s_on_crashed": "e10s_enabled", "e10s_off_crashed": "e10s_disabled"})
+
+
+def _day_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of each report date is written and read again by the next, as daily runs do."""
+    r = _durable(spark, sf_dir)
+    keep = lambda state: write_intermediate(state, spark, "crash_state")[0]
+    return crash_state.stats_day_by_day(r.profile_day, r.win, keep, prepartitioned=True).drop("seconds")
+
+
+def _pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is due after all reports but three were published."""
+    r, out = _durable(spark, sf_dir), scratch_path(spark, "published")
+    publish_summaries(r.summary.where(~F.col("date").isin(list(PUBLISHED_GAPS))), out)
+    return pending_reports(r.profile_day, r.win, published_partitions(spark, out)).select("end_date", "start_date", "date")
+
+
+def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "published")
+    publish_histograms(_durable(spark, sf_dir).histogram, out)
+    return lookup_weeks(spark, out, [_dt.date.fromisoformat(d) for d in ASKED_WEEKS])
+
+
+def _dated_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries written one file a report in the original naming, and read back."""
+    where, keys = scratch_path(spark, "dated"), summary_columns(fixture_params())
+    write_dated(_durable(spark, sf_dir).summary, where, "weekly")
+    return read_dated(spark, where, "weekly", StructType(summary_schema(keys).fields[:-1])).drop("end_date")
+
+
+def _dated_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = scratch_path(spark, "dated")
+    write_dated(_durable(spark, sf_dir).histogram.select("hours", "count", "end_date"), where, "hours")
+    return read_dated(spark, where, "hours", StructType(HOURS_SCHEMA.fields[:-1]), latest=True)
+
+
+def _merged_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged table as the single JSON array the site reads, read back."""
+    where, keys = scratch_path(spark, "merged"), summary_columns(fixture_params())
+    export_merged(_durable(spark, sf_dir).summary, where, as_array=True)
+    return spark.read.schema(StructType(summary_schema(keys).fields[:-1])).json(f"{where}/*.txt")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -162,6 +235,15 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "weekly_summary_durable": lambda spark, d: _rounded(_summary_cols(_durable(spark, d))),
         "hours_histogram_durable": lambda spark, d: _rounded(_durable(spark, d).histogram),
         "publish_and_merge": lambda spark, d: _rounded(_merged(spark, d).drop("end_date")),
+        "profile_day_store": lambda spark, d: _stored(spark, d).profile_days(fixture_params()).drop("day", "month"),
+        "weekly_summary_store": lambda spark, d: _rounded(_summary_cols(_stored_reports(spark, d))),
+        "weekly_counts_by_sweep": _sweep,
+        "hours_between_crashes_day_by_day": lambda spark, d: _rounded(_day_by_day(spark, d)),
+        "pending_reports": _pending,
+        "week_lookup_published": _lookup,
+        "dated_summaries": lambda spark, d: _rounded(_dated_summaries(spark, d)),
+        "dated_histogram_latest": _dated_latest,
+        "merged_array": lambda spark, d: _rounded(_merged_array(spark, d)),
         "clean_pings_from_scan": lambda spark, d: clean_pings(_scanned(spark, d), fixture_params()),
     }
 

@@ -17,6 +17,8 @@ FIRST_REPORT = "2024-01-08"
 LAST_REPORT = "2024-01-30"
 PCD_FLOOR = 14610
 PCD_CEILING = 19753
+PUBLISHED_GAPS = ("2024-01-10", "2024-01-22", "2024-01-30")  # reports left out before asking what is pending
+ASKED_WEEKS = ("2024-01-13", "2024-01-24", "2024-01-30")     # the first is a Saturday: nothing published
 R = 6  # rounding of doubles for comparison
 
 BASE = f"""
@@ -432,11 +434,25 @@ WITH releases AS (
   SELECT CAST(DATE '2022-07-01' + CAST(event_id % 600 AS INTEGER) AS DATE) AS date,
          CASE event_id % 3 WHEN 0 THEN 'major' WHEN 1 THEN 'stability' ELSE 'dev' END AS category,
          'v' || CAST(event_id AS VARCHAR) AS version
-  FROM events WHERE event_id % 40 = 0
+  FROM events
 )
 SELECT date, version AS label, category FROM releases
 WHERE date >= DATE '{LAST_REPORT}' - INTERVAL 12 MONTH AND category = 'major'
 UNION ALL SELECT DATE '{SHUTDOWN_KILL_NOTE_DATE}', '{SHUTDOWN_KILL_NOTE_LABEL}', 'annotation'"""
+    gaps = ", ".join(f"DATE '{d}'" for d in PUBLISHED_GAPS)
+    q["pending_reports"] = _with() + f"""
+SELECT end_date, CAST(end_date - 6 AS DATE) AS start_date, strftime(end_date, '%Y-%m-%d') AS date FROM weeks WHERE end_date IN ({gaps})"""
+    asked = ", ".join(f"(DATE '{d}')" for d in ASKED_WEEKS)
+    q["week_lookup_published"] = _with(J1, _walk(True), f"h AS ({hist_sql})", f"asked AS (SELECT * FROM (VALUES {asked}) AS v(end_date))") + """
+SELECT a.end_date, CASE WHEN h.end_date IS NULL THEN 'missing' ELSE 'published' END AS status, h.hours, h.count
+FROM asked a LEFT JOIN h ON h.end_date = a.end_date"""
+    q["dated_histogram_latest"] = q["week_lookup"]
+    q["weekly_counts_by_sweep"] = _with(A2_A4, A3, A5, A6) + """
+SELECT end_date, wau, crashed_1, crashed_2, new_profiles, new_crashed_1, new_crashed_2, e10s_enabled, e10s_disabled
+FROM wau_cnt JOIN crashed_cnt USING (end_date) JOIN new_cnt USING (end_date) JOIN e10s_cnt USING (end_date)"""
+    q["hours_between_crashes_day_by_day"] = q["hours_between_crashes"]
+    q["profile_day_store"] = q["profile_day"]
+    q["weekly_summary_store"] = q["dated_summaries"] = q["merged_array"] = q["weekly_summary"]
     q["weekly_summary_durable"] = q["publish_and_merge"] = q["weekly_summary"]
     q["hours_histogram_durable"] = q["hours_histogram"]
     q["clean_pings_from_scan"] = q["clean_pings"]

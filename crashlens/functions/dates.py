@@ -47,3 +47,8 @@ def file_date(path_col: Column, stem: str) -> Column:
     """the end date of a published file ``<stem>-yyyyMMdd-yyyyMMdd.json``."""
     pattern = stem + r"-\d{8}-(\d{8})\.json$"
     return F.try_to_date(F.regexp_extract(path_col, pattern, 1), DAY_TEXT)
+
+
+def file_start(path_col: Column, stem: str) -> Column:
+    """the start date of a published file."""
+    return F.try_to_date(F.regexp_extract(path_col, stem + r"-(\d{8})-\d{8}\.json$", 1), DAY_TEXT)

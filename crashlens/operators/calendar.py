@@ -159,3 +159,9 @@ def report_calendar(profile_day: DataFrame, win: ReportWindow) -> DataFrame:
         previous_report_day(F.col("end_date")).alias("previous_report"),
         next_report_day(F.col("end_date")).alias("next_report"),
     ).orderBy("end_date")
+
+
+def pending_reports(profile_day: DataFrame, win: ReportWindow, published: DataFrame) -> DataFrame:
+    """The calendar's reports that are not among the published ones (end_date), gaps
+    in the middle included."""
+    return report_calendar(profile_day, win).join(published.select("end_date"), "end_date", "left_anti")

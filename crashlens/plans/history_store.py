@@ -34,10 +34,10 @@ from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import combine_profile_days, partial_profile_day
 from crashlens.params import ReportParams
 from crashlens.plans.storage import default_buckets, drop_files, make_folder
+from crashlens.sources.dated_files import LISTING, listing
 from crashlens.sources.pings import PING_SCHEMA, select_ping_columns
 
 JOURNAL = "run long, step string, months array<string>"
-FILES = "path string, length long, modified timestamp"
 PARTIAL = ("cid", "sd", "e10s", "pcd", "ssl", "cssm", "cdc", "cdpgmp")
 
 
@@ -78,7 +78,7 @@ class ProfileDayStore:
 
     def consumed(self) -> DataFrame:
         """path, length, modified of the files of all journaled runs."""
-        files = _read(self.spark, f"{self.path}/consumed", FILES + ", run long")
+        files = _read(self.spark, f"{self.path}/consumed", LISTING + ", run long")
         return files.join(self._journal().select("run").distinct(), "run", "left_semi").drop("run")
 
     def finish(self) -> None:
@@ -126,10 +126,7 @@ class ProfileDayStore:
 
     def new_files(self, ping_dir: str) -> DataFrame:
         """path, length, modified of the ping files that no run has taken in. Files are listed, not read."""
-        listed = (
-            self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(ping_dir)
-            .select("path", "length", F.col("modificationTime").alias("modified"))
-        )
+        listed = listing(self.spark, ping_dir, "*.parquet")
         seen = self.consumed().select("path", F.col("length").alias("old_length"), F.col("modified").alias("old_modified"))
         changed = F.col("length") != F.col("old_length")
         changed |= F.col("modified") != F.col("old_modified")
@@ -146,7 +143,7 @@ class ProfileDayStore:
             return []
         raw = self.spark.read.schema(schema).option("basePath", ping_dir).parquet(*[r["path"] for r in new])
         partials = partial_profile_day(clean_pings(select_ping_columns(raw), params, created_by_today=False))
-        return self.fold_in(partials, self.spark.createDataFrame(new, FILES))
+        return self.fold_in(partials, self.spark.createDataFrame(new, LISTING))
 
     # --- reading --------------------------------------------------------------------------
 

@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from crashlens.params import ReportParams
-from crashlens.operators.calendar import only_these, report_window
+from crashlens.operators.calendar import only_these, pending_reports, report_window
 from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import profile_day as rollup
 from crashlens.plans.history_store import open_store
 from crashlens.plans.report import reports_from_profile_day
 from crashlens.sources.pings import PING_SCHEMA
-from crashlens.sources.published import publish_histograms, publish_summaries, published_dates
+from crashlens.sources.published import publish_histograms, publish_summaries, published_dates, published_partitions
 
 
 @dataclass
@@ -72,7 +72,8 @@ def publish_pending_reports(spark: SparkSession, profile_day: DataFrame, out_dir
     reports = reports_from_profile_day(spark, profile_day, params, durable=True, buckets=buckets, win=only_these(win, todo), stored=stored)
     try:
         # one row per report date; dates without any data never become reports
-        pending = [r["end_date"] for r in reports.calendar().select("end_date").collect()]
+        due = pending_reports(reports.profile_day, reports.win, published_partitions(spark, out_dir))
+        pending = [r["end_date"] for r in due.select("end_date").collect()]
         if not pending:
             return JobResult(win.first, win.last, 0)
         reports.win = only_these(win, pending)

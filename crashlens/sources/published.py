@@ -11,18 +11,22 @@ published last" are ordinary Spark reads over the same tables.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from crashlens.sources.dated_files import listing
+
 SUMMARY_DIR = "summary"
 HOURS_DIR = "hours"
 PUBLISH_DIGITS = 10  # the published files carry 10 decimals
 
 
-def _summary_schema(keys: list[str]) -> StructType:
+def summary_schema(keys: list[str]) -> StructType:
+    """Columns of a published summary, end_date last."""
     fields = [StructField("date", StringType())]
     fields += [StructField(k, DoubleType()) for k in keys if k != "date"]
     fields.append(StructField("end_date", DateType()))
@@ -63,7 +67,7 @@ def publish_histograms(histogram: DataFrame, out_dir: str) -> None:
 def read_summaries(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame | None:
     """All published summaries as one table, oldest first (None if none)."""
     try:
-        df = spark.read.schema(_summary_schema(keys)).json(f"{out_dir.rstrip('/')}/{SUMMARY_DIR}")
+        df = spark.read.schema(summary_schema(keys)).json(f"{out_dir.rstrip('/')}/{SUMMARY_DIR}")
     except AnalysisException as err:
         if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
             return None
@@ -80,30 +84,22 @@ def read_histograms(spark: SparkSession, out_dir: str) -> DataFrame | None:
         raise
 
 
+def published_partitions(spark: SparkSession, out_dir: str, what: str = SUMMARY_DIR) -> DataFrame:
+    """end_date of the reports that a published table holds, from the folder listing alone."""
+    files = listing(spark, f"{out_dir.rstrip('/')}/{what}")
+    date = F.try_to_date(F.regexp_extract("path", r"/end_date=(\d{4}-\d{2}-\d{2})/[^/]*$", 1))
+    return files.where("length > 0").select(date.alias("end_date")).where("end_date IS NOT NULL").distinct()
+
+
 def last_published_date(spark: SparkSession, out_dir: str) -> _dt.date | None:
     """End date of the latest published report (None: start the backfill
     from the configured default)."""
-    df = _published_dates(spark, out_dir)
-    if df is None:
-        return None
-    return df.agg(F.max("end_date").alias("d")).first()["d"]
+    return published_partitions(spark, out_dir).agg(F.max("end_date").alias("d")).first()["d"]
 
 
 def published_dates(spark: SparkSession, out_dir: str) -> set[_dt.date]:
     """End dates of the published summaries, one per report."""
-    df = _published_dates(spark, out_dir)
-    return set() if df is None else {r["end_date"] for r in df.select("end_date").distinct().collect()}
-
-
-def _published_dates(spark: SparkSession, out_dir: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(StructType([StructField("date", StringType()), StructField("end_date", DateType())])).json(
-            f"{out_dir.rstrip('/')}/{SUMMARY_DIR}"
-        )
-    except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
-            return None
-        raise
+    return {r["end_date"] for r in published_partitions(spark, out_dir).collect()}
 
 
 def week_histogram(spark: SparkSession, out_dir: str, end_date: _dt.date) -> DataFrame | None:
@@ -113,6 +109,20 @@ def week_histogram(spark: SparkSession, out_dir: str, end_date: _dt.date) -> Dat
     return None if hist is None else hist.filter(F.col("end_date") == F.lit(end_date))
 
 
+def lookup_weeks(spark: SparkSession, out_dir: str, end_dates: Sequence[_dt.date]) -> DataFrame:
+    """The published histograms of the asked weeks: end_date, status, hours, count. A week
+    without a published file is one row "missing" and no data file is opened for it; of the
+    table only the asked partitions are read."""
+    asked = spark.createDataFrame([(d,) for d in sorted(set(end_dates))], "end_date date")
+    there = published_partitions(spark, out_dir, HOURS_DIR).withColumn("there", F.lit(True))
+    asked = asked.join(there, "end_date", "left")
+    status = F.when(F.col("there"), "published").otherwise("missing").alias("status")
+    hist = read_histograms(spark, out_dir)
+    if hist is None:
+        return asked.select("end_date", status, F.lit(None).cast("int").alias("hours"), F.lit(None).cast("long").alias("count"))
+    return asked.join(hist.where(F.col("end_date").isin(list(end_dates))), "end_date", "left").select("end_date", status, "hours", "count")
+
+
 def export_merged(summaries: DataFrame, path: str, *, as_array: bool = False) -> None:
     """S8 export: the merged table as a single JSON file, oldest first. One row per
     report, so a single writer is bounded by the number of reports.
@@ -140,12 +150,3 @@ def export_histogram_arrays(histograms: DataFrame, path: str) -> None:
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("end_date").text(path)
     )
-
-
-def read_legacy_reports(spark: SparkSession, folder: str, stem: str) -> DataFrame:
-    """S4 for files in the original naming ``<stem>-yyyyMMdd-yyyyMMdd.json`` (each a
-    one-element JSON array): rows plus the end date parsed from the file name (F13)."""
-    from crashlens.functions.dates import file_date
-
-    df = spark.read.json(f"{folder.rstrip('/')}/{stem}-*.json")
-    return df.withColumn("end_date", file_date(F.input_file_name(), stem))

@@ -26,8 +26,9 @@ from pyspark.sql.types import StructType
 from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import partial_profile_day
 from crashlens.params import ReportParams
-from crashlens.plans.history_store import FILES, open_store
+from crashlens.plans.history_store import open_store
 from crashlens.plans.job import JobResult, publish_pending_reports
+from crashlens.sources.dated_files import LISTING
 from crashlens.sources.pings import select_ping_columns
 
 PARTIALS = "partials"
@@ -65,7 +66,7 @@ def run_incremental_reports(spark: SparkSession, ping_dir: str, ping_schema: Str
     try:
         new = store.new_files(f"{partials_dir}/query={query.id}").collect()
         if new:
-            store.fold_in(spark.read.parquet(*[r["path"] for r in new]), spark.createDataFrame(new, FILES))
+            store.fold_in(spark.read.parquet(*[r["path"] for r in new]), spark.createDataFrame(new, LISTING))
         return publish_pending_reports(spark, store.profile_days(params), out_dir, params, stored=True)
     finally:
         store.close()

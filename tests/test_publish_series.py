@@ -6,14 +6,16 @@ import tempfile
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from crashlens.operators.series import release_markers, summary_series
 from crashlens.operators.summary import summary_columns
 from crashlens.params import fixture_params
 from crashlens.plans.job import run_report_job
 from crashlens.sources.fixtures import fixture_pings
-from crashlens.sources.published import (export_merged, last_published_date, read_legacy_reports, read_summaries,
-                                         week_histogram)
+from crashlens.sources.dated_files import last_dated, read_dated, write_dated
+from crashlens.sources.published import (export_merged, last_published_date, lookup_weeks, publish_histograms, published_partitions,
+                                         read_histograms, read_summaries, week_histogram)
 from tests.conftest import SF001, SF01, d
 
 
@@ -51,14 +53,42 @@ def test_job_publish_incremental(spark):
     assert len(lines) == 17 and set(json.loads(lines[0])) == set(keys)
 
 
-def test_legacy_reader(spark):
-    folder = tempfile.mkdtemp(prefix="crashlens-legacy-")
+def test_dated_files(spark):
+    """Files of the original naming: written by others, and by this library."""
+    folder = tempfile.mkdtemp(prefix="crashlens-dated-")
+    schema = StructType([StructField("date", StringType()), StructField("proportion_wau_crashes_1", DoubleType())])
     for start, end, v in (("20170101", "20170107", 0.1), ("20170102", "20170108", 0.2)):
         with open(os.path.join(folder, f"weekly-{start}-{end}.json"), "w") as f:
-            f.write(json.dumps([{"date": f"{end[:4]}-{end[4:6]}-{end[6:]}", "proportion_wau_crashes_1": v}]) + "\n")
-    df = read_legacy_reports(spark, folder, "weekly")
-    got = sorted((r.end_date, r.proportion_wau_crashes_1) for r in df.collect())
-    assert got == [(d("2017-01-07"), 0.1), (d("2017-01-08"), 0.2)]
+            f.write(json.dumps([{"date": f"{end[:4]}-{end[4:6]}-{end[6:]}", "proportion_wau_crashes_1": v, "more": 1}]) + "\n")
+    for other in ("weekly-latest.json", "hours-20170103-20170109.json"):
+        with open(os.path.join(folder, other), "w") as f:
+            f.write("not a report")
+    rows = lambda **kw: sorted((r.end_date, r.proportion_wau_crashes_1) for r in read_dated(spark, folder, "weekly", schema, **kw).collect())
+    both = [(d("2017-01-07"), 0.1), (d("2017-01-08"), 0.2)]
+    assert rows() == both and rows(latest=True) == both[1:] and rows(last=d("2017-01-07")) == both[:1] and rows(first=d("2017-02-01")) == []
+    assert last_dated(spark, folder, "weekly") == d("2017-01-08") and last_dated(spark, folder + "/none", "weekly") is None
+    more = spark.createDataFrame([("2017-01-09", None, d("2017-01-09")), ("2017-01-08", 0.3, d("2017-01-08"))],
+                                 "date string, proportion_wau_crashes_1 double, end_date date")
+    assert write_dated(more, folder, "weekly") == 2  # the week that is there is replaced
+    assert rows() == [both[0], (d("2017-01-08"), 0.3), (d("2017-01-09"), None)]
+    assert open(os.path.join(folder, "weekly-20170103-20170109.json")).read() == '[{"date":"2017-01-09","proportion_wau_crashes_1":null}]\n'
+    assert sorted(os.listdir(folder))[0] != ".staging" and not [x for x in os.listdir(folder) if x.startswith(".staging")]
+    plan = read_dated(spark, folder, "weekly", schema, latest=True)._jdf.queryExecution().executedPlan().toString()
+    assert "(1 paths)" in plan
+
+
+def test_lookup_and_pending_read_the_listing(spark):
+    out = tempfile.mkdtemp(prefix="crashlens-lookup-")
+    assert [(r.status, r.hours) for r in lookup_weeks(spark, out, [d("2024-01-08")]).collect()] == [("missing", None)]
+    assert published_partitions(spark, out).collect() == []
+    hist = spark.createDataFrame([(1, 5, d("2024-01-08")), (2, 6, d("2024-01-08")), (1, 7, d("2024-01-09"))], "hours int, count long, end_date date")
+    publish_histograms(hist, out)
+    got = lookup_weeks(spark, out, [d("2024-01-08"), d("2024-01-13")])
+    assert sorted(map(tuple, got.collect()), key=lambda r: (r[0], r[2] or 0)) == [(d("2024-01-08"), "published", 1, 5), (d("2024-01-08"), "published", 2, 6), (d("2024-01-13"), "missing", None, None)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2024-01-09" not in plan
+    read = read_histograms(spark, out).where(F.col("end_date").isin([d("2024-01-08"), d("2024-01-13")]))
+    assert len(read.select("_metadata.file_path").distinct().collect()) >= 1 and "end_date=2024-01-09" not in str(read.select("_metadata.file_path").distinct().collect())
 
 
 def test_series_and_markers(spark):
