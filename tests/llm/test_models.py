@@ -10,7 +10,7 @@ import pytest
 from crashlens.llm import context_mixing as C
 from crashlens.llm import latent_decontamination as L
 from crashlens.llm import toxicity as X
-from crashlens.llm.common import fold_of
+from crashlens.llm.common import fold_of, setting
 from tests.conftest import SF001, SF01
 from tests.llm.conftest import frame, pairs
 
@@ -38,22 +38,51 @@ def test_model_beats_word_counts_on_held_out_text(spark):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
-def test_probabilities_add_up(monkeypatch):
-    """The chances of all ways to go on add up to one: the code's leaves after any context."""
-    chunks = sorted({c for t in (b"the cat sat. The dog ran", b"a cat and the dog") for c in C.chunks_of(t)})
-    counts = np.ones(len(chunks), np.int64)
+def _model(texts, shards):
+    """Shared tables, a mixer and the lexicon's shards, as ``scores`` builds them."""
+    count = Counter(c for t in texts for c in C.chunks_of(t))
+    dealt = {k: (own, np.array([count[c] for c in own], np.int64)) for k, own in C._by_bucket(set(count), shards).items()}
     tables = np.zeros((2, int(C.FIRST[-1])), np.float32)
-    C._count(tables, chunks, counts, slice(0, C.ORDERS - 1))
     mixer = C.Mixer.fresh()
-    own = C._local(chunks, counts)
-    mixer.learn(tables, own, chunks, counts)
+    for own, counts in dealt.values():
+        C._count(tables, own, counts, True)
+    for own, counts in dealt.values():
+        mixer.learn(tables, C._local(tables, own, counts), own, counts)
+    return tables, mixer, dealt
+
+
+def test_probabilities_add_up(monkeypatch):
+    """The chances of all ways to go on add up to one: the code's leaves after any context."""
+    tables, mixer, dealt = _model((b"the cat sat. The dog ran", b"a cat and the dog"), 1)
+    own = C._local(tables, *dealt[0])
     monkeypatch.setattr(C, "_local", lambda *a: own)
     bits = lambda chunk: mixer.bits(tables, [chunk], np.ones(1, np.int64))[0]
-    for prefix in (b"", b"c", b"xq"):
+    for prefix in (b"", b"c", b"xq", b"xqabcd"):
         ways = [bits(prefix + bytes([c])) - (bits(prefix) if prefix else 0) for c in range(256) if c != C.START[0]]
         assert abs(np.exp2(-np.array(ways)).sum() - 1) < 5e-3
 
 
+def test_known_chunks_share_one_probability(small):
+    """However the lexicon is dealt, the chances of all its chunks add up to one at most."""
+    texts = [t.encode() for _, t in pairs(small)[:60]]
+    for shards in (1, 8, 64, 200):
+        tables, mixer, dealt = _model(texts, shards)
+        total = {True: 0.0, False: 0.0}
+        for own, counts in dealt.values():
+            for c, bits in zip(own, mixer.bits(tables, own, counts)):
+                total[c.startswith(C.START)] += 2.0 ** -bits
+        assert 0.2 < total[False] <= 1 and 0 < total[True] <= 1, (shards, total)
+
+
+def test_scores_do_not_depend_on_the_cluster(spark, monkeypatch, small):
+    monkeypatch.setattr(C, "SHARD_BYTES", 100_000)
+    seen = []
+    for partitions, unit_bytes in (("3", 1 << 20), ("11", 40_000)):
+        with setting(spark, "spark.sql.shuffle.partitions", partitions):
+            seen.append(sorted((r.doc_id, r.score) for r in C.scores(small, unit_bytes).collect()))
+    assert seen[0] == seen[1]
+
+
 def test_scores_empty(empty):
     assert C.scores(empty).collect() == []
 
