@@ -99,9 +99,9 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, weights / np.maximum(norm, 1e-9)[:, None].astype(np.float32)
 
 
-def _dense(word: str) -> np.ndarray:
-    codes, weights = subsequences([word[:WINDOW]])
-    return np.bincount(codes[0], weights=weights[0], minlength=CODES**3).astype(np.float32)
+def windows(word: str) -> list[str]:
+    """A word that is longer than ``WINDOW`` as overlapping parts, between them the whole word."""
+    return [word] if len(word) <= WINDOW else [word[k:k + WINDOW] for k in range(0, len(word) - WINDOW // 2, WINDOW // 2)]
 
 
 @dataclass(frozen=True)
@@ -124,7 +124,7 @@ class Model:
                 codes, w = subsequences([words[i] for i in short])
                 out[short] = (self.weights[codes] * w).sum(axis=1) + self.bias
             for i in long:
-                parts = [words[i][k:k + WINDOW] for k in range(0, len(words[i]) - WINDOW // 2, WINDOW // 2)]
+                parts = windows(words[i])
                 out[i] = max(self.margins(parts[k:k + chunk]).max() for k in range(0, len(parts), chunk))
         return out
 
@@ -137,8 +137,8 @@ NOTHING = Model(np.zeros(CODES**3, np.float32), FLOOR, 0.0, -50.0)
 
 def fit(toxic: list[str], clean: list[str]) -> Model:
     """Fit on labelled texts."""
-    bags = [[sentence_words(s) for s in SENTENCE.split(t)] for t in (*toxic, *clean)]
-    docs = [list(dict.fromkeys(w for s in b for w in s)) for b in bags]
+    one: dict[str, str] = {}  # equal words are held once
+    docs = [list({one.setdefault(x, x): None for s in SENTENCE.split(t) for w in sentence_words(s) for x in windows(w)}) for t in (*toxic, *clean)]
     good, bad = docs[: len(toxic)], docs[len(toxic):]
     good = [d for d in good if d]
     if not good or not any(bad):
@@ -156,10 +156,8 @@ def fit(toxic: list[str], clean: list[str]) -> Model:
         positive = sorted(w for w in votes if votes[w] > 1 or len(votes) < 20) or sorted(votes)
         landmarks = sorted(positive, key=lambda w: (-votes[w], w))[: LANDMARKS * 3 // 4]
         landmarks += [w for w in neutral if w not in votes][: LANDMARKS - len(landmarks)]
-        basis = np.stack([_dense(w) for w in landmarks])
         known = positive + [w for w in neutral if w not in set(positive)]
-        kernel = np.concatenate([_kernel(known[i:i + 1024], basis) for i in range(0, len(known), 1024)])
-        among = _kernel(landmarks, basis)
+        kernel, among = _kernel(known, landmarks), _kernel(landmarks, landmarks)
         value, vector = np.linalg.eigh((among + among.T) / 2)
         keep = value > 1e-6
         root = vector[:, keep] / np.sqrt(value[keep])  # W^-1/2: kernel values to Nyström features
@@ -167,7 +165,11 @@ def fit(toxic: list[str], clean: list[str]) -> Model:
         weight = np.array([float(votes[w]) for w in positive] + [HARD if w in confused else 1.0 for w in known[len(positive):]])
         weight[y > 0] *= 0.5 * (y < 0).sum() / weight[y > 0].sum()
         u, bias = _machine(kernel @ root, y, weight)
-        model = Model((basis.T @ (root @ u)).astype(np.float32), float(bias), 1.0, 0.0)
+        weights = np.zeros(CODES**3)
+        for word, c in zip(landmarks, root @ u):
+            codes, w = subsequences([word])
+            np.add.at(weights, codes[0], c * w[0])
+        model = Model(weights.astype(np.float32), float(bias), 1.0, 0.0)
         margin = dict(zip(flat, model.margins(flat)))
         witness = [max(d, key=lambda w: (margin[w], w)) for d in good]
         # Words of clean documents that look toxic join the neutral ones, and weigh HARD times as much.
@@ -178,9 +180,18 @@ def fit(toxic: list[str], clean: list[str]) -> Model:
     return Model(model.weights, model.bias, slope, shift)
 
 
-def _kernel(words: list[str], basis: np.ndarray) -> np.ndarray:
-    codes, w = subsequences([x[:WINDOW] for x in words])
-    return np.stack([(b[codes] * w).sum(axis=1) for b in basis], axis=1).astype(np.float64)
+def _kernel(words: list[str], landmarks: list[str], chunk: int = 512) -> np.ndarray:
+    """Kernel values, a row for each word. Of the landmarks' spaces, one is laid out at a time."""
+    out = np.empty((len(words), len(landmarks)))
+    marks = [subsequences([x]) for x in landmarks]
+    space = np.zeros(CODES**3, np.float32)
+    for at in range(0, len(words), chunk):
+        codes, w = subsequences(words[at:at + chunk])
+        for j, (own, weight) in enumerate(marks):
+            np.add.at(space, own[0], weight[0])
+            out[at:at + chunk, j] = (space[codes] * w).sum(axis=1)
+            space[own[0]] = 0
+    return out
 
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:

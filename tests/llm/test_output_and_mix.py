@@ -1,5 +1,6 @@
 """Id shards, source mixing and the pipeline."""
 
+import re
 import zlib
 from collections import defaultdict
 
@@ -15,7 +16,7 @@ from crashlens.llm import mixing as M
 from crashlens.llm.common import table
 from tests.conftest import SF001
 from tests.llm.conftest import frame, pairs
-from tests.llm.test_duplicates import _components
+from tests.llm.test_duplicates import _groups
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -132,7 +133,13 @@ def test_pipeline_by_brute_force(spark):
     toxic_in, toxic_out = frames["toxicity"]
     assert 0 < toxic_out.count() < toxic_in.count()
     near_in, near_out = frames["near_duplicates"]
-    assert {r.doc_id for r in near_out.collect()} == {i for i, _, c in _components(pairs(near_in)) if i == c}
+    assert {r.doc_id for r in near_out.collect()} == {i for i, _, c in _groups(pairs(near_in), 5, 80) if i == c}
+    leak_in, leak_out = frames["decontamination"]
+    gone = {r.doc_id for r in leak_in.select("doc_id").collect()} - {r.doc_id for r in leak_out.select("doc_id").collect()}
+    words = lambda t: re.findall("[a-z0-9]+", (t or "").lower())
+    items = [words(r.text) for r in table(spark, SF001, "benchmark").collect()]
+    whole = {r.doc_id for r in leak_in.select("doc_id", "text").collect() for w in [" " + " ".join(words(r.text)) + " "] if any(" " + " ".join(x) + " " in w for x in items if len(x) >= 6)}
+    assert whole and whole <= gone and len(gone) <= 3 * len(whole)
     mix_in, mix_out = frames["mixing"]
     copies = {r.doc_id: r.copies for r in M.mix(mix_in).collect() if r.copies}
     assert {r.doc_id: r["count"] for r in mix_out.groupBy("doc_id").count().collect()} == copies
@@ -140,6 +147,18 @@ def test_pipeline_by_brute_force(spark):
     assert sorted((tuple(r) for r in ids_out.collect()), key=str) == _digests(pairs(ids_in))
 
 
+def test_leaks_go_by_their_own_text(spark, odd, empty):
+    """Rows without an id, or of one id, are judged one by one."""
+    item = table(spark, SF001, "benchmark").orderBy("item_id").first().text
+    rows = [(None, f"Something before. {item} Something after."), (None, "a clean row without an id"), (7, item), (7, "a clean row of the same id"), (8, None), (8, "")]
+    docs = frame(spark, [(i, t, "a") for i, t in rows])
+    kept = corpus_pipeline.drop_leaks(spark, docs, SF001)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([rows[1], rows[3], rows[4], rows[5]], key=str)
+    assert corpus_pipeline.drop_leaks(spark, odd, SF001).count() == odd.count()
+    assert corpus_pipeline.drop_leaks(spark, empty, SF001).collect() == []
+
+
 def test_pipeline_on_odd_rows(spark, odd, empty):
     for docs in (odd, empty):
         for name, stage in corpus_pipeline.STAGES:
