@@ -9,7 +9,7 @@ columns of ``docs``. Between stages the documents are written and read again.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlens.llm import id_shards, latent_decontamination, mixing, ngram_join, toxicity
@@ -17,7 +17,8 @@ from crashlens.llm.common import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents with a toxicity of 0.5 or more; the model learns from labelled documents."""
+    """Rejects documents with a toxicity of 0.5 or more; the model learns from labelled documents.
+    Null and empty texts score as clean; without labels nothing is rejected."""
     return toxicity.accepted(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
@@ -30,18 +31,27 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that hold an item of the benchmark."""
-    found = latent_decontamination.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak_id")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long") == found["leak_id"], "left_anti")
+    """Rejects documents that hold an item of the benchmark. Rows are told apart by id and text,
+    so one without an id, or of several with one id, goes by its own text; equal rows go together.
+    Null and empty texts hold nothing and stay."""
+    rows = docs.select(_row_key(docs).alias("doc_id"), "text")
+    found = latent_decontamination.leaks(rows, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak_key")).distinct()
+    return docs.join(found, _row_key(docs) == found["leak_key"], "left_anti")
+
+
+def _row_key(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per copy that the mix takes, in training order."""
+    """One row per copy that the mix takes, in training order. Texts without words have no size
+    and are not taken; a null source is a source of its own."""
     return mixing.training_order(docs)
 
 
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-id shards of the mix; one row per document written, read back through the index."""
+    """Token-id shards of the mix; one row per document written, read back through the index.
+    A null text is its end id alone; repeated rows are written one after the other."""
     return id_shards.stored_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
