@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import release_memory, texts
+from crashlens.llm.common import release_memory, texts, worker_cache
 
 #: The byte-level pre-token rule, a fixed value of the tokenizer's format.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -183,15 +183,9 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_WORKER: dict[str, Codec] = {}
-
-
 def codec(tokenizer_json: str) -> Codec:
     """One per Python worker: later tasks of a worker go on with what it knows."""
-    if tokenizer_json not in _WORKER:
-        _WORKER.clear()
-        _WORKER[tokenizer_json] = Codec(tokenizer_json)
-    return _WORKER[tokenizer_json]
+    return worker_cache(("codec", hash(tokenizer_json)), lambda: Codec(tokenizer_json))
 
 
 def _shared(spark: SparkSession, tokenizer_path: str):

@@ -97,3 +97,22 @@ def release_memory() -> None:
 
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), spark.sparkContext.defaultParallelism)
+
+
+_caches: dict = {}
+
+
+def worker_cache(name, make):
+    """What an operator remembers in a Python worker from task to task. Spark goes on with the
+    worker for other operators, so there is one such cache at a time."""
+    if name not in _caches:
+        drop_caches()
+        _caches[name] = make()
+    return _caches[name]
+
+
+def drop_caches() -> None:
+    """Called by tasks that remember nothing themselves: what an earlier stage left is freed."""
+    if _caches:
+        _caches.clear()
+        release_memory()

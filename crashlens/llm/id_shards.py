@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import parallelism, release_memory, texts, written
+from crashlens.llm.common import parallelism, release_memory, texts, worker_cache, written
 
 END_ID = 2
 SHARD_IDS = 1 << 19
@@ -101,15 +101,9 @@ class WordIds:
         return self.encode_all([text])[0]
 
 
-_WORKER: dict[str, WordIds] = {}
-
-
 def _word_ids(tokenizer_json: str, width: str) -> WordIds:
     """One per Python worker: later tasks of a worker go on with what it knows."""
-    key = str(zlib.crc32(tokenizer_json.encode()))
-    if key not in _WORKER:
-        _WORKER[key] = WordIds(tokenizer_json, width)
-    return _WORKER[key]
+    return worker_cache(("word ids", zlib.crc32(tokenizer_json.encode())), lambda: WordIds(tokenizer_json, width))
 
 
 def _id_width(tokenizer_json: str) -> str:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import release_memory, texts
+from crashlens.llm.common import drop_caches, release_memory, texts
 
 HALF = 20
 PIECE_WORDS, MIN_WORDS, BLOCK_ITEMS = 64, 6, 4096
@@ -190,6 +190,7 @@ def _block_matches(docs: DataFrame, items: Items, rank: int, cosine: float) -> D
     shared = sc.broadcast(items)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         words, total = shared.value.vocabulary, np.zeros(size + 2)
         for b in batches:
             found = b.column("text").to_pylist()
@@ -220,6 +221,7 @@ def _block_matches(docs: DataFrame, items: Items, rank: int, cosine: float) -> D
     sketch_start = sc.broadcast((row_of, np.vstack([np.zeros((1, width), np.float32), start])))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         words, (rows_of, w) = shared.value.vocabulary, sketch_start.value
         total = np.zeros((len(w), width))
         for b in batches:
@@ -248,6 +250,7 @@ def _block_matches(docs: DataFrame, items: Items, rank: int, cosine: float) -> D
     targets = sc.broadcast(latent)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         own, m, t = shared.value, projection.value, targets.value
         held = np.zeros((len(own.pieces), size + 1), np.float32)  # weight of each word in each piece
         for k, p in enumerate(own.pieces):

@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import parallelism, release_memory, scratch, written
+from crashlens.llm.common import parallelism, release_memory, scratch, worker_cache, written
 from crashlens.llm.suffix_dedup import BUCKET_BYTES, _buckets_of, _pack, _unpack, make_units
 
 WORDS, SIMILARITY = 3, 90  # of op3
@@ -61,9 +61,6 @@ class _Words(dict):
         return h
 
 
-_WORDS = _Words()  # one per Python worker
-
-
 def text_key(text: Column) -> Column:
     """A fingerprint that tells rows of one doc_id apart."""
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
@@ -92,7 +89,7 @@ class Shingles:
             words += own
             at += size
         counts = np.array(counts)
-        h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(worker_cache("shingle words", _Words).__getitem__, words), np.uint64, len(words))
         doc = np.repeat(np.arange(len(counts)), counts)
         h = np.concatenate([h, np.zeros(n, np.uint64)])
         key = h[:-n] * _MUL[0]

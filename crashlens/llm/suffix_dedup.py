@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import parallelism, release_memory, texts, written
+from crashlens.llm.common import drop_caches, parallelism, release_memory, texts, written
 
 LENGTH = 50
 UNIT_BYTES = 2 << 20
@@ -183,6 +183,7 @@ def make_units(docs: DataFrame, unit_bytes: int = UNIT_BYTES) -> DataFrame:
     """Documents in doc_id order, packed into units; written, so that later passes read the same units."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         part, seq, held, ids, found = TaskContext.get().partitionId(), 0, 0, [], []
         squeeze = zstandard.ZstdCompressor(level=3)
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import fold, release_memory, texts
+from crashlens.llm.common import drop_caches, fold, release_memory, texts
 
 DECAY, GAP = 0.6, 3
 SHAPES = [(a, b, DECAY ** (b - 2)) for a, b in combinations(range(1, 3 + GAP), 2)]
@@ -283,6 +283,7 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         score = Scorer(shared.value)
         for b in _slices(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score(b.column("text").to_pylist()))], names=["doc_id", "score"])
@@ -295,6 +296,7 @@ def accepted(docs: DataFrame, model: Model, reject_from: float = 0.5) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         score = Scorer(shared.value)
         for b in _slices(batches):
             found = b.column(b.schema.get_field_index("text")).to_pylist()
