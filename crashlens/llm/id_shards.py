@@ -39,6 +39,7 @@ SHARD_IDS = 1 << 19
 BUCKET_KEYS = 1 << 15
 #: A worker remembers the ids of so many words of at most so many characters.
 REMEMBERED, LONGEST = 300_000, 64
+AT_ONCE = 250
 NULL_KEY = -(2**63)
 SLOT = np.dtype([("fingerprint", "<u4"), ("part", "<i4"), ("seq", "<i4"), ("record", "<i4"), ("offset", "<i8")])
 
@@ -120,9 +121,9 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
     end = np.array([end_id], width).tobytes()
     size = len(end)
 
-    def encoded(found: list[str], words: WordIds) -> Iterator[bytes]:
-        for at in range(0, len(found), 1000):
-            yield from words.encode_all(found[at:at + 1000])
+    def encoded(texts: pa.Array, words: WordIds) -> Iterator[bytes]:
+        for at in range(0, len(texts), AT_ONCE):  # few texts are Python strings at once
+            yield from words.encode_all(texts.slice(at, AT_ONCE).to_pylist())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, seq = _word_ids(tokenizer_json, width), TaskContext.get().partitionId(), 0
@@ -137,7 +138,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
                   "lengths": lengths.tobytes(), "payload": b"".join(payloads)}], schema=ids_schema)
 
         for b in batches:
-            for key, ids in zip(b.column("key").to_pylist(), encoded(b.column("text").to_pylist(), words)):
+            for key, ids in zip(b.column("key").to_pylist(), encoded(b.column("text"), words)):
                 if held >= SHARD_IDS and key != keys[-1]:
                     yield shard()
                     seq, keys, payloads, held = seq + 1, [], [], 0
