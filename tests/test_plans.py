@@ -59,5 +59,5 @@ def test_no_python_in_report_plans(spark):
     r = build_reports(spark, fixture_pings(spark, SF001), fixture_params())
     for df in (r.summary, r.histogram, r.cohort_members, r.population, r.console):
         plan = _plan(df)
-        for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
+        for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow", "FlatMapGroupsInArrow"):
             assert marker not in plan
