@@ -81,6 +81,52 @@ def test_odd_pages():
     assert H.main_text("<article><p>open <b>bold</article> tail") != ""
 
 
+def test_attributes_and_depth():
+    assert H.main_text("<p>One <a title=don't>two</a> three.</p><p>It's four.</p><p>Five</p>") == "One two three. It's four. Five"
+    assert H.main_text("""<p title="a > b" data-x='"'>Six is here.</p><p class = body id=x/>Seven is here.""") == "Six is here. Seven is here."
+    assert H.main_text("<article><p>Some text.</p><p>a < b and c > d.</p></article>") == "Some text. a < b and c > d."
+    deep = "<div>word " * 20000
+    assert H.main_text(deep) == " ".join(["word"] * 20000)
+    assert H.main_text("<b>x <i>" * 5000 + "</b></i>" * 5000 + "<p>A sentence to end with.") != ""
+
+
+def test_the_cut_decides():
+    """Shapes alone take an advert's sentence and leave the short lines of an article."""
+    page = ("<div class=ad><p>Buy this very good thing of ours today, it is only sold here.</p></div>"
+            "<article><h1>Title</h1><p>A sentence of the article that says something.</p><p><a href=x>More</a></p><p>Yes</p></article>")
+    found = H.blocks(page)
+    assert [H.cost(b, H.DEFAULT) > 0 for b in found] == [True, True, True, False, False]
+    assert H.content_side(found) == [False, True, True, True, True]
+    # without any mark a short line between sentences follows its neighbours
+    plain = H.blocks("<p>A sentence to begin with, and some more.</p><p>Ja</p><p>Another sentence that goes on and on.</p>")
+    model = H.Model(H.DEFAULT.weights, 1.0)
+    assert H.cost(plain[1], model) < 0 and H.content_side(plain, model, marks=False) == [True] * 3
+
+
+def test_cut_of_a_page_is_minimal():
+    import itertools
+
+    page = "<div class=ad>Buy.</div><article><p>First text.</p><section class=comments>I say.</section><p>x</p></article><div class=story>Tail</div>"
+    found = H.blocks(page)
+    scores, edges = H.graph(found, H.DEFAULT)
+
+    def price(label):
+        return sum(-s if s < 0 and x else s if s > 0 and not x else 0 for s, x in zip(scores, label)) + sum(c for a, b, c in edges if label[a] != label[b])
+
+    best = min(itertools.product((False, True), repeat=len(scores)), key=price)
+    assert list(best[:len(found)]) == H.content_side(found) == [False, True, False, True, True]
+
+
+def test_costs_are_fitted(spark):
+    """Half of a table's pages give the costs; the other half's text is found with the marks hidden."""
+    rows = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    learn, rest = [H.blocks(h) for h in rows[::2]], [H.blocks(h) for h in rows[1::2]]
+    model = H.fit(learn)
+    assert model.weights != H.DEFAULT.weights and model == H.fit(learn)
+    assert H.f1(H.judged(rest, model)) > 0.85
+    assert H.fit([]) == H.DEFAULT == H.fit([H.blocks("<p>No mark here.</p>")])
+
+
 def test_min_cut_is_minimal():
     import itertools
     import random
