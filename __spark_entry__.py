@@ -33,8 +33,10 @@ from crashlens.plans.job import run_report_job  # noqa: E402
 from crashlens.plans.report import Reports, build_reports, reports_from_profile_day  # noqa: E402
 from crashlens.plans.storage import write_intermediate  # noqa: E402
 from crashlens.session import scratch_path  # noqa: E402
+from crashlens.sources import commits  # noqa: E402
 from crashlens.sources.dated_files import read_dated, write_dated  # noqa: E402
-from crashlens.sources.fixtures import events_as_main_summary, fixture_pings, fixture_releases  # noqa: E402
+from crashlens.sources.drifting import read_drifting_pings  # noqa: E402
+from crashlens.sources.fixtures import events_as_main_summary, fixture_pings, fixture_releases, write_drifting_fixture  # noqa: E402
 from crashlens.sources.pings import PING_SCHEMA, read_raw_pings  # noqa: E402
 from crashlens.sources.published import (HOURS_SCHEMA, export_merged, lookup_weeks, publish_histograms,  # noqa: E402
                                          publish_summaries, published_partitions, read_summaries, summary_schema)
@@ -169,6 +171,26 @@ def _dated_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dated(spark, where, "hours", StructType(HOURS_SCHEMA.fields[:-1]), latest=True)
 
 
+def _drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = scratch_path(spark, "drifting")
+    write_drifting_fixture(spark, sf_dir, where)
+    return read_drifting_pings(spark, where, _fixture_schema())
+
+
+def _committed(spark: SparkSession, sf_dir: str) -> commits.Snapshot:
+    """A first run with wrong numbers for two reports, a second one that does these again, and
+    one that dies before its commit."""
+    r, out = _durable(spark, sf_dir), scratch_path(spark, "committed")
+    redone = F.col("end_date").isin([_dt.date.fromisoformat(d) for d in PUBLISHED_GAPS[:2]])
+    spoilt = lambda c: F.when(redone, F.col(c) + 1).otherwise(F.col(c))
+    bad_summary = r.summary.withColumn("proportion_new_profiles", spoilt("proportion_new_profiles"))
+    bad_hours = r.histogram.withColumn("count", spoilt("count"))
+    commits.publish(bad_summary, bad_hours, out)
+    commits.publish(r.summary.where(redone), r.histogram.where(redone), out)
+    commits.write_histograms(bad_hours, out, commits.new_version())
+    return commits.snapshot(spark, out)
+
+
 def _merged_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged table as the single JSON array the site reads, read back."""
     where, keys = scratch_path(spark, "merged"), summary_columns(fixture_params())
@@ -244,6 +266,10 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dated_summaries": lambda spark, d: _rounded(_dated_summaries(spark, d)),
         "dated_histogram_latest": _dated_latest,
         "merged_array": lambda spark, d: _rounded(_merged_array(spark, d)),
+        "clean_pings_from_drifting_files": lambda spark, d: clean_pings(_drifting(spark, d), fixture_params()),
+        "committed_summaries": lambda spark, d: _rounded(_committed(spark, d).summaries(summary_columns(fixture_params())).drop("end_date")),
+        "committed_histograms": lambda spark, d: _committed(spark, d).histograms(),
+        "console_report": _r(lambda r: r.console),
         "clean_pings_from_scan": lambda spark, d: clean_pings(_scanned(spark, d), fixture_params()),
     }
 

@@ -340,6 +340,41 @@ def _summary_sql() -> str:
     return _with(*ALL_METRICS, METRICS_JOIN, SUMMARY)
 
 
+def _console_lines() -> list[str]:
+    """Each line of the console report as a text expression over the metrics."""
+
+    def est(c):
+        return f"format('{{:,}}', CAST(coalesce({c}, 0) * 100 AS BIGINT))"
+
+    def two(x):  # two decimals, half up on the shortest decimal form
+        return f"coalesce(CAST(CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DECIMAL(30, 2)) AS VARCHAR), 'n/a')"
+
+    def pct(a, b):
+        return f"CASE WHEN {a} IS NULL OR coalesce({b}, 0) = 0 THEN 'n/a' ELSE {two(f'CAST({a} AS DOUBLE) / {b} * 100')} || '%' END"
+
+    def share(title, a, b, of):
+        return f"'{title}: ' || {est(a)} || ' (' || {pct(a, b)} || '{of})'"
+
+    lines = [f"'Active profiles: ' || {est('wau')}"]
+    lines += [share(f"Profiles with {n}+ crashes", f"crashed_{n}", "wau", " of active") for n in (1, 2)]
+    lines.append(share("New profiles", "new_profiles", "wau", " of active"))
+    lines += [share(f"New profiles with {n}+ crashes", f"new_crashed_{n}", "new_profiles", " of new") for n in (1, 2)]
+    lines.append(share("First crash on record", "first_time_crashers", "crashed_1", " of crashed"))
+    lines.append(share("Crashed before", "repeat_crashers", "crashed_1", " of crashed"))
+    lines.append(f"'Cohort created two weeks earlier: ' || {est('cohort_profiles')}")
+    lines.append(share("Cohort crashed within two weeks", "cohort_crashed", "cohort_profiles", ""))
+    week2 = "cohort_crashed_second_week"
+    lines.append(f"'Cohort first crash in week two: ' || {est(week2)} || ' (' || {pct(week2, 'cohort_profiles')} || ' of cohort, ' || "
+                 f"{pct(week2, 'cohort_crashed')} || ' of those that crashed)'")
+    lines.append(f"'Days to first crash: mean ' || {two('days_mean')} || ', median ' || {two('days_p50')} || ', p90 ' || {two('days_p90')}")
+    lines += [share(f"e10s {s} among crashed", f"e10s_{s}", "crashed_1", "") for s in ("enabled", "disabled")]
+    kinds = ("main", "content", "plugin")
+    lines += [f"'{k.capitalize()} crashes per 1000 hours: ' || {two(f'crash_rate_{k}_avg_by_user')}" for k in kinds]
+    lines += [f"'{k.capitalize()} crashes per 1000 hours, e10s {s}: ' || {two(f'crash_rate_{k}_avg_by_user_and_e10s_{s}')}"
+              for s in ("enabled", "disabled") for k in kinds]
+    return lines
+
+
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["clean_pings"] = _with() + "\nSELECT cid, sid, channel, sd, appname, ssl, cssm, cdc, sk, cdgmp, cdp, pcd, e10s FROM clean"
@@ -451,7 +486,11 @@ FROM asked a LEFT JOIN h ON h.end_date = a.end_date"""
 SELECT end_date, wau, crashed_1, crashed_2, new_profiles, new_crashed_1, new_crashed_2, e10s_enabled, e10s_disabled
 FROM wau_cnt JOIN crashed_cnt USING (end_date) JOIN new_cnt USING (end_date) JOIN e10s_cnt USING (end_date)"""
     q["hours_between_crashes_day_by_day"] = q["hours_between_crashes"]
+    q["console_report"] = _with(*ALL_METRICS, METRICS_JOIN) + "\nSELECT end_date, l.line AS line, l.text AS text FROM (SELECT end_date, unnest([" + ", ".join(
+        f"{{'line': {i}, 'text': {t}}}" for i, t in enumerate(_console_lines())) + "]) AS l FROM metrics)"
     q["profile_day_store"] = q["profile_day"]
+    q["committed_summaries"], q["committed_histograms"] = q["weekly_summary"], q["hours_histogram"]
+    q["clean_pings_from_drifting_files"] = q["clean_pings"]
     q["weekly_summary_store"] = q["dated_summaries"] = q["merged_array"] = q["weekly_summary"]
     q["weekly_summary_durable"] = q["publish_and_merge"] = q["weekly_summary"]
     q["hours_histogram_durable"] = q["hours_histogram"]

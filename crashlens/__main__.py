@@ -21,6 +21,7 @@ from crashlens.operators.summary import summary_columns
 from crashlens.params import ReportParams
 from crashlens.plans.job import run_report_job
 from crashlens.session import ensure_checkpoint_dir
+from crashlens.sources.commits import snapshot
 from crashlens.sources.pings import read_raw_pings
 from crashlens.sources.published import export_histogram_arrays, export_merged, read_histograms, read_summaries
 
@@ -39,6 +40,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--thresholds", type=int, nargs="*", default=[1, 2])
     ap.add_argument("--full-history", action="store_true", help="D3: let reports see later crashes too")
     ap.add_argument("--buckets", type=int, default=None)
+    ap.add_argument("--versioned", action="store_true", help="summary and histogram of a run become visible by one commit")
     args = ap.parse_args(argv)
 
     params = ReportParams(today=args.today, crash_thresholds=tuple(args.thresholds),
@@ -47,12 +49,13 @@ def main(argv: list[str] | None = None) -> None:
         params = params.with_(default_last_report=args.first_report - _dt.timedelta(days=1))
     spark = SparkSession.builder.appName("crashlens").getOrCreate()
     ensure_checkpoint_dir(spark)
-    result = run_report_job(spark, read_raw_pings(spark, args.pings), args.out, params, buckets=args.buckets, echo=True)
-    merged = read_summaries(spark, args.out, summary_columns(params))
+    result = run_report_job(spark, read_raw_pings(spark, args.pings), args.out, params, buckets=args.buckets, echo=True, versioned=args.versioned)
+    there = snapshot(spark, args.out) if args.versioned else None
+    merged = there.summaries(summary_columns(params)) if there else read_summaries(spark, args.out, summary_columns(params))
     if merged is not None:
         export_merged(merged, f"{args.out.rstrip('/')}/merged")
         export_merged(merged, f"{args.out.rstrip('/')}/merged_array", as_array=True)
-    hist = read_histograms(spark, args.out)
+    hist = there.histograms() if there else read_histograms(spark, args.out)
     if hist is not None:
         export_histogram_arrays(hist, f"{args.out.rstrip('/')}/hours_arrays")
     print(f"reports {result.first_report} .. {result.last_report}: {result.reports} report days")

@@ -8,7 +8,8 @@
    and geometric mean and the histogram all read them.
 4. Histograms are written first, summaries last, with dynamic partition overwrite: a
    published summary says that its report is complete, so a run that fails between the
-   two does the report again.
+   two does the report again. With ``versioned`` both become visible by one commit
+   (sources/commits.py).
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from crashlens.operators.clean import clean_pings
 from crashlens.operators.daily import profile_day as rollup
 from crashlens.plans.history_store import open_store
 from crashlens.plans.report import reports_from_profile_day
+from crashlens.sources import commits
 from crashlens.sources.pings import PING_SCHEMA
 from crashlens.sources.published import publish_histograms, publish_summaries, published_dates, published_partitions
 
@@ -44,9 +46,9 @@ def possible_dates(win) -> list[_dt.date]:
 
 
 def run_report_job(spark: SparkSession, raw_pings: DataFrame, out_dir: str, params: ReportParams, *,
-                   buckets: int | None = None, echo: bool = False) -> JobResult:
+                   buckets: int | None = None, echo: bool = False, versioned: bool = False) -> JobResult:
     return publish_pending_reports(spark, rollup(clean_pings(raw_pings, params)), out_dir, params,
-                                   buckets=buckets, echo=echo)
+                                   buckets=buckets, echo=echo, versioned=versioned)
 
 
 def run_stored_report_job(spark: SparkSession, ping_dir: str, store_dir: str, out_dir: str, params: ReportParams, *,
@@ -62,23 +64,27 @@ def run_stored_report_job(spark: SparkSession, ping_dir: str, store_dir: str, ou
 
 
 def publish_pending_reports(spark: SparkSession, profile_day: DataFrame, out_dir: str, params: ReportParams, *,
-                            buckets: int | None = None, echo: bool = False, stored: bool = False) -> JobResult:
+                            buckets: int | None = None, echo: bool = False, stored: bool = False, versioned: bool = False) -> JobResult:
     """Compute and publish every report that has data and no published summary."""
     win = report_window(params)
-    done = published_dates(spark, out_dir)
+    committed = commits.snapshot(spark, out_dir) if versioned else None
+    done = set(committed.versions) if versioned else published_dates(spark, out_dir)
     todo = [d for d in possible_dates(win) if d not in done]
     if not todo:  # nothing due: do not even roll up
         return JobResult(win.first, win.last, 0)
     reports = reports_from_profile_day(spark, profile_day, params, durable=True, buckets=buckets, win=only_these(win, todo), stored=stored)
     try:
         # one row per report date; dates without any data never become reports
-        due = pending_reports(reports.profile_day, reports.win, published_partitions(spark, out_dir))
+        due = pending_reports(reports.profile_day, reports.win, committed.reports() if versioned else published_partitions(spark, out_dir))
         pending = [r["end_date"] for r in due.select("end_date").collect()]
         if not pending:
             return JobResult(win.first, win.last, 0)
         reports.win = only_these(win, pending)
-        publish_histograms(reports.histogram, out_dir)
-        publish_summaries(reports.summary, out_dir)
+        if versioned:
+            commits.publish(reports.summary, reports.histogram, out_dir)
+        else:
+            publish_histograms(reports.histogram, out_dir)
+            publish_summaries(reports.summary, out_dir)
         if echo:
             # the console report of the newest report (about twenty lines)
             newest = reports.console.filter(F.col("end_date") == F.lit(max(pending))).orderBy("line")

@@ -9,6 +9,7 @@ both e10s states on one day, so every cleaning rule and edge case is exercised.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from crashlens.sources.pings import select_ping_columns
 
@@ -48,6 +49,18 @@ def events_as_main_summary(events: DataFrame) -> DataFrame:
     return events.selectExpr(*[f"{expr} AS {name}" for name, expr in _MAPPING.items()])
 
 
+def write_drifting_fixture(spark: SparkSession, sf_dir: str, where: str) -> None:
+    """The fixture in the files of three writers: as it is; session lengths as text and e10s as
+    a number; without the gmplugin counter, for pings that have none of it."""
+    pings = events_as_main_summary(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    old = F.xxhash64(*pings.columns) % 2 == 0
+    no_counter = ~old & (F.col("crashes_detected_gmplugin") == 0)
+    typed = pings.where(old).withColumns({"subsession_length": F.col("subsession_length").cast("string"),
+                                          "e10s_enabled": F.col("e10s_enabled").cast("int"), "shutdown_kill": F.col("shutdown_kill").cast("double")})
+    for part in (pings.where(~old & ~no_counter), typed, pings.where(no_counter).drop("crashes_detected_gmplugin")):
+        part.repartition("submission_date_s3").write.mode("append").partitionBy("submission_date_s3", "sample_id").parquet(where)
+
+
 def fixture_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw pings (short column names) of the fixture at ``sf_dir``."""
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")

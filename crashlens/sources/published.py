@@ -50,13 +50,14 @@ def _write(df: DataFrame, path: str) -> None:
     )
 
 
+def rounded_summary(summary: DataFrame) -> DataFrame:
+    doubles = [f.name for f in summary.schema.fields if isinstance(f.dataType, DoubleType)]
+    return summary.select(*[F.round(c, PUBLISH_DIGITS).alias(c) if c in doubles else F.col(c) for c in summary.columns])
+
+
 def publish_summaries(summary: DataFrame, out_dir: str) -> None:
     """One JSON record per report under ``summary/end_date=YYYY-MM-DD``."""
-    doubles = [f.name for f in summary.schema.fields if isinstance(f.dataType, DoubleType)]
-    out = summary.select(
-        *[F.round(c, PUBLISH_DIGITS).alias(c) if c in doubles else F.col(c) for c in summary.columns]
-    )
-    _write(out, f"{out_dir.rstrip('/')}/{SUMMARY_DIR}")
+    _write(rounded_summary(summary), f"{out_dir.rstrip('/')}/{SUMMARY_DIR}")
 
 
 def publish_histograms(histogram: DataFrame, out_dir: str) -> None:
