@@ -25,6 +25,8 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from string import punctuation
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ END_ID = 2
 SHARD_IDS = 1 << 19
 BUCKET_KEYS = 1 << 15
 #: A worker remembers the ids of so many words of at most so many characters.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 AT_ONCE = 250
 NULL_KEY = -(2**63)
 SLOT = np.dtype([("fingerprint", "<u4"), ("part", "<i4"), ("seq", "<i4"), ("record", "<i4"), ("offset", "<i8")])
@@ -67,27 +69,34 @@ class WordIds:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of words; a full stop or comma behind a letter is a pre-token of its own."""
-        plain = {w[:-1] if w[-1] in ".," and w[-2:-1].isalpha() else w for w in words}
-        missing = sorted(w for w in plain if w not in self.known)
-        found = {}
-        letters = [w for w in missing if w.isalpha()]
+        """The ids of words. Signs behind letters are pre-tokens of their own, and A-Z are
+        lower-cased by the tokenizer, so words that differ in these alone are encoded once."""
+        parts, known = {}, self.known
+        for w in words:
+            stem = w.rstrip(punctuation)
+            if stem.isascii():
+                parts[w] = (stem.lower(), w[len(stem):]) if stem.isalpha() else (w, "")
+            elif stem.isalpha() and (stem == w or normalize("NFC", stem).lower()[-1].isalpha()):
+                parts[w] = stem, w[len(stem):]
+            else:  # a mark at the stem's end would join the signs
+                parts[w] = w, ""
+        got = {p: known.get(p) for pair in parts.values() for p in pair}
+        missing = sorted(p for p, ids in got.items() if ids is None)
+        letters = [p for p in missing if p.isalpha()]
         for at in range(0, len(letters), 4096):
-            part = letters[at:at + 4096]
-            ids = self._ids(" ".join(part))
+            some = letters[at:at + 4096]
+            ids = self._ids(" ".join(some))
             cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part):
-                found.update(zip(part, (x.tobytes() for x in np.split(ids, cuts[:-1]))))
-        for w in missing:
-            if w not in found:
-                found[w] = self._ids(w).tobytes()
-        signs = {c: self._ids(c).tobytes() for c in ".,"}
-        for w in words:
-            if w not in found:
-                stem = found.get(w[:-1])
-                found[w] = (self.known[w[:-1]] if stem is None else stem) + signs[w[-1]]
-        if len(self.known) < REMEMBERED:
-            self.known.update((w, found[w]) for w in words if len(w) <= LONGEST)
+            if len(cuts) == len(some):
+                raw, bounds = ids.tobytes(), [0, *(cuts * ids.itemsize).tolist()]
+                got.update(zip(some, (raw[i:j] for i, j in zip(bounds, bounds[1:]))))
+        for p in missing:
+            if got[p] is None:
+                got[p] = self._ids(p).tobytes()
+        found = {w: got[stem] + got[signs] for w, (stem, signs) in parts.items()}
+        if len(known) < REMEMBERED:
+            for new in (found, {p: got[p] for p in missing}):
+                known.update(new if max(map(len, new), default=0) <= LONGEST else {w: ids for w, ids in new.items() if len(w) <= LONGEST})
         return found
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
