@@ -335,6 +335,69 @@ def trained(pages: DataFrame) -> Model:
     return fit([blocks(h) for _, h in sorted((r["at"], r["html"]) for r in some.collect())])
 
 
+def min_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> list[int]:
+    """1 for nodes on the source side. A positive score is the capacity from the source, a
+    negative one that to the sink (each the cost of the other label). Dinic's method."""
+    n = len(scores)
+    s, t = n, n + 1
+    graph: list[list[int]] = [[] for _ in range(n + 2)]
+    to: list[int] = []
+    room: list[float] = []
+
+    def link(a, b, there, back):
+        graph[a].append(len(to))
+        to.append(b)
+        room.append(there)
+        graph[b].append(len(to))
+        to.append(a)
+        room.append(back)
+
+    for i, x in enumerate(scores):
+        if x > 0:
+            link(s, i, x, 0.0)
+        elif x < 0:
+            link(i, t, -x, 0.0)
+    for a, b, c in edges:
+        link(a, b, c, c)
+    while True:
+        level = [-1] * (n + 2)
+        level[s] = 0
+        queue = [s]
+        for v in queue:
+            for e in graph[v]:
+                if room[e] > 1e-12 and level[to[e]] < 0:
+                    level[to[e]] = level[v] + 1
+                    queue.append(to[e])
+        if level[t] < 0:
+            return [int(level[i] >= 0) for i in range(n)]
+        place = [0] * (n + 2)
+        path: list[int] = []
+        v = s
+        while True:  # depth first without recursion: pages may have very many blocks
+            if v == t:
+                flow = min(room[e] for e in path)
+                for e in path:
+                    room[e] -= flow
+                    room[e ^ 1] += flow
+                cut = next(k for k, e in enumerate(path) if room[e] <= 1e-12)
+                v = to[path[cut] ^ 1]
+                del path[cut:]
+                continue
+            while place[v] < len(graph[v]):
+                e = graph[v][place[v]]
+                if room[e] > 1e-12 and level[to[e]] == level[v] + 1:
+                    break
+                place[v] += 1
+            else:
+                if v == s:
+                    break
+                level[v] = -1
+                v = to[path.pop() ^ 1]
+                continue
+            path.append(e)
+            v = to[e]
+
+
 def main_text(html: str | None, model: Model = DEFAULT) -> str:
     if not html:
         return ""

@@ -41,7 +41,8 @@ def test_odd_texts_encode_as_the_library():
     tokenizer = Tokenizer.from_file(PATH)
     words = I.WordIds(open(PATH, encoding="utf-8").read(), "<u2")
     for t in ("", " ", "\n", "A\t B  c\x1cd", "a<|endoftext|>b <|startoftext|> x<|endoftext|>. ", "é ́a \r\n 漢字 \U0001F600", "x" * 300,
-              "don't 123 it's", " 's ΑΣ ΑΣ. İi. İ. a., .a ,, it's.", json.dumps({"k": "v,"})):
+              "don't 123 it's", " 's ΑΣ ΑΣ. İi. İ. a., .a ,, it's.", json.dumps({"k": "v,"}),
+              "İstanbul İ. İ. ΣΑΣ, \u0958! \ufb1d. Erin erin, ERIN!? erin### a\u0338= b!\u0301? d_e_ " + "A" * 300 + "!!!"):
         assert np.frombuffer(words.encode(t), "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
