@@ -187,6 +187,39 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert L.leaks(docs.limit(0), bench).count() == 0 and L.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_short_items_by_brute_force(spark):
+    rng = random.Random(6)
+    vocabulary = ["ka", "lo", "mi", "ne", "pu"]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(k, text(rng.randint(1, 5))) for k in range(40)] + [(None, "Ka, lo: mi ne"), (3, "pu pu pu pu"), (50, "?! -"), (51, None), (52, "absent")]
+    rows = [(i, text(rng.randint(0, 12)), "a") for i in range(120)] + [(None, "PU pu (pu) pu", "a"), (7, "ka lo", "a"), (8, None, "a"), (9, " ", "a")]
+    lists = lambda t: L.plain_words(t or "")
+    want = {(d, t, k) for d, t, _ in rows for k, x in items if lists(x)
+            and any(lists(t)[i:i + len(lists(x))] == lists(x) for i in range(len(lists(t))))}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    numbered = spark.createDataFrame([(i, t) for i, (_, t, _) in enumerate(rows)], "doc_id long, text string")
+    found = L.leaks(numbered, bench).collect()
+    got = {(rows[r.doc_id][0], rows[r.doc_id][1], r.item_id) for r in found}
+    assert got == want and all((r.cosine, r.lcs_share, r.answer) == (1.0, 1.0, True) for r in found)
+    assert len(found) == len({(r.doc_id, r.item_id) for r in found})
+    assert {(r.doc_id, r.item_id) for r in L.leaks(frame(spark, rows), bench).collect()} == {(d, k) for d, _, k in want}
+
+
+def test_leaks_in_blocks_and_stretches(spark, small, monkeypatch):
+    """Blocks of a few items, texts far longer than a stretch and items without an id."""
+    bench = spark.read.parquet(f"{SF001}/benchmark.parquet").select("item_id", "text")
+    whole = {(r.doc_id, r.item_id) for r in L.leaks(small, bench).collect()}
+    monkeypatch.setattr(L, "BLOCK_ITEMS", 4)
+    assert {(r.doc_id, r.item_id) for r in L.leaks(small, bench).collect()} == whole
+    monkeypatch.undo()
+    some = bench.orderBy("item_id").limit(4).collect()
+    filler = " ".join(f"w{i % 977}" for i in range(3 * L.STRETCH))
+    docs = frame(spark, [(1, f"{filler} {some[2].text} {filler}", "a"), (2, filler, "a")])
+    unnamed = spark.createDataFrame([(None, r.text) for r in some], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in L.leaks(docs, bench).collect()} == {(1, some[2].item_id)}
+    assert [(r.doc_id, r.item_id) for r in L.leaks(docs, unnamed).collect()] == [(1, None)]
+
+
 def test_planted_benchmark_passages(spark, small):
     bench = spark.read.parquet(f"{SF001}/benchmark.parquet")
     items = {r.item_id: b" ".join(L.plain_words(r.text)) for r in bench.collect()}
