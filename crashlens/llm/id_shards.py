@@ -1,6 +1,6 @@
 """Token-id shards with a minimal perfect hash index (operator 9).
 
-Two written tables:
+Written tables:
 
 * ``ids``: one row per shard: ``part, seq`` (ascending in doc_id order), ``n_docs``,
   ``n_ids``, ``keys`` (64-bit little-endian document keys), ``lengths`` (32-bit) and
@@ -10,9 +10,12 @@ Two written tables:
   hash-and-displace minimal perfect hash over the bucket's keys; slot i holds the key's
   32-bit fingerprint, its shard, its record within the shard and the id offset there.
 
-Access by key costs one bucket row, two hashes, one slot, one shard row: constant,
-whatever the size of the table; a key that isn't there is told by its fingerprint (a wrong
-hit has a chance of 2^-32).
+* ``files``: which file holds a part of ``ids`` or a bucket of ``index``: ``kind, number, file``,
+  a row per part and one per ``BUCKET_KEYS`` documents, in one file ordered by them.
+
+Access by key costs one bucket row, two hashes, one slot, one shard row, and opens three files:
+the list, one of ``index`` and one of ``ids``, whatever the size of the tables; a key that isn't
+there is told by its fingerprint (a wrong hit has a chance of 2^-32).
 
 Defined cases: a null text is the empty text (only the end id); rows that repeat a doc_id
 are written one after the other and the key leads to the first of them, reading yields all;
@@ -269,12 +272,22 @@ def write_index(shards: DataFrame, n_docs: int) -> tuple[DataFrame, int]:
     return written(flat.groupBy("bucket").applyInArrow(build, "bucket long, n long, seeds binary, slots binary"), "index"), buckets
 
 
+def write_files(ids: DataFrame, index: DataFrame) -> DataFrame:
+    """The ``files`` table, from the numbers alone."""
+    def of(rows: DataFrame, kind: str, number: str) -> DataFrame:
+        return rows.select(F.lit(kind).alias("kind"), F.col(number).cast("long").alias("number"), F.col("_metadata.file_name").alias("file"))
+
+    listed = of(ids, "ids", "part").distinct().unionByName(of(index, "index", "bucket"))
+    return written(listed.coalesce(1).sortWithinPartitions("kind", "number"), "files")
+
+
 @dataclass(frozen=True)
 class IdStore:
     """The written tables, read back."""
 
     ids: DataFrame
     index: DataFrame
+    files: DataFrame
     buckets: int
     width: str
 
@@ -338,16 +351,24 @@ class IdStore:
         return self.locate(keys).groupBy("part", "seq").cogroup(shards.groupBy("part", "seq")).applyInArrow(
             read, "key long, start long, n_tokens long, ids_crc32 long")
 
+    def _in_file(self, rows: DataFrame, kind: str, number: int) -> DataFrame | None:
+        """The rows of the one file that holds a part or bucket; the others are not opened."""
+        entry = self.files.where((F.col("kind") == kind) & (F.col("number") == number)).first()
+        return None if entry is None else rows.where(F.col("_metadata.file_name") == entry["file"])
+
     def get(self, key: int) -> list[int] | None:
         """The ids of one document: one index row, one slot, one shard row."""
         k = np.array([key], np.int64)
-        row = self.index.where(F.col("bucket") == int(bucket_of(k, self.buckets)[0])).first()
-        if row is None:
+        bucket = int(bucket_of(k, self.buckets)[0])
+        rows = self._in_file(self.index, "index", bucket)
+        if rows is None:
             return None
+        row = rows.where(F.col("bucket") == bucket).first()
         slot = np.frombuffer(row["slots"], SLOT)[slots_of(k, np.frombuffer(row["seeds"], "<i4"), row["n"])[0]]
         if slot["fingerprint"] != fingerprints(k)[0]:
             return None
-        shard = self.ids.where((F.col("part") == int(slot["part"])) & (F.col("seq") == int(slot["seq"]))).select("lengths", "payload").first()
+        rows = self._in_file(self.ids, "ids", int(slot["part"]))
+        shard = rows.where((F.col("part") == int(slot["part"])) & (F.col("seq") == int(slot["seq"]))).select("lengths", "payload").first()
         n = int(np.frombuffer(shard["lengths"], "<u4")[slot["record"]])
         return np.frombuffer(shard["payload"], self.width)[slot["offset"]:slot["offset"] + n].tolist()
 
@@ -358,7 +379,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> I
     ids = write_shards(docs, tokenizer_path, end_id)
     n_docs = ids.agg(F.sum("n_docs")).first()[0] or 0
     index, buckets = write_index(ids, n_docs)
-    return IdStore(ids, index, buckets, width)
+    return IdStore(ids, index, write_files(ids, index), buckets, width)
 
 
 def stored_digests(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:

@@ -220,6 +220,20 @@ def test_leaks_in_blocks_and_stretches(spark, small, monkeypatch):
     assert [(r.doc_id, r.item_id) for r in L.leaks(docs, unnamed).collect()] == [(1, None)]
 
 
+def test_candidates_against_exact_search(spark, small):
+    """Items cut from the texts, a fifth of their words dropped; a cosine of -2 checks all pairs."""
+    rng = random.Random(8)
+    cut = []
+    for _, t in pairs(small) * 2:
+        w = t.split()
+        at = rng.randint(0, max(0, len(w) - 40))
+        cut.append(" ".join(x for x in w[at:at + rng.randint(14, 59)] if rng.random() > 0.2))
+    bench = spark.createDataFrame(list(enumerate(cut)), "item_id long, text string")
+    some = small.orderBy("doc_id").limit(40)
+    got, exact = ({(r.doc_id, r.item_id) for r in L.leaks(some, bench, cosine=c).collect()} for c in (L.COSINE, -2.0))
+    assert got <= exact and len(exact) >= 60 and len(got) >= 0.9 * len(exact)
+
+
 def test_planted_benchmark_passages(spark, small):
     bench = spark.read.parquet(f"{SF001}/benchmark.parquet")
     items = {r.item_id: b" ".join(L.plain_words(r.text)) for r in bench.collect()}

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from crashlens.llm import id_shards as I
 from crashlens.llm import mixing as M
-from crashlens.llm.common import table
+from crashlens.llm.common import setting, table
 from tests.conftest import SF001
 from tests.llm.conftest import frame, pairs
 from tests.llm.test_duplicates import _groups
@@ -55,6 +55,28 @@ def test_access_by_key(spark, small):
     assert store.get(10**12) is None
 
 
+def test_access_opens_one_file_of_each_table(spark, small, monkeypatch):
+    """Every other file is made unreadable first."""
+    monkeypatch.setattr(I, "BUCKET_KEYS", 16)
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        store = I.write_store(small, PATH)
+    tokenizer = Tokenizer.from_file(PATH)
+    key = 7
+    bucket = int(I.bucket_of(np.array([key], np.int64), store.buckets)[0])
+    part = store.locate(spark.createDataFrame([(key,)], "key long")).first()["part"]
+    needed = {r["file"] for r in store.files.collect() if (r["kind"], r["number"]) in (("ids", part), ("index", bucket))}
+    others = [f for t in (store.ids, store.index) for f in t.inputFiles() if f.rsplit("/", 1)[1] not in needed]
+    assert len(needed) == 2 and len(others) > 4 and len(store.files.inputFiles()) == 1
+    for f in others:
+        with open(f.replace("file://", ""), "wb") as out:
+            out.write(b"unreadable")
+    assert store.get(key) == [*tokenizer.encode(dict(pairs(small))[key], add_special_tokens=False).ids, 2]
+
+
+def test_access_to_an_empty_store(empty):
+    assert I.write_store(empty, PATH).get(1) is None
+
+
 @pytest.mark.parametrize("n", [1, 2, 5, 1000, 20000])
 def test_perfect_hash(n):
     keys = np.unique(np.random.default_rng(n).integers(-(2**62), 2**62, n))
