@@ -20,7 +20,10 @@ is similarity / 100.
    nothing. Else one of them isn't linked with the hub and they share at least
    ``t = (|D_x| + |D_y| - r S) / 2`` differences, hence one of the first
    ``|D| - t + 1`` of each, rare first. What they share there bounds what they can share
-   at all; pairs that may reach t, few, are counted as in 4.
+   at all; pairs that may reach t, few, are counted as in 4. Differences that no other member
+   has, u of them, part x from all: u_x + u_y <= r S, so one of the two is light,
+   ``u <= r |x|``. Sets that all differ from the hub in ways of their own are heavy, and heavy
+   sets are not compared with each other.
 6. Components of the links, by smallest label with pointer jumping.
 
 Fingerprints have 64 bits. Defined cases: null or empty text, or one without words: an
@@ -222,16 +225,23 @@ def links(sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     rarity = apart.groupBy("a", "e").agg(F.count(F.lit(1)).alias("f"), F.max((~F.col("near")).cast("int")).alias("open")).where("f > 1 and open = 1")
     # Of each document: its differences, those that nobody shares or that only near ones share first.
     ranked = apart.join(rarity, ["a", "e"], "left").groupBy("a", "b", "near", "nb", "d", "t").agg(
+        F.count("f").alias("s"),
         F.slice(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "e"))), F.lit(1), F.greatest(F.lit(0), (F.col("d") - F.col("t") + 1)).cast("int")).alias("first"))
-    ranked = ranked.select("a", "b", "near", "nb", "d", "t", F.explode("first").alias("x")).where("x.f > 0").select("a", "b", "near", "nb", "d", "t", F.col("x.e").alias("e"))
+    # s differences are shared with others; of two sets that link, one is light (see above).
+    light = F.col("d") - F.col("s") <= F.col("nb") * share + 1e-9
+    ranked = ranked.select("a", "b", "near", "nb", "d", "t", "s", light.alias("light"), F.explode("first").alias("x")).where("x.f > 0").withColumn("e", F.col("x.e")).drop("x")
     ranked = written(ranked, "first-differences")
-    left = ranked.where(~F.col("near")).select("a", "e", F.col("b").alias("x"), F.col("nb").alias("nx"), F.col("d").alias("dx"), F.col("t").alias("tx"))
-    right = ranked.select("a", "e", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("d").alias("dy"), F.col("t").alias("ty"), F.col("near").alias("y_near"))
-    # Sizes within the limit, and few enough differences even if the smaller side is all shared.
-    fits = (F.col("nx") * 100 >= F.col("ny") * similarity) & (F.col("ny") * 100 >= F.col("nx") * similarity) & (F.abs(F.col("dx") - F.col("dy")) * (100 + similarity) <= (F.col("nx") + F.col("ny")) * (100 - similarity))
-    once = F.col("y_near") | (F.col("x") < F.col("y"))
-    pairs = left.join(right, ["a", "e"]).where((F.col("x") != F.col("y")) & fits & once).groupBy("a", "x", "y").agg(
-        F.count(F.lit(1)).alias("seen"), *[F.first(c).alias(c) for c in ("nx", "ny", "dx", "dy", "tx", "ty")])
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("a", "e", F.col("b").alias(name), *[F.col(c).alias(f"{k}{name}") for c, k in (("nb", "n"), ("d", "d"), ("t", "t"), ("s", "s"), ("near", "near_"), ("light", "light_"))])
+
+    # Sizes within the limit, and few enough differences even if all that the smaller side shares is common to both.
+    both = F.col("nx") + F.col("ny")
+    fits = (F.col("nx") * 100 >= F.col("ny") * similarity) & (F.col("ny") * 100 >= F.col("nx") * similarity) & (F.col("dx") + F.col("dy") - 2 * F.least("sx", "sy") <= both * share + 1e-9)
+    once = F.col("near_y") | ~F.col("light_y") | (F.col("x") < F.col("y"))
+    met = side(ranked.where("light and not near"), "x").join(side(ranked, "y"), ["a", "e"]).where((F.col("x") != F.col("y")) & fits & once).unionByName(
+        side(ranked.where("not light and not near"), "x").join(side(ranked.where("light and near"), "y"), ["a", "e"]).where(fits))
+    pairs = met.groupBy("a", "x", "y").agg(F.count(F.lit(1)).alias("seen"), *[F.first(c).alias(c) for c in ("nx", "ny", "dx", "dy", "tx", "ty")])
     # Differences shared but not seen lie behind the first ones of that of the two whose first ones end earlier.
     needed = (F.col("dx") + F.col("dy") - (F.col("nx") + F.col("ny")) * share) / 2.0
     pairs = pairs.where(F.col("seen") + F.greatest("tx", "ty") - 1 >= needed - 1e-9)

@@ -140,6 +140,21 @@ def test_words_and_similarity_are_parameters(spark, odd, small, words, similarit
         assert _joined(docs, unit_bytes=20_000, words=words, similarity=similarity) == _groups(pairs(docs), words, similarity)
 
 
+@pytest.mark.parametrize("words, similarity", [(5, 80), (3, 90)])
+def test_sets_that_differ_from_their_hub_in_ways_of_their_own(spark, words, similarity):
+    """Most copies have edits that no other has; some of these have copies that link with them alone."""
+    rng = random.Random(9)
+    base, rows = [f"w{k}" for k in range(90)], []
+    for i in range(120):
+        copied = i % 4 == 3
+        w = rows[rng.randrange(len(rows))][1].split() if copied else list(base)
+        for k in range(rng.randint(0, 2) if copied else rng.randint(0, 6)):
+            w[rng.randrange(len(w))] = f"own{i}x{k}"
+        rows.append((i, " ".join(w), "a"))
+    docs = frame(spark, rows)
+    assert _joined(docs, unit_bytes=4000, words=words, similarity=similarity) == _groups(pairs(docs), words, similarity)
+
+
 def test_the_pipeline_drops_near_copies_of_five_words_and_eight_tenths(spark):
     text = [f"w{k}" for k in range(100)]
     twice = [*text[:30], "one", *text[31:70], "two", *text[71:]]  # 86 of 106 shingles of five words; 92 of 104 of three
