@@ -5,16 +5,20 @@ of all documents; a target stops at ``max_repeats`` times its source's size and
 goes to the others by weight (a water level, found in closed form from a sorted prefix sum
 over the sources).
 
-A document goes in whole: ``floor(target / size of source)`` times, and once more for the
-documents, in hash order, whose middle falls within the rest of the target. So a source's
-taken words differ from its target by half a document at most.
+Curriculum: at training time u in [0, 1] source i is drawn at the rate
+``target_i (1 + a_i (2u - 1))``, with ``a_i`` from ``slopes`` by the source's place. The
+integral of this schedule, ``D_i(u) = target_i (u + a_i (u^2 - u))``, is the source's demand:
+the words that it has given by time u.
 
-Curriculum: source i is drawn at the rate ``r_i(u) = 1 + a_i (2u - 1)`` at training time u
-in [0, 1], with ``a_i`` from ``slopes`` by the source's place. Its integral
-``R_i(u) = u + a_i (u^2 - u)`` is the share of the source's words used up by time u; the
-copy of a document whose middle lies at share s of its source's taken words gets the
-position u with ``R_i(u) = s``, a root of a quadratic. ``training_order`` writes one row per
-copy and range-sorts by position.
+A source gives its documents whole, in hash order, over and over (``max_repeats`` times at
+most), so that the middle of each copy lies at a fixed word of what the source gives. The
+copy's position is the time at which the demand reaches that word, ``D_i`` inverted: the root
+of a quadratic. A copy whose word the demand does not reach by time 1 is not taken. So the
+positions say how often a document is taken, and a source's taken words differ from its
+target by half a document at most.
+
+Training order is the range sort by position: ``mix`` returns its documents in the order of
+their first copies (those not taken last), ``training_order`` one row per copy.
 
 Prefix sums never put a source into one task: a source is cut into hash slices, slices are
 summed first, and a window runs inside a slice only; the number of slices follows the rows.
@@ -59,11 +63,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, slope
     return s.select("source", "source_size", "slope", F.least(F.col("cap"), F.coalesce(F.col("water") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, slopes: tuple[float, ...] = SLOPES,
-        max_repeats: float = MAX_REPEATS) -> DataFrame:
-    """Per document: doc_id, size, source, source_size, target, copies, taken, and the share
-    of its source's words before its first copy (``before``) with the source's ``base`` and
-    ``slope``, from which ``position`` is derived."""
+def _placed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, slopes: tuple[float, ...] = SLOPES,
+            max_repeats: float = MAX_REPEATS) -> DataFrame:
+    """The rows of ``mix``, not yet in order."""
     spark = docs.sparkSession
     slices = 4 * parallelism(spark)
     rows = docs.select(
@@ -84,35 +86,43 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, slopes: tuple[flo
     run, table = run.alias("d"), table.alias("s")
     joined = run.join(table, F.col("d.source").eqNullSafe(F.col("s.source")) & (F.col("d.slice") == F.col("s.slice"))).select(
         "doc_id", "size", F.col("d.source").alias("source"), "source_size", "target", "slope", (F.col("slice_start") + F.col("inside")).alias("before"))
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    rest = F.col("target") - whole * F.col("source_size")
-    extra = F.when((F.col("size") > 0) & (F.col("before") + F.col("size") / 2.0 <= rest), F.lit(1)).otherwise(F.lit(0))
-    copies = F.least(whole + extra, F.lit(int(max_repeats))).cast("long")
-    # Share of the source's taken words at the middle of the first copy, and its time.
-    share = F.when(F.col("target") > 0, F.least(F.lit(1.0), (F.col("before") + F.col("size") / 2.0) / F.col("target"))).otherwise(F.lit(0.0))
     return (
-        joined.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0).cast("long")))
+        joined.withColumn("positions", _positions(max_repeats))
+        .withColumn("copies", F.size("positions").cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size"))
-        .withColumn("position", F.when(F.col("copies") > 0, _time(share, F.col("slope"))))
+        .withColumn("position", F.get("positions", F.lit(0)))
     )
 
 
+def _positions(max_repeats: float):
+    """The times at which a source's demand reaches the middles of a document's copies, one
+    after the other; copy k lies a whole source's words after copy k - 1."""
+    def time(k):
+        word = F.col("before") + F.col("size") / 2.0 + k * F.col("source_size")
+        return F.when((F.col("size") > 0) & (word <= F.col("target")), _time(F.least(F.lit(1.0), word / F.col("target")), F.col("slope")))
+
+    return F.filter(F.array(*[time(k) for k in range(int(max_repeats))]).cast("array<double>"), lambda u: u.isNotNull())
+
+
 def _time(share, slope):
-    """u with u + slope (u^2 - u) = share; the slope lies within (-1, 1)."""
+    """The demand inverted: u with u + slope (u^2 - u) = share; the slope lies within (-1, 1)."""
     b = F.lit(1.0) - slope
     root = (F.sqrt(b * b + F.lit(4.0) * slope * share) - b) / (F.lit(2.0) * slope)
     return F.when(slope == 0, share).otherwise(root)
 
 
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, slopes: tuple[float, ...] = SLOPES,
+        max_repeats: float = MAX_REPEATS) -> DataFrame:
+    """Per document: doc_id, size, source, source_size, target, slope, before (its source's words
+    before its first copy), positions (one per copy taken), copies, taken, and position (of the
+    first copy). Rows are range-sorted by position, documents that are not taken last."""
+    return _placed(docs, weights, slopes, max_repeats).orderBy(F.asc_nulls_last("position"), "doc_id")
+
+
 def training_order(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix in training order, one row per copy, with the columns of
-    ``docs``. Copy k of a document lies a whole source's words after copy k - 1."""
-    m = mix(docs, **how).select(
-        F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("copies").alias("__copies"),
-        F.col("before").alias("__before"), F.col("target").alias("__target"), F.col("source_size").alias("__all"), F.col("slope").alias("__slope"),
-    ).where("__copies > 0").dropDuplicates(["__id"])
+    ``docs``."""
+    m = _placed(docs, **how).select(F.col("doc_id").alias("__id"), F.col("positions").alias("__positions")).where(F.size("__positions") > 0).dropDuplicates(["__id"])
     rows = docs.join(m, docs["doc_id"].cast("long").eqNullSafe(m["__id"]))
-    rows = rows.withColumn("__k", F.explode(F.sequence(F.lit(0), (F.col("__copies") - 1).cast("int"))))
-    share = F.least(F.lit(1.0), (F.col("__before") + F.col("__k") * F.col("__all") + F.col("__size") / 2.0) / F.col("__target"))
-    rows = rows.withColumn("__u", _time(share, F.col("__slope")))
+    rows = rows.withColumn("__u", F.explode("__positions"))
     return rows.repartitionByRange(parallelism(docs.sparkSession), "__u", "doc_id").sortWithinPartitions("__u", "doc_id").select(*docs.columns)

@@ -14,6 +14,7 @@ import corpus_pipeline
 from crashlens.llm import id_shards as I
 from crashlens.llm import mixing as M
 from crashlens.llm.common import setting, table
+from crashlens.llm.queries import op10_mixing
 from tests.conftest import SF001
 from tests.llm.conftest import frame, pairs
 from tests.llm.test_duplicates import _groups
@@ -144,6 +145,31 @@ def test_training_order_follows_the_schedules(spark):
     assert abs(half.count("c") - 200) < 30 and half.count("a") < 150 and half.count("b") > 250
 
 
+def test_positions_invert_the_integrated_schedule(spark):
+    """Copies and their times by summing the schedule step by step; the rows come in that order."""
+    rows = [(i, "w " * (1 + i % 7), s) for s, a, n in (("a", 0, 40), ("b", 1000, 300), (None, 2000, 200)) for i in range(a, a + n)] + [(3000, " ", "a")]
+    with setting(spark, "spark.sql.shuffle.partitions", "5"):
+        got = M.mix(frame(spark, rows)).collect()
+    u = np.linspace(0, 1, 20_001)
+    for source, slope in (("a", 0.0), ("b", 0.6), (None, -0.6)):
+        own = [r for r in got if r.source == source]
+        rate = own[0].target * (1 + slope * (2 * u - 1))
+        demand = np.r_[0, np.cumsum((rate[1:] + rate[:-1]) / 2 * (u[1] - u[0]))]
+        for r in own:
+            words = [r.before + r.size / 2 + k * r.source_size for k in range(3)] if r.size else []
+            times = [np.interp(w, demand, u) for w in words if w <= r.target]
+            assert np.allclose(r.positions, times, atol=1e-4) and len(r.positions) == r.copies and r.taken == r.copies * r.size
+            assert r.position == (r.positions[0] if r.positions else None)
+    order = [(r.position is None, r.position or 0, r.doc_id) for r in got]
+    assert len(got) == len(rows) and {len(r.positions) for r in got} >= {0, 1, 3} and order == sorted(order)
+
+
+def test_query_is_range_sorted(spark):
+    got = op10_mixing(spark, SF001).select("position", "doc_id").collect()
+    order = [(r.position is None, r.position or 0) for r in got]
+    assert len(got) > 50 and order == sorted(order)
+
+
 def test_pipeline_by_brute_force(spark):
     docs = table(spark, SF001, "documents")
     frames = {}
