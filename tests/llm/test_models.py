@@ -98,6 +98,19 @@ def test_scores_do_not_depend_on_the_cluster(spark, monkeypatch, small):
     assert seen[0] == seen[1]
 
 
+def test_chunk_numbers_give_the_texts_back(spark, small):
+    """Units keep their documents as chunk numbers, so the last step sums without cutting texts again."""
+    unit = C.make_units(small, 1 << 20).toArrow().slice(0, 1)
+    found, n, numbers = C._numbered(unit, 7)
+    chunks = [c for own, _ in found.values() for c in own]
+    texts = [C.chunks_of(t) for _, t in C._documents(unit)]
+    assert list(found) == sorted(found) and n.tolist() == list(map(len, texts))
+    assert [chunks[k] for k in C._unpacked_numbers(C._packed(numbers))] == [c for t in texts for c in t]
+    training = Counter(c for (i, _), t in zip(C._documents(unit), texts) if fold_of(i, C.FOLDS) != C.HELD_OUT for c in t)
+    assert [k for _, counts in found.values() for k in counts] == [training[c] for c in chunks]
+    assert "payload" not in C.scores(small)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_scores_empty(empty):
     assert C.scores(empty).collect() == []
 
