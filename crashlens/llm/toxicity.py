@@ -157,7 +157,8 @@ def fit(toxic: list[str], clean: list[str]) -> Model:
         landmarks = sorted(positive, key=lambda w: (-votes[w], w))[: LANDMARKS * 3 // 4]
         landmarks += [w for w in neutral if w not in votes][: LANDMARKS - len(landmarks)]
         known = positive + [w for w in neutral if w not in set(positive)]
-        kernel, among = _kernel(known, landmarks), _kernel(landmarks, landmarks)
+        spaces = _Spaces(landmarks)
+        kernel, among = _kernel(known, spaces), _kernel(landmarks, spaces)
         value, vector = np.linalg.eigh((among + among.T) / 2)
         keep = value > 1e-6
         root = vector[:, keep] / np.sqrt(value[keep])  # W^-1/2: kernel values to Nyström features
@@ -180,17 +181,34 @@ def fit(toxic: list[str], clean: list[str]) -> Model:
     return Model(model.weights, model.bias, slope, shift)
 
 
-def _kernel(words: list[str], landmarks: list[str], chunk: int = 512) -> np.ndarray:
-    """Kernel values, a row for each word. Of the landmarks' spaces, one is laid out at a time."""
-    out = np.empty((len(words), len(landmarks)))
-    marks = [subsequences([x]) for x in landmarks]
-    space = np.zeros(CODES**3, np.float32)
+class _Spaces:
+    """The landmarks' spaces, of which one is laid out at a time."""
+
+    def __init__(self, landmarks: list[str]):
+        self.marks = [subsequences([x]) for x in landmarks]
+
+    def __len__(self) -> int:
+        return len(self.marks)
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        space = np.zeros(CODES**3, np.float32)
+        for codes, w in self.marks:
+            np.add.at(space, codes[0], w[0])
+            yield space
+            space[codes[0]] = 0
+
+
+def _dense(word: str) -> np.ndarray:
+    return next(iter(_Spaces([word])))
+
+
+def _kernel(words: list[str], spaces: _Spaces | np.ndarray, chunk: int = 512) -> np.ndarray:
+    """Kernel values, a row for each word and a column for each space."""
+    out = np.empty((len(words), len(spaces)))
     for at in range(0, len(words), chunk):
         codes, w = subsequences(words[at:at + chunk])
-        for j, (own, weight) in enumerate(marks):
-            np.add.at(space, own[0], weight[0])
+        for j, space in enumerate(spaces):
             out[at:at + chunk, j] = (space[codes] * w).sum(axis=1)
-            space[own[0]] = 0
     return out
 
 
